@@ -62,20 +62,15 @@ def _ordered(t: DriverTables, stages: Stages) -> DataFrame:
 
 
 def _sessions(t: DriverTables, stages: Stages) -> DataFrame:
-    ordered = _ordered(t, stages)
-    dropped = SETTINGS.dropped_activities
-    numbered = shifts.number_rows(ordered, shifts.carry_shift_ends(ordered, dropped))
-    return shifts.sessionize(drop_activities(numbered, dropped), SETTINGS.gap_minutes)
+    return shifts.shift_sessions(
+        _ordered(t, stages), SETTINGS.dropped_activities, SETTINGS.gap_minutes
+    )
 
 
 def _grouped(t: DriverTables, stages: Stages) -> DataFrame:
     return plan.grouped_shifts(t.shift_tables(), *_ARGS, stages)
 
 
-def _staged_groups(t: DriverTables, stages: Stages) -> DataFrame:
-    return stages.write(_grouped(t, stages), "sessions")
-
-
 def _night_keys(t: DriverTables) -> DataFrame:
     return envelopes.night_shift_keys(t.planned())
 
@@ -182,10 +177,10 @@ _QUERIES: dict[str, Query] = {
     "row_numbers": lambda t, s: shifts.number_rows(_ordered(t, s)),
     "shift_sessions": _sessions,
     "shift_groups": _grouped,
-    "day_envelope": lambda t, s: envelopes.day_envelope(_staged_groups(t, s)),
+    "day_envelope": lambda t, s: envelopes.day_envelope(_grouped(t, s)),
     "shift_bands": _bands,
     "night_keys": lambda t, s: _night_keys(t),
-    "night_envelope": lambda t, s: envelopes.night_envelope(_staged_groups(t, s), _night_keys(t)),
+    "night_envelope": lambda t, s: envelopes.night_envelope(_grouped(t, s), _night_keys(t)),
     "combined_envelope": _combined,
     "trimmed_edges": _trimmed_week,
     "flex_hours": lambda t, s: hours.flex_hours(_trimmed(t, s)),

@@ -6,7 +6,7 @@ the shifts, so an employee with very many rows never sits in one window task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftledger import settings as S
@@ -67,15 +67,13 @@ def night_shift_keys(planned: DataFrame) -> DataFrame:
     return planned.select("date_key", "employee_id", "type_shift").distinct()
 
 
-def _night_days(keys: DataFrame, *offsets: int) -> DataFrame:
-    """Employee-days around the night keys."""
-    day = F.to_date("date_key", "yyyyMMdd")
-    days = F.explode(F.array(*(F.date_add(day, n) for n in offsets)))
-    return keys.filter(F.col("type_shift") == NIGHT_SHIFT).select("employee_id", days.alias("day")).distinct()
-
-
 def _night_employees(keys: DataFrame) -> DataFrame:
-    return keys.filter(F.col("type_shift") == NIGHT_SHIFT).select("employee_id").distinct()
+    """Night-key days per employee; at most one element per calendar day."""
+    return (
+        keys.filter(F.col("type_shift") == NIGHT_SHIFT)
+        .groupBy("employee_id")
+        .agg(F.collect_set(F.to_date("date_key", "yyyyMMdd")).alias("_key_days"))
+    )
 
 
 def _start() -> Column:
@@ -98,21 +96,20 @@ def _last_ends(sessions: DataFrame) -> DataFrame:
     )
 
 
-def _night_bounds(sessions: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per night employee and group: first start, last end near a night key."""
-    starts = (
-        _first_starts(sessions)
-        .join(_night_days(keys, -1, 0, 1), ["employee_id", "day"], "left_semi")
-        .groupBy("employee_id", "gr")
-        .agg(F.min("first_start_time").alias("first_start_time"))
-    )
-    ends = (
-        _last_ends(sessions)
-        .join(_night_days(keys, 0, 1), ["employee_id", "day"], "left_semi")
-        .groupBy("employee_id", "gr")
-        .agg(F.max("last_end_time").alias("last_end_time"))
-    )
-    return starts, ends
+def _key_offsets(*offsets: int) -> Column:
+    """Whether a night key lies at one of these distances from the day."""
+    days = F.array(*(F.date_add("day", n) for n in offsets))
+    return F.arrays_overlap("_key_days", days)
+
+
+def _night_start() -> Column:
+    near = F.when(_key_offsets(-1, 0, 1), F.col("first_start_time"))
+    return F.min(near).over(Window.partitionBy("employee_id", "gr"))
+
+
+def _night_end() -> Column:
+    near = F.when(_key_offsets(-1, 0), F.col("last_end_time"))
+    return F.max(near).over(Window.partitionBy("employee_id", "gr"))
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -151,11 +148,15 @@ def day_envelope(sessions: DataFrame) -> DataFrame:
 def night_envelope(sessions: DataFrame, keys: DataFrame) -> DataFrame:
     """Employees with a night key: first start and last end of the whole group
     near any of their keys, so a shift over midnight stays one shift."""
-    starts, ends = _night_bounds(sessions, keys)
-    rows = (
-        sessions.join(_night_employees(keys), "employee_id", "left_semi")
-        .join(starts, ["employee_id", "gr"], "left")
-        .join(ends, ["employee_id", "gr"], "left")
+    employees = _night_employees(keys)
+
+    def bounds(day_level: DataFrame, value: Column, name: str) -> DataFrame:
+        return day_level.join(employees, "employee_id").withColumn(name, value).drop("_key_days")
+
+    starts = bounds(_first_starts(sessions), _night_start(), "first_start_time")
+    ends = bounds(_last_ends(sessions), _night_end(), "last_end_time")
+    rows = _join_bounds(
+        sessions.join(employees, "employee_id", "left_semi"), starts, ends
     )
     return _finish(rows).withColumn("night_shift", F.lit(NIGHT_SHIFT))
 
@@ -163,23 +164,20 @@ def night_envelope(sessions: DataFrame, keys: DataFrame) -> DataFrame:
 def combine_envelopes(sessions: DataFrame, keys: DataFrame) -> DataFrame:
     """Night envelope for employees with a night key, day envelope for the rest.
 
-    The choice is made on the day-level aggregates, so the shifts themselves are
-    joined twice and not scanned once per envelope.
+    The choice is made on the day-level aggregates (one row per employee, group
+    and day), so the shifts themselves are joined twice and not scanned once per
+    envelope.
     """
-    night_starts, night_ends = _night_bounds(sessions, keys)
-    employees = _night_employees(keys).withColumn("_night", F.lit(True))
-
-    def choose(day_level: DataFrame, night_level: DataFrame, name: str) -> DataFrame:
-        night = night_level.withColumnRenamed(name, "_night_value")
-        return (
-            day_level.join(employees, "employee_id", "left")
-            .join(night, ["employee_id", "gr"], "left")
-            .withColumn(name, F.when(F.col("_night"), F.col("_night_value")).otherwise(F.col(name)))
-            .drop("_night_value")
+    employees = _night_employees(keys)
+    night = F.col("_key_days").isNotNull()
+
+    def choose(day_level: DataFrame, value: Column, name: str) -> DataFrame:
+        return day_level.join(employees, "employee_id", "left").withColumn(
+            name, F.when(night, value).otherwise(F.col(name))
         )
 
-    starts = choose(_first_starts(sessions), night_starts, "first_start_time")
-    ends = choose(_last_ends(sessions), night_ends, "last_end_time").drop("_night")
-    rows = _finish(_join_bounds(sessions, starts, ends))
-    kind = F.when(F.col("_night"), NIGHT_SHIFT).otherwise(DAY_SHIFT)
-    return rows.withColumn("night_shift", kind).drop("_night")
+    starts = choose(_first_starts(sessions), _night_start(), "first_start_time").withColumn(
+        "night_shift", F.when(night, NIGHT_SHIFT).otherwise(DAY_SHIFT)
+    )
+    ends = choose(_last_ends(sessions), _night_end(), "last_end_time")
+    return _finish(_join_bounds(sessions, starts.drop("_key_days"), ends.drop("_key_days")))

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from shiftledger.sources.stages import Stages
 
@@ -25,6 +26,10 @@ CARRIED = "_carried"
 _ROW_BITS = 33
 
 
+def _earlier() -> WindowSpec:
+    return Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def sort_rows(df: DataFrame, order: list[str], stages: Stages, name: str) -> DataFrame:
     """Sorted stage table with a position and a chunk per row.
 
@@ -46,14 +51,44 @@ def totals_before(chunk_totals: DataFrame, amount: str, out: str) -> DataFrame:
     The input has one row per sort partition, so this one ordered window and the
     broadcast of its result stay small whatever the table size.
     """
-    earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(amount).over(earlier), F.lit(0)).cast("bigint")
-    return chunk_totals.select(CHUNK, before.alias(out))
-
-
-def rows_before(rows: DataFrame, out: str) -> DataFrame:
-    counts = rows.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    return totals_before(counts, "_n", out)
+    before = F.coalesce(F.sum(amount).over(_earlier()), F.lit(0)).cast("bigint")
+    return chunk_totals.withColumn(out, before)
+
+
+def chunk_table(rows: DataFrame, leading: str) -> DataFrame:
+    """One row per chunk: rows before it, its first value of ``leading`` (the
+    first sort column) and, where an earlier chunk already ended with that value,
+    the row number at which the value starts."""
+    runs = rows.groupBy(CHUNK, leading).agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_at"))
+    chunks = totals_before(
+        runs.groupBy(CHUNK).agg(
+            F.sum("_n").alias("_rows"),
+            F.count(F.lit(1)).alias("_runs"),
+            F.min_by(leading, "_at").alias("_first"),
+            F.max_by(leading, "_at").alias("_last"),
+            F.max_by("_n", "_at").alias("_last_rows"),
+        ),
+        "_rows",
+        "_before",
+    )
+    ordered = Window.orderBy(CHUNK)
+    continued = (F.lag("_before").over(ordered)).isNotNull() & F.lag("_last").over(ordered).eqNullSafe(
+        F.col("_first")
+    )
+    opens_run = (F.col("_runs") > 1) | ~F.col("_continued")
+    run_start = F.when(opens_run, F.col("_before") + F.col("_rows") - F.col("_last_rows") + 1)
+    return (
+        chunks.withColumn("_continued", continued)
+        .withColumn("_run_start", run_start)
+        .select(
+            CHUNK,
+            "_before",
+            F.col("_first"),
+            F.when(
+                F.col("_continued"), F.last("_run_start", ignorenulls=True).over(_earlier())
+            ).alias("_first_start"),
+        )
+    )
 
 
 def carry_last(rows: DataFrame, key: str, value: str) -> DataFrame:
@@ -82,8 +117,7 @@ def number_neighbours(rows: DataFrame, reach: int) -> DataFrame:
     places before and after it, marked as carried, so that lag and lead inside a
     chunk see across its borders."""
     counts = rows.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    starts = totals_before(counts, "_n", "_before")
-    bounds = counts.join(F.broadcast(starts), CHUNK)
+    bounds = totals_before(counts, "_n", "_before")
     numbered = (
         rows.join(F.broadcast(bounds), CHUNK)
         .withColumn("row_nr", F.col("_before") + row_in_chunk(F.col(POS)))

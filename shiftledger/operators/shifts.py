@@ -149,90 +149,69 @@ def number_rows(ordered: DataFrame, rows: DataFrame | None = None) -> DataFrame:
 
     ``rows`` may be the same shifts with carried rows added.
     """
-    rows = ordered.withColumn(seq.CARRIED, F.lit(False)).repartition(seq.CHUNK) if rows is None else rows
-    before = seq.rows_before(ordered, "_before")
-    # Only the first name of a chunk can have started in an earlier one.
-    firsts = ordered.groupBy(seq.CHUNK).agg(F.min_by("full_name", seq.POS).alias("_name"))
-    name_starts = (
-        ordered.join(
-            F.broadcast(firsts.select(F.col("_name").alias("full_name")).distinct()),
-            "full_name",
-            "left_semi",
-        )
-        .groupBy(F.col("full_name").alias("_name"))
-        .agg(F.min(seq.POS).alias("_name_pos"))
-        .withColumn("_name_chunk", F.shiftright("_name_pos", 33).cast("int"))
-    )
-    starts = (
-        name_starts.join(
-            F.broadcast(before.withColumnsRenamed({seq.CHUNK: "_name_chunk", "_before": "_b"})),
-            "_name_chunk",
-        )
-        .select("_name", (F.col("_b") + seq.row_in_chunk(F.col("_name_pos"))).alias("_name_row"))
-    )
-    chunks = before.join(firsts, seq.CHUNK).join(F.broadcast(starts), "_name", "left")
-    by_name = Window.partitionBy(seq.CHUNK, "full_name")
+    if rows is None:
+        rows = ordered.withColumn(seq.CARRIED, F.lit(False)).repartition(seq.CHUNK)
+    # One row per chunk.
+    chunks = F.broadcast(seq.chunk_table(ordered, "full_name"))
     row_nr = F.when(~F.col(seq.CARRIED), F.col("_before") + seq.row_in_chunk(F.col(seq.POS)))
-    first_here = F.min("row_nr").over(by_name)
-    first_row = F.when(F.col("full_name") == F.col("_name"), F.col("_name_row"))
+    first_here = F.min("row_nr").over(Window.partitionBy(seq.CHUNK, "full_name"))
+    # Only the first name of a chunk can have started in an earlier one.
+    first_before = F.when(F.col("full_name").eqNullSafe(F.col("_first")), F.col("_first_start"))
     return (
-        # One row per chunk.
-        rows.join(F.broadcast(chunks), seq.CHUNK)
+        rows.join(chunks, seq.CHUNK)
         .withColumn("row_nr", row_nr)
-        .withColumn("register_row_nr", F.col("row_nr") - F.coalesce(first_row, first_here) + 1)
-        .drop("_before", "_name", "_name_row")
+        .withColumn(
+            "register_row_nr", F.col("row_nr") - F.coalesce(first_before, first_here) + 1
+        )
+        .drop("_before", "_first", "_first_start")
     )
 
 
-def _new_shifts(rows: DataFrame, gap_minutes: int) -> DataFrame:
+def sessionize(rows: DataFrame, gap_minutes: int = 240) -> DataFrame:
+    """Minutes since the end of the employee's previous row; more than
+    ``gap_minutes`` open a new shift."""
     previous_end = F.lag("end_time").over(
         Window.partitionBy(seq.CHUNK, "employee_id").orderBy(seq.POS)
     )
     gap = F.coalesce(elapsed_minutes(previous_end, F.col("start_time")), F.lit(0))
     return (
         rows.withColumn("new_shift_minutes", gap)
-        .withColumn("new_shift", (F.col("new_shift_minutes") > gap_minutes).cast("int"))
         .filter(~F.col(seq.CARRIED))
+        .drop(seq.CARRIED)
+        .withColumns(
+            {
+                "new_shift": (F.col("new_shift_minutes") > gap_minutes).cast("int"),
+                "days_diff": F.datediff("shift_end_date", "shift_start_date"),
+            }
+        )
     )
 
 
-def sessionize(rows: DataFrame, gap_minutes: int = 240) -> DataFrame:
-    """Minutes since the end of the employee's previous row; more than
-    ``gap_minutes`` open a new shift."""
-    return _new_shifts(rows, gap_minutes).withColumn(
-        "days_diff", F.datediff("shift_end_date", "shift_start_date")
-    )
+def shift_sessions(ordered: DataFrame, dropped: tuple[str, ...], gap_minutes: int = 240) -> DataFrame:
+    """Numbered, filtered and sessionised shifts after one shuffle by chunk."""
+    numbered = number_rows(ordered, carry_shift_ends(ordered, dropped))
+    return sessionize(drop_activities(numbered, dropped), gap_minutes)
 
 
-def shift_groups(sessions: DataFrame, ordered: DataFrame, dropped: tuple[str, ...], gap_minutes: int = 240) -> DataFrame:
+def shift_groups(sessions: DataFrame, stages: Stages) -> DataFrame:
     """Running number of new shifts in row order, over all employees.
 
-    The per-chunk totals come from a second, narrow pass over four columns.
+    The running number inside a chunk is written with the rows; the totals of the
+    earlier chunks are then one scan of two columns.
     """
-    narrow = ordered.select(
-        seq.POS, seq.CHUNK, "employee_id", "start_time", "end_time", "scheduled_activity"
-    )
-    marked = _new_shifts(
-        drop_activities(carry_shift_ends(narrow, dropped), dropped), gap_minutes
-    )
-    totals = marked.groupBy(seq.CHUNK).agg(F.sum("new_shift").alias("_n"))
-    running = F.sum("new_shift").over(
-        Window.partitionBy(seq.CHUNK).orderBy(seq.POS).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    in_order = Window.partitionBy(seq.CHUNK).orderBy(seq.POS)
+    running = F.sum("new_shift").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    counted = stages.write(sessions.withColumn("_opened", running).drop(seq.POS), "sessions")
+    totals = counted.groupBy(seq.CHUNK).agg(F.max("_opened").alias("_n"))
+    before = seq.totals_before(totals, "_n", "_before").drop("_n")
     return (
-        sessions.join(F.broadcast(seq.totals_before(totals, "_n", "_groups")), seq.CHUNK, "left")
-        .withColumn("gr", F.coalesce("_groups", F.lit(0)) + running)
-        .drop("_groups", seq.CARRIED, seq.POS, seq.CHUNK)
+        # One row per chunk.
+        counted.join(F.broadcast(before), seq.CHUNK)
+        .withColumn("gr", F.col("_before") + F.col("_opened"))
+        .drop("_before", "_opened", seq.CHUNK)
     )
 
 
-def shift_sessions(ordered: DataFrame, dropped: tuple[str, ...], gap_minutes: int = 240) -> DataFrame:
-    """Numbered, filtered and grouped shifts in one pass over the chunks."""
-    numbered = number_rows(ordered, carry_shift_ends(ordered, dropped))
-    sessions = sessionize(drop_activities(numbered, dropped), gap_minutes)
-    return shift_groups(sessions, ordered, dropped, gap_minutes)
-
-
 def trim_edges(df: DataFrame, wide: tuple[Column, Column]) -> DataFrame:
     """Drop rows that belong to the days just outside the span."""
     first_day = F.to_date("first_start_time")

@@ -12,16 +12,12 @@ SPAN_CODES = ("PW", "CW", "NW", "PM", "P2M", "C2M", "CM", "NM")
 CUMULATIVE_CODES = ("PWc", "PMc", "CWc", "CMc", "NWc", "NMc")
 
 
-def span_columns(code: Column, day: Column) -> tuple[Column, Column]:
-    """(from, to) of a span code; NULL for an unknown code.
-
-    A trailing 'c' asks for the cumulative report over the same span.
-    """
+def _spans(day: Column) -> dict[str, tuple[Column, Column]]:
     sunday = F.date_sub(day, F.dayofweek(day) - 1)
     next_monday = F.next_day(day, "Mon")
     month_start = lambda shift: F.trunc(F.add_months(day, shift), "MM")
     month_end = lambda shift: F.last_day(F.add_months(day, shift))
-    spans = {
+    return {
         "PW": (F.date_sub(sunday, 6), sunday),
         "CW": (F.date_add(sunday, 1), F.date_add(sunday, 7)),
         "NW": (next_monday, F.date_add(next_monday, 6)),
@@ -32,8 +28,15 @@ def span_columns(code: Column, day: Column) -> tuple[Column, Column]:
         "CM": (month_start(0), month_end(0)),
         "NM": (month_start(1), month_end(1)),
     }
+
+
+def span_columns(code: Column, day: Column) -> tuple[Column, Column]:
+    """(from, to) of a span code; NULL for an unknown code.
+
+    A trailing 'c' asks for the cumulative report over the same span.
+    """
     start = end = F.lit(None).cast("date")
-    for name, (first, last) in spans.items():
+    for name, (first, last) in _spans(day).items():
         chosen = code.isin(name, name + "c")
         start = F.when(chosen, first).otherwise(start)
         end = F.when(chosen, last).otherwise(end)
@@ -41,8 +44,9 @@ def span_columns(code: Column, day: Column) -> tuple[Column, Column]:
 
 
 def resolve_span(code: str, as_of: date) -> tuple[Column, Column]:
-    """Span of one code as foldable literals."""
-    return span_columns(F.lit(code), F.lit(as_of))
+    """Span of one code as foldable literals; NULLs for an unknown code."""
+    unknown = F.lit(None).cast("date")
+    return _spans(F.lit(as_of)).get(code.removesuffix("c"), (unknown, unknown))
 
 
 def widen(span: tuple[Column, Column], days: int = 1) -> tuple[Column, Column]:

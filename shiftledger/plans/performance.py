@@ -44,16 +44,15 @@ def grouped_shifts(
     tables: ShiftTables, span_code: str, as_of: date, settings: Settings, stages: Stages
 ) -> DataFrame:
     ordered = ordered_shifts(tables, span_code, as_of, stages)
-    return shifts.shift_sessions(ordered, settings.dropped_activities, settings.gap_minutes)
+    sessions = shifts.shift_sessions(ordered, settings.dropped_activities, settings.gap_minutes)
+    return shifts.shift_groups(sessions, stages)
 
 
 def enveloped_shifts(
     tables: ShiftTables, span_code: str, as_of: date, settings: Settings, stages: Stages
 ) -> DataFrame:
-    # Read by the day starts, the day ends and the rows themselves.
-    sessions = stages.write(
-        grouped_shifts(tables, span_code, as_of, settings, stages), "sessions"
-    )
+    # A stage table: read by the day starts, the day ends and the rows themselves.
+    sessions = grouped_shifts(tables, span_code, as_of, settings, stages)
     return envelopes.combine_envelopes(sessions, envelopes.night_shift_keys(tables.planned))
 
 
