@@ -400,6 +400,7 @@ _MAPPED = {
         SELECT external_reference, shift_start_date AS day, performance_code, agreement_number,
                person_id, login, first_name, last_name, sum(scheduled_total_time) AS hours
         FROM fact JOIN mapping_view ON employee_login = login
+        WHERE shift_start_date >= (SELECT min(shift_start_date) FROM fact)
         GROUP BY ALL""",
 }
 

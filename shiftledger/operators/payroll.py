@@ -37,11 +37,16 @@ def map_performance(performance: DataFrame, mapping_view: DataFrame) -> DataFram
     """Hours per payroll reference, day, code, agreement and person.
 
     Hours are summed per login before the join and per reference after it; a
-    login mapped twice counts twice.
+    login mapped twice counts twice. Rows without a date are on no calendar day
+    and are left out.
     """
     who = ["employee_login", "person_id", "first_name", "last_name"]
     what = ["shift_start_date", "performance_code"]
-    by_login = performance.groupBy(*who, *what).agg(F.sum("scheduled_total_time").alias("hours"))
+    by_login = (
+        performance.filter(F.col("shift_start_date").isNotNull())
+        .groupBy(*who, *what)
+        .agg(F.sum("scheduled_total_time").alias("hours"))
+    )
     view = mapping_view.select("external_reference", "agreement_number", "login")
     return (
         by_login.join(view, F.col("employee_login") == F.col("login"))
@@ -115,13 +120,13 @@ def neighbour_codes(dense: DataFrame, stages: Stages) -> DataFrame:
     code = F.col("performance_code")
     along = Window.partitionBy(seq.CHUNK, "calendar_reference").orderBy(seq.POS)
     # The partition key leads the sort, so neighbours are adjacent positions.
-    near = seq.number_neighbours(rows, 2).withColumns(
+    near = seq.number_neighbours(rows, 2, ["calendar_reference", "performance_code"]).withColumns(
         {
             "lag_code": F.coalesce(F.lag(code, 1).over(along), F.lag(code, 2).over(along)),
             "lead_code": F.coalesce(F.lead(code, 1).over(along), F.lead(code, 2).over(along)),
         }
     )
-    return seq.own_rows(near).drop("row_nr", "calendar_reference", "calendar_day")
+    return seq.own_rows(near).drop("calendar_reference", "calendar_day")
 
 
 def filter_gaps(df: DataFrame, codes: tuple[str, ...] = S.GAP_CODES) -> DataFrame:

@@ -112,36 +112,33 @@ def with_carried(rows: DataFrame, carried: DataFrame) -> DataFrame:
     return body.unionByName(carried, allowMissingColumns=True).repartition(CHUNK)
 
 
-def number_neighbours(rows: DataFrame, reach: int) -> DataFrame:
-    """Add ``row_nr`` (global) and copy to every chunk the rows up to ``reach``
-    places before and after it, marked as carried, so that lag and lead inside a
-    chunk see across its borders."""
+def number_neighbours(rows: DataFrame, reach: int, seen: list[str]) -> DataFrame:
+    """Let lag and lead inside a chunk see up to ``reach`` rows across its borders.
+
+    Every chunk gets copies of the ``seen`` columns of the rows just before and
+    after it, marked as carried.
+    """
     counts = rows.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_n"))
     bounds = totals_before(counts, "_n", "_before")
-    numbered = (
-        rows.join(F.broadcast(bounds), CHUNK)
-        .withColumn("row_nr", F.col("_before") + row_in_chunk(F.col(POS)))
-    )
+    at = row_in_chunk(F.col(POS))
     # At most 2 * reach rows per chunk can be somebody's neighbour.
-    local = row_in_chunk(F.col(POS))
-    edge = numbered.filter((local <= reach) | (local > F.col("_n") - reach))
+    edges = (
+        rows.select(CHUNK, POS, *seen)
+        .join(F.broadcast(bounds), CHUNK)
+        .filter((at <= reach) | (at > F.col("_n") - reach))
+        .select(POS, *seen, (F.col("_before") + at).alias("_row"))
+    )
     first, last = F.col("_before") + 1, F.col("_before") + F.col("_n")
     wanted = bounds.select(
-        F.col(CHUNK).alias("_to"),
+        CHUNK,
         F.explode(
             F.concat(
-                F.sequence(first - reach, first - 1),
-                F.sequence(last + 1, last + reach),
+                F.sequence(first - reach, first - 1), F.sequence(last + 1, last + reach)
             )
-        ).alias("row_nr"),
-    )
-    halo = (
-        edge.join(F.broadcast(wanted), "row_nr")
-        .withColumn(CHUNK, F.col("_to"))
-        .withColumn(CARRIED, F.lit(True))
-        .drop("_to", "_n", "_before")
+        ).alias("_row"),
     )
-    return with_carried(numbered.drop("_n", "_before"), halo)
+    halo = edges.join(F.broadcast(wanted), "_row").drop("_row").withColumn(CARRIED, F.lit(True))
+    return with_carried(rows, halo)
 
 
 def own_rows(df: DataFrame) -> DataFrame:
