@@ -27,7 +27,7 @@ _PLANNED = """
 WITH timed AS (
     SELECT *, start_at + make_dt_interval(0, 0, CAST(minutes AS INT), 0) AS end_at
     FROM (
-        SELECT event_id, user_id, event_type,
+        SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS start_day,
                CAST(substring(CAST(ts AS STRING), 1, 19) AS TIMESTAMP_NTZ) AS start_at,
                CAST(floor(value) AS DECIMAL(10,0)) AS minutes
         FROM {events}
@@ -41,7 +41,7 @@ SELECT
          WHEN event_id % 53 = 0 THEN 'training'
          WHEN event_id % 59 = 0 THEN 'none'
          ELSE event_type END AS activity_id,
-    CAST(start_at AS DATE) AS shift_start_date,
+    start_day AS shift_start_date,
     CAST(end_at AS DATE) AS shift_end_date,
     CASE WHEN event_id % 101 <> 0 THEN start_at END AS start_time,
     CASE WHEN event_id % 101 <> 0 THEN end_at END AS end_time,

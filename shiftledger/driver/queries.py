@@ -19,7 +19,7 @@ from shiftledger.driver.adapter import (
 )
 from shiftledger.driver.shapes import SHAPES, shape_frame, shape_sql
 from shiftledger.functions.clock import midnight, second_of_day
-from shiftledger.functions.values import clamp_hours, drop_activities
+from shiftledger.functions.values import drop_activities
 from shiftledger.operators import (
     envelopes,
     export,
@@ -190,10 +190,12 @@ _QUERIES: dict[str, Query] = {
     "sick_calendar": _sick_calendar,
     "sick_fill": _sick_fill,
     "sick_hours": _sick_hours,
-    "clamped_hours": lambda t, s: clamp_hours(_sick_hours(t, s), hours.HOUR_COLUMNS),
-    "total_workdays": _final,
+    "clamped_hours": _final,
+    "total_workdays": lambda t, s: reports.total_workdays(_staged_final(t, s)),
     "performance_fact": _fact,
-    "report_basis": lambda t, s: reports.report_basis(_final(t, s)),
+    "report_basis": lambda t, s: reports.report_basis(
+        reports.total_workdays(_staged_final(t, s))
+    ),
     "report_day_hours": lambda t, s: reports.report_day_hours(_final(t, s)),
     "absence_pivot": lambda t, s: reports.absence_pivot(_final(t, s)),
     "report_long": lambda t, s: reports.report_long(_staged_final(t, s)),

@@ -1,17 +1,18 @@
 """First start and last end of a working day, also across midnight.
 
-Each envelope is a small aggregate (combined before the shuffle) joined back to
-the shifts, so an employee with very many rows never sits in one window task.
+Each envelope is worked out on a small aggregate and joined back to the shifts, so an employee with very many rows never sits in one window task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from shiftledger import settings as S
 from shiftledger.functions.clock import clock_text, hms, midnight
 
+_PAIR = ["employee_id", "gr", "start_day", "end_day"]
 DAY_SHIFT = "LN"
 NIGHT_SHIFT = "NLN"
 
@@ -84,32 +85,57 @@ def _end() -> Column:
     return F.coalesce("end_time", midnight(F.col("shift_end_date")))
 
 
-def _first_starts(sessions: DataFrame) -> DataFrame:
-    return sessions.groupBy("employee_id", "gr", F.to_date(_start()).alias("day")).agg(
-        F.min(_start()).alias("first_start_time")
-    )
+def _day_pairs(sessions: DataFrame) -> DataFrame:
+    """First start and last end per employee, group, start date and end date.
+
+    One row per pair of days, combined before the shuffle: everything below works
+    on this table, not on the shifts.
+    """
+    return sessions.groupBy(
+        "employee_id",
+        "gr",
+        F.to_date(_start()).alias("start_day"),
+        F.to_date(_end()).alias("end_day"),
+    ).agg(F.min(_start()).alias("_start"), F.max(_end()).alias("_end"))
 
 
-def _last_ends(sessions: DataFrame) -> DataFrame:
-    return sessions.groupBy("employee_id", "gr", F.to_date(_end()).alias("day")).agg(
-        F.max(_end()).alias("last_end_time")
-    )
+def _over(*more: str) -> WindowSpec:
+    return Window.partitionBy("employee_id", "gr", *more)
+
+
+def _day_start() -> Column:
+    return F.min("_start").over(_over("start_day"))
+
+
+def _day_end() -> Column:
+    return F.max("_end").over(_over("end_day"))
 
 
-def _key_offsets(*offsets: int) -> Column:
+def _near_key(day: str, *offsets: int) -> Column:
     """Whether a night key lies at one of these distances from the day."""
-    days = F.array(*(F.date_add("day", n) for n in offsets))
-    return F.arrays_overlap("_key_days", days)
+    return F.arrays_overlap("_key_days", F.array(*(F.date_add(day, n) for n in offsets)))
 
 
 def _night_start() -> Column:
-    near = F.when(_key_offsets(-1, 0, 1), F.col("first_start_time"))
-    return F.min(near).over(Window.partitionBy("employee_id", "gr"))
+    return F.min(F.when(_near_key("start_day", -1, 0, 1), F.col("_start"))).over(_over())
 
 
 def _night_end() -> Column:
-    near = F.when(_key_offsets(-1, 0), F.col("last_end_time"))
-    return F.max(near).over(Window.partitionBy("employee_id", "gr"))
+    return F.max(F.when(_near_key("end_day", -1, 0), F.col("_end"))).over(_over())
+
+
+def _attach(sessions: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Bounds of the row's own day pair: one shuffle of the shifts, whose hot
+    groups Spark's skew join splits."""
+    keyed = bounds.withColumnsRenamed({name: f"_{name}" for name in _PAIR})
+    rows = sessions.withColumns({"start_day": F.to_date(_start()), "end_day": F.to_date(_end())})
+    same = (
+        (F.col("employee_id") == F.col("_employee_id"))
+        & (F.col("gr") == F.col("_gr"))
+        & F.col("start_day").eqNullSafe(F.col("_start_day"))
+        & F.col("end_day").eqNullSafe(F.col("_end_day"))
+    )
+    return rows.join(keyed, same, "left").drop("start_day", "end_day", *(f"_{name}" for name in _PAIR))
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -141,43 +167,43 @@ def _join_bounds(sessions: DataFrame, starts: DataFrame, ends: DataFrame) -> Dat
 
 def day_envelope(sessions: DataFrame) -> DataFrame:
     """First start per employee, group and start date; last end per end date."""
-    rows = _join_bounds(sessions, _first_starts(sessions), _last_ends(sessions))
-    return _finish(rows).withColumn("night_shift", F.lit(DAY_SHIFT))
+    bounds = _day_pairs(sessions).select(
+        *_PAIR, _day_start().alias("first_start_time"), _day_end().alias("last_end_time")
+    )
+    return _finish(_attach(sessions, bounds)).withColumn("night_shift", F.lit(DAY_SHIFT))
 
 
 def night_envelope(sessions: DataFrame, keys: DataFrame) -> DataFrame:
     """Employees with a night key: first start and last end of the whole group
     near any of their keys, so a shift over midnight stays one shift."""
     employees = _night_employees(keys)
-
-    def bounds(day_level: DataFrame, value: Column, name: str) -> DataFrame:
-        return day_level.join(employees, "employee_id").withColumn(name, value).drop("_key_days")
-
-    starts = bounds(_first_starts(sessions), _night_start(), "first_start_time")
-    ends = bounds(_last_ends(sessions), _night_end(), "last_end_time")
-    rows = _join_bounds(
-        sessions.join(employees, "employee_id", "left_semi"), starts, ends
+    bounds = (
+        _day_pairs(sessions)
+        .join(employees, "employee_id")
+        .select(
+            *_PAIR, _night_start().alias("first_start_time"), _night_end().alias("last_end_time")
+        )
     )
-    return _finish(rows).withColumn("night_shift", F.lit(NIGHT_SHIFT))
+    rows = sessions.join(employees, "employee_id", "left_semi")
+    return _finish(_attach(rows, bounds)).withColumn("night_shift", F.lit(NIGHT_SHIFT))
 
 
 def combine_envelopes(sessions: DataFrame, keys: DataFrame) -> DataFrame:
     """Night envelope for employees with a night key, day envelope for the rest.
 
-    The choice is made on the day-level aggregates (one row per employee, group
-    and day), so the shifts themselves are joined twice and not scanned once per
+    The choice is made on the day pairs, so the shifts are not scanned once per
     envelope.
     """
-    employees = _night_employees(keys)
     night = F.col("_key_days").isNotNull()
-
-    def choose(day_level: DataFrame, value: Column, name: str) -> DataFrame:
-        return day_level.join(employees, "employee_id", "left").withColumn(
-            name, F.when(night, value).otherwise(F.col(name))
+    choose = lambda at_night, by_day: F.when(night, at_night).otherwise(by_day)
+    bounds = (
+        _day_pairs(sessions)
+        .join(_night_employees(keys), "employee_id", "left")
+        .select(
+            *_PAIR,
+            choose(_night_start(), _day_start()).alias("first_start_time"),
+            choose(_night_end(), _day_end()).alias("last_end_time"),
+            choose(F.lit(NIGHT_SHIFT), F.lit(DAY_SHIFT)).alias("night_shift"),
         )
-
-    starts = choose(_first_starts(sessions), _night_start(), "first_start_time").withColumn(
-        "night_shift", F.when(night, NIGHT_SHIFT).otherwise(DAY_SHIFT)
     )
-    ends = choose(_last_ends(sessions), _night_end(), "last_end_time")
-    return _finish(_join_bounds(sessions, starts.drop("_key_days"), ends.drop("_key_days")))
+    return _finish(_attach(sessions, bounds))

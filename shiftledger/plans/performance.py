@@ -81,8 +81,7 @@ def final_hours(
     defaulted = sickness.sick_hours(
         filled, settings.exempt_persons, tables.overrides, settings.sick_codes
     )
-    cleaned = clamp_hours(drop_activities(defaulted, [OFF_DAY]), hours.HOUR_COLUMNS)
-    return reports.total_workdays(cleaned)
+    return clamp_hours(drop_activities(defaulted, [OFF_DAY]), hours.HOUR_COLUMNS)
 
 
 def run_performance(
@@ -110,7 +109,8 @@ def select_report(final: DataFrame, mode: str, span_code: str, as_of: date) -> D
     if mode == "publish":
         return None
     if mode == "basis":
-        return reports.report_basis(final)
+        # The only report that shows the working days.
+        return reports.report_basis(reports.total_workdays(final))
     if cumulative:
         wide = spans.widen(spans.resolve_span(span_code, as_of))
         return reports.report_cumulative(final, wide)

@@ -32,8 +32,10 @@ class Stages:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{stage_root(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+        self._written = 0
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}"
+        self._written += 1
+        path = f"{self.folder}/{self._written:02d}-{name}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
