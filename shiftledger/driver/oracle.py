@@ -232,34 +232,37 @@ _HOURS = {
     "trimmed": _trim("combined", _WIDE_FROM, _WIDE_TO),
     "flex": f"""
         SELECT *,
-          CASE WHEN shift_start_second < 72000 AND shift_end_second > 0
+          CAST(CASE WHEN shift_start_second < 72000 AND shift_end_second > 0
                 AND dayname(shift_start_date) = 'Saturday' AND is_holiday <> 1
-               THEN (CASE WHEN {_E} > 72000 THEN 72000 ELSE {_E} END - {_S}) / 3600.0 ELSE 0 END
+               THEN (CASE WHEN {_E} > 72000 THEN 72000 ELSE {_E} END - {_S}) / 3600.0 ELSE 0 END AS DECIMAL(27,11))
             AS flex_saturday_hours,
-          CASE WHEN shift_start_second < 79200 AND shift_end_second > 72000
+          CAST(CASE WHEN shift_start_second < 79200 AND shift_end_second > 72000
                 AND dayname(shift_start_date) = 'Saturday' AND is_holiday <> 1
                THEN (CASE WHEN shift_end_date > shift_start_date THEN 72000
                           WHEN shift_end_second >= 79200 THEN 79200 ELSE shift_end_second END
                      - CASE WHEN shift_start_second <= 72000 THEN 72000 ELSE shift_start_second END)
-                    / 3600.0 ELSE 0 END AS flex_evening_saturday_hours,
-          CASE WHEN shift_start_second < 86399 AND shift_end_second > 79200
+                    / 3600.0 ELSE 0 END AS DECIMAL(27,11))
+            AS flex_evening_saturday_hours,
+          CAST(CASE WHEN shift_start_second < 86399 AND shift_end_second > 79200
                 AND dayname(shift_start_date) <> 'Sunday' AND is_holiday <> 1
                THEN (CASE WHEN {_E} < 86399 THEN {_E} ELSE 86399 END
-                     - CASE WHEN {_S} < 79200 THEN 79200 ELSE {_S} END) / 3600.0 ELSE 0 END
+                     - CASE WHEN {_S} < 79200 THEN 79200 ELSE {_S} END) / 3600.0 ELSE 0 END AS DECIMAL(27,11))
             AS flex_evening_work_saturday_hours,
-          CASE WHEN shift_start_second < 79200 AND shift_end_second > 72000
+          CAST(CASE WHEN shift_start_second < 79200 AND shift_end_second > 72000
                 AND dayname(shift_start_date) NOT IN ('Saturday', 'Sunday') AND is_holiday <> 1
                THEN (CASE WHEN {_E} > 79199 THEN 79200 ELSE {_E} END
-                     - CASE WHEN {_S} < 72000 THEN 72000 ELSE {_S} END) / 3600.0 ELSE 0 END
+                     - CASE WHEN {_S} < 72000 THEN 72000 ELSE {_S} END) / 3600.0 ELSE 0 END AS DECIMAL(27,11))
             AS flex_evening_workday_hours,
-          CASE WHEN dayname(shift_start_date) = 'Sunday' THEN {_WHOLE} / 3600.0 ELSE 0 END
+          CAST(CASE WHEN dayname(shift_start_date) = 'Sunday' THEN {_WHOLE} / 3600.0 ELSE 0 END AS DECIMAL(27,11))
             AS flex_sunday_hours,
-          CASE WHEN is_holiday = 1
+          CAST(CASE WHEN is_holiday = 1
                 AND activity_group IN ('Prestatie', 'Homeworking', 'Opleiding met BEV')
-               THEN {_WHOLE} / 3600.0 ELSE 0 END AS flex_holiday_hours
+               THEN {_WHOLE} / 3600.0 ELSE 0 END AS DECIMAL(27,11))
+            AS flex_holiday_hours
         FROM trimmed WHERE time_type <> 'NightAgent'""",
     "night_hours": """
-        SELECT *, date_diff('minute', start_time, end_time) / 60.0 AS night_agent_hours
+        SELECT *, CAST(date_diff('minute', start_time, end_time) / 60.0 AS DECIMAL(18,6))
+            AS night_agent_hours
         FROM trimmed WHERE time_type = 'NightAgent'""",
     "defaulted": f"""
         SELECT *, scheduled_total_time - coalesce({' + '.join(FLEX_COLUMNS)}, 0) AS default_hours

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
-    """Read with a declared schema; CSV needs a header line."""
+    """Read with a declared schema; a CSV header must name its columns in order."""
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
