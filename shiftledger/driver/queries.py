@@ -53,7 +53,8 @@ def _date_spans(t: DriverTables, stages: Stages) -> DataFrame:
 def _enriched(t: DriverTables, stages: Stages) -> DataFrame:
     tables = t.shift_tables()
     return shifts.enrich_shifts(
-        tables.planned, tables.activity, tables.employee, spans.resolve_span(SPAN, AS_OF), _wide()
+        tables.planned, tables.activity, tables.employee, spans.resolve_span(SPAN, AS_OF), _wide(),
+        stages,
     )
 
 
@@ -120,7 +121,7 @@ def _sick_fill(t: DriverTables, stages: Stages) -> DataFrame:
 def _sick_hours(t: DriverTables, stages: Stages) -> DataFrame:
     tables = t.shift_tables()
     filled = plan.filled_hours(tables, *_ARGS, stages)
-    done = sickness.sick_hours(filled, SETTINGS.exempt_persons, tables.overrides)
+    done = sickness.sick_hours(filled, stages, SETTINGS.exempt_persons, tables.overrides)
     return drop_activities(done, [OFF_DAY])
 
 
@@ -177,10 +178,10 @@ _QUERIES: dict[str, Query] = {
     "row_numbers": lambda t, s: shifts.number_rows(_ordered(t, s)),
     "shift_sessions": _sessions,
     "shift_groups": _grouped,
-    "day_envelope": lambda t, s: envelopes.day_envelope(_grouped(t, s)),
+    "day_envelope": lambda t, s: envelopes.day_envelope(_grouped(t, s), s),
     "shift_bands": _bands,
     "night_keys": lambda t, s: _night_keys(t),
-    "night_envelope": lambda t, s: envelopes.night_envelope(_grouped(t, s), _night_keys(t)),
+    "night_envelope": lambda t, s: envelopes.night_envelope(_grouped(t, s), _night_keys(t), s),
     "combined_envelope": _combined,
     "trimmed_edges": _trimmed_week,
     "flex_hours": lambda t, s: hours.flex_hours(_trimmed(t, s)),
@@ -191,10 +192,10 @@ _QUERIES: dict[str, Query] = {
     "sick_fill": _sick_fill,
     "sick_hours": _sick_hours,
     "clamped_hours": _final,
-    "total_workdays": lambda t, s: reports.total_workdays(_staged_final(t, s)),
+    "total_workdays": lambda t, s: reports.total_workdays(_staged_final(t, s), s),
     "performance_fact": _fact,
     "report_basis": lambda t, s: reports.report_basis(
-        reports.total_workdays(_staged_final(t, s))
+        reports.total_workdays(_staged_final(t, s), s)
     ),
     "report_day_hours": lambda t, s: reports.report_day_hours(_final(t, s)),
     "absence_pivot": lambda t, s: reports.absence_pivot(_final(t, s)),
@@ -209,7 +210,9 @@ _QUERIES: dict[str, Query] = {
     "date_spine": lambda t, s: payroll.date_spine(t.order_facts(), "day", ORDERS_AS_OF),
     "mapped_performance": lambda t, s: payroll.map_performance(_fact(t, s), t.mapping_view()),
     "recode_doubles": _recoded,
-    "recode_order_doubles": lambda t, s: payroll.recode_doubles(t.order_facts()),
+    "recode_order_doubles": lambda t, s: payroll.recode_doubles(
+        s.write(t.order_facts(), "order_facts"), s
+    ),
     "dense_calendar": _dense_orders,
     "bridged_gaps": _bridged,
     "bridged_order_gaps": lambda t, s: payroll.bridge_codes(

@@ -11,6 +11,7 @@ from pyspark.sql.window import WindowSpec
 
 from shiftledger import settings as S
 from shiftledger.functions.clock import clock_text, hms, midnight
+from shiftledger.sources.stages import Stages
 
 _PAIR = ["employee_id", "gr", "start_day", "end_day"]
 DAY_SHIFT = "LN"
@@ -124,10 +125,9 @@ def _night_end() -> Column:
     return F.max(F.when(_near_key("end_day", -1, 0), F.col("_end"))).over(_over())
 
 
-def _attach(sessions: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Bounds of the row's own day pair: one shuffle of the shifts, whose hot
-    groups Spark's skew join splits."""
-    keyed = bounds.withColumnsRenamed({name: f"_{name}" for name in _PAIR})
+def _attach(sessions: DataFrame, bounds: DataFrame, stages: Stages) -> DataFrame:
+    """Bounds of the row's own day pair, in at most one shuffle of the shifts."""
+    keyed = stages.write(bounds, "bounds").withColumnsRenamed({name: f"_{name}" for name in _PAIR})
     rows = sessions.withColumns({"start_day": F.to_date(_start()), "end_day": F.to_date(_end())})
     same = (
         (F.col("employee_id") == F.col("_employee_id"))
@@ -165,15 +165,15 @@ def _join_bounds(sessions: DataFrame, starts: DataFrame, ends: DataFrame) -> Dat
     )
 
 
-def day_envelope(sessions: DataFrame) -> DataFrame:
+def day_envelope(sessions: DataFrame, stages: Stages) -> DataFrame:
     """First start per employee, group and start date; last end per end date."""
     bounds = _day_pairs(sessions).select(
         *_PAIR, _day_start().alias("first_start_time"), _day_end().alias("last_end_time")
     )
-    return _finish(_attach(sessions, bounds)).withColumn("night_shift", F.lit(DAY_SHIFT))
+    return _finish(_attach(sessions, bounds, stages)).withColumn("night_shift", F.lit(DAY_SHIFT))
 
 
-def night_envelope(sessions: DataFrame, keys: DataFrame) -> DataFrame:
+def night_envelope(sessions: DataFrame, keys: DataFrame, stages: Stages) -> DataFrame:
     """Employees with a night key: first start and last end of the whole group
     near any of their keys, so a shift over midnight stays one shift."""
     employees = _night_employees(keys)
@@ -185,10 +185,10 @@ def night_envelope(sessions: DataFrame, keys: DataFrame) -> DataFrame:
         )
     )
     rows = sessions.join(employees, "employee_id", "left_semi")
-    return _finish(_attach(rows, bounds)).withColumn("night_shift", F.lit(NIGHT_SHIFT))
+    return _finish(_attach(rows, bounds, stages)).withColumn("night_shift", F.lit(NIGHT_SHIFT))
 
 
-def combine_envelopes(sessions: DataFrame, keys: DataFrame) -> DataFrame:
+def combine_envelopes(sessions: DataFrame, keys: DataFrame, stages: Stages) -> DataFrame:
     """Night envelope for employees with a night key, day envelope for the rest.
 
     The choice is made on the day pairs, so the shifts are not scanned once per
@@ -206,4 +206,4 @@ def combine_envelopes(sessions: DataFrame, keys: DataFrame) -> DataFrame:
             choose(F.lit(NIGHT_SHIFT), F.lit(DAY_SHIFT)).alias("night_shift"),
         )
     )
-    return _finish(_attach(sessions, bounds))
+    return _finish(_attach(sessions, bounds, stages))

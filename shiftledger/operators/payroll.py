@@ -56,7 +56,9 @@ def map_performance(performance: DataFrame, mapping_view: DataFrame) -> DataFram
     )
 
 
-def recode_doubles(mapped: DataFrame, code: str = S.WORK_CODE, other: str = S.HOME_CODE) -> DataFrame:
+def recode_doubles(
+    mapped: DataFrame, stages: Stages, code: str = S.WORK_CODE, other: str = S.HOME_CODE
+) -> DataFrame:
     """Work code becomes the home code on days of a reference that have at least
     two rows of the two codes."""
     doubles = (
@@ -67,7 +69,7 @@ def recode_doubles(mapped: DataFrame, code: str = S.WORK_CODE, other: str = S.HO
     )
     plain = code_number(F.col("performance_code")) == int(code)
     return (
-        mapped.join(doubles, ["external_reference", "day"], "left")
+        mapped.join(stages.write(doubles, "doubles"), ["external_reference", "day"], "left")
         .withColumn(
             "performance_code",
             F.when(plain & F.col("_rows").isNotNull(), other).otherwise(F.col("performance_code")),
@@ -156,7 +158,7 @@ def bridge_codes(df: DataFrame, prefix: str, priority: tuple[str, ...] = S.BRIDG
     )
 
 
-def backfill_identity(df: DataFrame) -> DataFrame:
+def backfill_identity(df: DataFrame, stages: Stages) -> DataFrame:
     """Rows without an agreement number take the identity known for their
     reference (the smallest, when there are several)."""
     known = (
@@ -166,7 +168,7 @@ def backfill_identity(df: DataFrame) -> DataFrame:
     )
     take = F.col("agreement_number").isNull() & F.col("_known").isNotNull()
     return (
-        df.join(known, "external_reference", "left")
+        df.join(stages.write(known, "identities"), "external_reference", "left")
         .withColumns(
             {name: F.when(take, F.col(f"_known.{name}")).otherwise(F.col(name)) for name in _PERSON}
         )

@@ -9,6 +9,7 @@ from shiftledger import settings as S
 from shiftledger.functions.clock import hour_minute_text
 from shiftledger.functions.values import snap_hours
 from shiftledger.operators.hours import FLEX_COLUMNS
+from shiftledger.sources.stages import Stages
 
 # Report headers (working name, header).
 _BASIS = (
@@ -81,7 +82,7 @@ _DAY_SUMS = (
 ABSENCE_TOTAL = "Afwezige uren"
 
 
-def total_workdays(df: DataFrame) -> DataFrame:
+def total_workdays(df: DataFrame, stages: Stages) -> DataFrame:
     """Add the number of distinct working days per login; a row without a first
     start counts as one more day."""
     days = (
@@ -91,7 +92,7 @@ def total_workdays(df: DataFrame) -> DataFrame:
         .groupBy("employee_login")
         .agg(F.count(F.lit(1)).alias("total_workdays"))
     )
-    return df.join(days, "employee_login", "left")
+    return df.join(stages.write(days, "workdays"), "employee_login", "left")
 
 
 def publish_performance(df: DataFrame, office_prefix: str = "vast") -> DataFrame:

@@ -65,11 +65,12 @@ def enrich_shifts(
     employee: DataFrame,
     span: tuple[Column, Column],
     wide: tuple[Column, Column],
+    stages: Stages,
 ) -> DataFrame:
     """Planned shifts of the widened span with activity and employee profile.
 
-    The joins carry no hints: Spark broadcasts a dimension when its measured size
-    allows, and sort-merge joins it with skew splitting when not.
+    The joins carry no hints: Spark broadcasts a dimension when its size allows,
+    and sort-merge joins it with skew splitting when not.
     """
     official = F.col("official_name")
     at_home = (F.col("is_homeworking") == 1) & (official == S.WORK_GROUP)
@@ -121,12 +122,10 @@ def enrich_shifts(
     # The inner join keeps current employees only.
     profiles = current_employees(employee).filter(F.col("stop_date") > wide[0])
     workdays = planned_workdays(planned, span)
-    return (
-        shifts.join(profiles.join(workdays, "employee_id", "left"), "employee_id")
-        .withColumn(
-            "scheduled_total_time",
-            (F.col("scheduled_paid_time") + F.col("scheduled_absence_time")).cast("decimal(19,6)"),
-        )
+    people = stages.write(profiles.join(workdays, "employee_id", "left"), "profiles")
+    return shifts.join(people, "employee_id").withColumn(
+        "scheduled_total_time",
+        (F.col("scheduled_paid_time") + F.col("scheduled_absence_time")).cast("decimal(19,6)"),
     )
 
 

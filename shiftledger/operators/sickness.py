@@ -11,6 +11,7 @@ from shiftledger import settings as S
 from shiftledger.functions.clock import hms, midnight
 from shiftledger.functions.values import code_number
 from shiftledger.operators.hours import HOUR_COLUMNS
+from shiftledger.sources.stages import Stages
 
 _TEMPLATE = [
     "register_number", "last_name", "first_name", "full_name", "interim_office",
@@ -104,6 +105,7 @@ def with_sick_days(hours: DataFrame, date_dim: DataFrame, flip_persons: Iterable
 
 def sick_hours(
     df: DataFrame,
+    stages: Stages,
     exempt_persons: Iterable[int] = (),
     overrides: DataFrame | None = None,
     codes: Iterable[int] = S.SICK_CODES,
@@ -158,11 +160,14 @@ def sick_hours(
         ).distinct()
         single = single.join(cleared, ["person_id", "shift_start_date"], "left")
         value = F.when(F.col("_cleared"), F.lit(0).cast("decimal(19,6)")).otherwise(value)
-    updates = single.select(
-        "person_id",
-        "shift_start_date",
-        "performance_code",
-        F.struct(value.alias("hours")).alias("_update"),
+    updates = stages.write(
+        single.select(
+            "person_id",
+            "shift_start_date",
+            "performance_code",
+            F.struct(value.alias("hours")).alias("_update"),
+        ),
+        "sick_hours",
     )
     return (
         df.join(updates, ["person_id", "shift_start_date", "performance_code"], "left")

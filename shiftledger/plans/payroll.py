@@ -15,7 +15,7 @@ from shiftledger.sources.tables import publish_version, read_version
 def recoded_performance(performance: DataFrame, mapping_view: DataFrame, stages: Stages) -> DataFrame:
     # Read by the spine start, the double days, the references and the rows.
     mapped = stages.write(payroll.map_performance(performance, mapping_view), "mapped")
-    return payroll.recode_doubles(mapped)
+    return payroll.recode_doubles(mapped, stages)
 
 
 def bridged_performance(
@@ -43,7 +43,7 @@ def staged_payroll(
     bridged = stages.write(
         bridged_performance(performance, mapping_view, as_of, settings, stages), "bridged"
     )
-    return payroll.recent_months(payroll.backfill_identity(bridged), as_of)
+    return payroll.recent_months(payroll.backfill_identity(bridged, stages), as_of)
 
 
 def build_payroll(

@@ -35,7 +35,7 @@ class PerformanceResult:
 def ordered_shifts(tables: ShiftTables, span_code: str, as_of: date, stages: Stages) -> DataFrame:
     span = spans.resolve_span(span_code, as_of)
     enriched = shifts.enrich_shifts(
-        tables.planned, tables.activity, tables.employee, span, spans.widen(span)
+        tables.planned, tables.activity, tables.employee, span, spans.widen(span), stages
     )
     return shifts.order_shifts(enriched, stages)
 
@@ -53,7 +53,7 @@ def enveloped_shifts(
 ) -> DataFrame:
     # A stage table: read by the day starts, the day ends and the rows themselves.
     sessions = grouped_shifts(tables, span_code, as_of, settings, stages)
-    return envelopes.combine_envelopes(sessions, envelopes.night_shift_keys(tables.planned))
+    return envelopes.combine_envelopes(sessions, envelopes.night_shift_keys(tables.planned), stages)
 
 
 def shift_hours(
@@ -79,7 +79,7 @@ def final_hours(
 ) -> DataFrame:
     filled = filled_hours(tables, span_code, as_of, settings, stages)
     defaulted = sickness.sick_hours(
-        filled, settings.exempt_persons, tables.overrides, settings.sick_codes
+        filled, stages, settings.exempt_persons, tables.overrides, settings.sick_codes
     )
     return clamp_hours(drop_activities(defaulted, [OFF_DAY]), hours.HOUR_COLUMNS)
 
@@ -101,16 +101,18 @@ def run_performance(
     # Read by the fact and by the report.
     final = stages.write(final_hours(tables, span_code, as_of, settings, stages), "final")
     fact = reports.publish_performance(final, settings.fact_office_prefix)
-    return PerformanceResult(fact, select_report(final, mode, span_code, as_of))
+    return PerformanceResult(fact, select_report(final, mode, span_code, as_of, stages))
 
 
-def select_report(final: DataFrame, mode: str, span_code: str, as_of: date) -> DataFrame | None:
+def select_report(
+    final: DataFrame, mode: str, span_code: str, as_of: date, stages: Stages
+) -> DataFrame | None:
     cumulative = span_code in spans.CUMULATIVE_CODES
     if mode == "publish":
         return None
     if mode == "basis":
         # The only report that shows the working days.
-        return reports.report_basis(reports.total_workdays(final))
+        return reports.report_basis(reports.total_workdays(final, stages))
     if cumulative:
         wide = spans.widen(spans.resolve_span(span_code, as_of))
         return reports.report_cumulative(final, wide)

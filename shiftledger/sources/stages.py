@@ -1,5 +1,11 @@
 """Stage tables: intermediate results written once and read by several consumers.
 
+Small sides of large joins go through here too. Spark then knows their size
+before it plans the join: it broadcasts what fits the broadcast threshold without
+shuffling the large side, and otherwise sort-merge joins two plain shuffles, which
+is the only shape whose hot keys it can split. An aggregate joined straight back
+on its own grouping keys has no shuffle of its own and would not be split.
+
 They live in the shared folder the cluster names in ``spark.checkpoint.dir``, so
 a lost executor costs a re-read, never a different result.
 """

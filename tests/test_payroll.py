@@ -152,7 +152,7 @@ def test_map_performance(spark):
     ]
 
 
-def test_recode_doubles(spark):
+def test_recode_doubles(spark, stages):
     df = make(
         spark,
         fact("2024-01-02", "0100"), fact("2024-01-02", "1020"), fact("2024-01-02", "0050"),
@@ -161,7 +161,7 @@ def test_recode_doubles(spark):
         fact("2024-01-05", "0100", external_reference=None),
         fact("2024-01-05", "1020", external_reference=None),
     )
-    got = rows_of(payroll.recode_doubles(df), "day", "performance_code")
+    got = rows_of(payroll.recode_doubles(df, stages), "day", "performance_code")
     assert got == [
         (day("2024-01-02"), "0050"), (day("2024-01-02"), "1020"), (day("2024-01-02"), "1020"),
         (day("2024-01-03"), "0100"), (day("2024-01-03"), "ABC"),
@@ -250,7 +250,7 @@ def test_hours_are_summed_per_code(spark, stages):
     ]
 
 
-def test_backfill_takes_the_smallest_identity(spark):
+def test_backfill_takes_the_smallest_identity(spark, stages):
     df = make(
         spark,
         fact("2024-01-02", "4503", agreement_number=9, login="bob"),
@@ -259,7 +259,7 @@ def test_backfill_takes_the_smallest_identity(spark):
         fact("2024-01-05", "4503", agreement_number=None, login="x", external_reference="B"),
         fact("2024-01-06", "4503", agreement_number=None, login="x", external_reference=None),
     )
-    got = rows_of(payroll.backfill_identity(df), "day", "agreement_number", "login")
+    got = rows_of(payroll.backfill_identity(df, stages), "day", "agreement_number", "login")
     assert [(d.day, a, l) for d, a, l in got] == [
         (2, 9, "bob"), (3, 7, "ann"), (4, 7, "ann"), (5, None, "x"), (6, None, "x"),
     ]

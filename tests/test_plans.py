@@ -84,9 +84,9 @@ def test_no_nested_loop_or_cross_join(spark):
     facts = stages.write(source.order_facts(), "facts")
     frames = [
         groups,
-        envelopes.combine_envelopes(groups, keys),
+        envelopes.combine_envelopes(groups, keys, stages),
         sickness.with_sick_days(worked, shift_tables.date_dim, (), (4503, 3523)),
-        sickness.sick_hours(worked, (), shift_tables.overrides),
+        sickness.sick_hours(worked, stages, (), shift_tables.overrides),
         payroll.densify(facts, adapter.ORDERS_AS_OF),
         payroll.neighbour_codes(payroll.densify(facts, adapter.ORDERS_AS_OF), stages),
     ]

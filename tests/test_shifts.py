@@ -53,13 +53,14 @@ def make_employee(spark, *rows):
     return frame(spark, schemas.EMPLOYEE, rows or [{}], **base)
 
 
-def enrich(spark, planned, employee=None):
+def enrich(spark, stages, planned, employee=None):
     return shifts.enrich_shifts(
         make_planned(spark, planned),
         make_activity(spark),
         employee if employee is not None else make_employee(spark),
         week(),
         spans.widen(week()),
+        stages,
     )
 
 
@@ -90,7 +91,7 @@ def test_current_employees(spark):
     ]
 
 
-def test_enrichment(spark):
+def test_enrichment(spark, stages):
     rows = [
         planned_row("2024-01-08 08:00:00", "2024-01-08 10:00:00", is_homeworking=1),
         planned_row("2024-01-09 08:00:00", "2024-01-09 10:00:00", activity_id="h", is_break_split=1),
@@ -105,7 +106,7 @@ def test_enrichment(spark):
         planned_row("2024-01-08 08:00:00", "2024-01-08 10:00:00", employee_id=9),
     ]
     got = rows_of(
-        enrich(spark, rows),
+        enrich(spark, stages, rows),
         "start_time", "shift_start_second", "activity_group", "performance_code",
         "scheduled_total_time", "break_split_shift", "is_holiday", "planned_workdays",
     )
@@ -117,16 +118,16 @@ def test_enrichment(spark):
     ]
 
 
-def test_left_employees_are_dropped(spark):
+def test_left_employees_are_dropped(spark, stages):
     planned = [planned_row("2024-01-08 08:00:00", "2024-01-08 10:00:00")]
     gone = make_employee(spark, {"end_date": day("2024-01-07")})
     still = make_employee(spark, {"end_date": day("2024-01-08")})
-    assert enrich(spark, planned, gone).count() == 0
-    assert enrich(spark, planned, still).count() == 1
+    assert enrich(spark, stages, planned, gone).count() == 0
+    assert enrich(spark, stages, planned, still).count() == 1
 
 
 def sessions_of(spark, stages, planned, employee=None):
-    ordered = shifts.order_shifts(enrich(spark, planned, employee), stages)
+    ordered = shifts.order_shifts(enrich(spark, stages, planned, employee), stages)
     return shifts.shift_groups(shifts.shift_sessions(ordered, ("Lunch",)), stages)
 
 
@@ -193,7 +194,7 @@ NIGHT = [
 
 
 def test_day_envelope_splits_at_midnight(spark, stages):
-    got = envelopes.day_envelope(sessions_of(spark, stages, NIGHT))
+    got = envelopes.day_envelope(sessions_of(spark, stages, NIGHT), stages)
     assert rows_of(got, "start_time", "day_first_last_hour", "night_shift") == [
         (at("2024-01-08 22:00:00"), "22:00:00 - 06:00:00", "LN"),
         (at("2024-01-09 02:00:00"), "02:00:00 - 06:00:00", "LN"),
@@ -208,18 +209,18 @@ def test_night_envelope_keeps_the_shift_whole(spark, stages):
         (at("2024-01-09 02:00:00"), "22:00:00 - 06:00:00", "NLN"),
     ]
     columns = ("start_time", "day_first_last_hour", "night_shift")
-    assert rows_of(envelopes.night_envelope(sessions, near), *columns) == expected
-    assert rows_of(envelopes.combine_envelopes(sessions, near), *columns) == expected
+    assert rows_of(envelopes.night_envelope(sessions, near, stages), *columns) == expected
+    assert rows_of(envelopes.combine_envelopes(sessions, near, stages), *columns) == expected
     # A key the day after the end is too far from the end of the shift.
     before = night_keys(spark, ("20240110", 1, "NLN"))
-    assert rows_of(envelopes.night_envelope(sessions, before), *columns) == [
+    assert rows_of(envelopes.night_envelope(sessions, before, stages), *columns) == [
         (at("2024-01-08 22:00:00"), None, "NLN"),
         (at("2024-01-09 02:00:00"), None, "NLN"),
     ]
     # Another employee's key changes nothing.
     other = night_keys(spark, ("20240108", 2, "NLN"))
-    assert envelopes.night_envelope(sessions, other).count() == 0
-    assert {row.night_shift for row in envelopes.combine_envelopes(sessions, other).collect()} == {"LN"}
+    assert envelopes.night_envelope(sessions, other, stages).count() == 0
+    assert {row.night_shift for row in envelopes.combine_envelopes(sessions, other, stages).collect()} == {"LN"}
 
 
 def test_incomplete_days_are_dropped(spark, stages):
@@ -235,7 +236,7 @@ def test_incomplete_days_are_dropped(spark, stages):
             planned_row("2024-01-13 08:00:00", "2024-01-13 12:00:00"),
         ],
     )
-    kept = rows_of(envelopes.day_envelope(sessions), "shift_start_date")
+    kept = rows_of(envelopes.day_envelope(sessions, stages), "shift_start_date")
     assert kept == [(day("2024-01-11"),), (day("2024-01-13"),)]
 
 

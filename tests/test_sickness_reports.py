@@ -85,7 +85,7 @@ def total(df):
     }
 
 
-def test_sick_hours(spark):
+def test_sick_hours(spark, stages):
     df = make(
         spark,
         row("2024-01-02", "4503", "0"),
@@ -102,25 +102,25 @@ def test_sick_hours(spark):
         row("2024-01-15", "0050", "0"),
     )
     overrides = frame(spark, "person_id bigint, day date", [{"person_id": 1, "day": day("2024-01-11")}])
-    got = total(sickness.sick_hours(df, exempt_persons=(2,), overrides=overrides))
+    got = total(sickness.sick_hours(df, stages, exempt_persons=(2,), overrides=overrides))
     assert got == {
         (2, "4503"): 8, (3, "4503"): 0, (3, "0100"): 2, (6, "4503"): 0, (8, "3523"): 5,
         (9, "4503"): 0, (10, "4503"): 0, (11, "4503"): 0, (12, "4503"): None, (15, "0050"): 0,
     }
 
 
-def test_sick_hours_refuse_two_values(spark):
+def test_sick_hours_refuse_two_values(spark, stages):
     df = make(spark, row("2024-01-02", "4503", "0"), row("2024-01-02", "4503", "4"))
     with pytest.raises(PySparkException, match="several sick hour values"):
-        sickness.sick_hours(df).collect()
+        sickness.sick_hours(df, stages).collect()
 
 
-def test_sick_hours_same_value_is_fine(spark):
+def test_sick_hours_same_value_is_fine(spark, stages):
     df = make(spark, row("2024-01-02", "4503", "0"), row("2024-01-02", "4503", "8"))
-    assert [r.scheduled_total_time for r in sickness.sick_hours(df).collect()] == [8, 8]
+    assert [r.scheduled_total_time for r in sickness.sick_hours(df, stages).collect()] == [8, 8]
 
 
-def test_total_workdays_count_unknown_days(spark):
+def test_total_workdays_count_unknown_days(spark, stages):
     df = make(
         spark,
         row("2024-01-02"),
@@ -130,7 +130,7 @@ def test_total_workdays_count_unknown_days(spark):
         row("2024-01-05", first_start_time=None),
         row("2024-01-05", employee_login=""),
     ).drop("total_workdays")
-    got = rows_of(reports.total_workdays(df).select("employee_login", "total_workdays").distinct(),
+    got = rows_of(reports.total_workdays(df, stages).select("employee_login", "total_workdays").distinct(),
                   "employee_login", "total_workdays")
     assert got == [("", None), ("ann", 3)]
 
@@ -249,7 +249,7 @@ def test_report_cumulative_sorts_and_shows_the_span(spark):
         ("other", "PW", None),
     ],
 )
-def test_mode_dispatch(spark, mode, code, column):
+def test_mode_dispatch(spark, stages, mode, code, column):
     final = make(spark, row("2024-01-02")).drop("total_workdays")
-    got = select_report(final, mode, code, day("2024-01-17"))
+    got = select_report(final, mode, code, day("2024-01-17"), stages)
     assert (got is None) if column is None else (column in got.columns)
