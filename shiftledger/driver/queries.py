@@ -199,7 +199,9 @@ _QUERIES: dict[str, Query] = {
     ),
     "report_day_hours": lambda t, s: reports.report_day_hours(_final(t, s)),
     "absence_pivot": lambda t, s: reports.absence_pivot(_final(t, s)),
-    "report_long": lambda t, s: reports.report_long(_staged_final(t, s)),
+    "report_long": lambda t, s: reports.report_long(
+        s.write(plan.report_columns(_final(t, s), "long"), "final")
+    ),
     "report_short": lambda t, s: reports.report_short(_final(t, s)),
     "report_cumulative": lambda t, s: reports.report_cumulative(_final(t, s), _wide()),
     "employee_identity": lambda t, s: _identity(t),

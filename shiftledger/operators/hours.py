@@ -25,7 +25,8 @@ FLEX_COLUMNS = [
     "flex_holiday_hours",
 ]
 HOUR_COLUMNS = [*FLEX_COLUMNS, "default_hours", "night_agent_hours"]
-_ROW_ONLY = [
+# Columns no later step reads.
+ROW_ONLY = [
     "type_shift", "contract_name", "contract_name_short", "contract_day_max",
     "contract_week_max", "is_homeworking", "night_shift",
 ]
@@ -133,5 +134,5 @@ def combine_hours(rows: DataFrame) -> DataFrame:
         .withColumns({name: by_day(name) for name in [*FLEX_COLUMNS, "default_hours", "is_holiday"]})
         .withColumn("night_agent_hours", F.when(night, _night_value()))
         .withColumn("shift_start_date", F.to_date("first_start_time"))
-        .drop(*_ROW_ONLY)
+        .drop(*ROW_ONLY)
     )

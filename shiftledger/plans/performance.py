@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -14,6 +15,12 @@ from shiftledger.sources.schemas import PERFORMANCE_HEADERS, with_headers
 from shiftledger.sources.stages import Stages
 
 MODES = ("publish", "basis", "long", "short")
+_SUMMED = [
+    "register_number", "last_name", "first_name", "interim_office", "organization",
+    "employment_place", "job_function", "employee_login", "person_id", "shift_start_date",
+    "performance_code", "scheduled_activity", "activity_group", "scheduled_total_time",
+    "break_split_shift", "first_start_hour", "last_end_hour",
+]
 
 
 @dataclass(frozen=True)
@@ -41,25 +48,35 @@ def ordered_shifts(tables: ShiftTables, span_code: str, as_of: date, stages: Sta
 
 
 def grouped_shifts(
-    tables: ShiftTables, span_code: str, as_of: date, settings: Settings, stages: Stages
+    tables: ShiftTables,
+    span_code: str,
+    as_of: date,
+    settings: Settings,
+    stages: Stages,
+    unused: Sequence[str] = (),
 ) -> DataFrame:
-    ordered = ordered_shifts(tables, span_code, as_of, stages)
+    ordered = ordered_shifts(tables, span_code, as_of, stages).drop(*unused)
     sessions = shifts.shift_sessions(ordered, settings.dropped_activities, settings.gap_minutes)
     return shifts.shift_groups(sessions, stages)
 
 
 def enveloped_shifts(
-    tables: ShiftTables, span_code: str, as_of: date, settings: Settings, stages: Stages
+    tables: ShiftTables,
+    span_code: str,
+    as_of: date,
+    settings: Settings,
+    stages: Stages,
+    unused: Sequence[str] = (),
 ) -> DataFrame:
-    # A stage table: read by the day starts, the day ends and the rows themselves.
-    sessions = grouped_shifts(tables, span_code, as_of, settings, stages)
+    # A stage table: read by the day pairs and by the rows themselves.
+    sessions = grouped_shifts(tables, span_code, as_of, settings, stages, unused)
     return envelopes.combine_envelopes(sessions, envelopes.night_shift_keys(tables.planned), stages)
 
 
 def shift_hours(
     tables: ShiftTables, span_code: str, as_of: date, settings: Settings, stages: Stages
 ) -> DataFrame:
-    enveloped = enveloped_shifts(tables, span_code, as_of, settings, stages)
+    enveloped = enveloped_shifts(tables, span_code, as_of, settings, stages, hours.ROW_ONLY)
     wide = spans.widen(spans.resolve_span(span_code, as_of))
     return hours.combine_hours(shifts.trim_edges(enveloped, wide))
 
@@ -98,12 +115,19 @@ def run_performance(
     span code gives the cumulative report whatever the mode.
     """
     stages = Stages(spark)
-    # Read by the fact and by the report.
-    final = stages.write(final_hours(tables, span_code, as_of, settings, stages), "final")
+    final = final_hours(tables, span_code, as_of, settings, stages)
+    if mode != "publish":
+        # Read by the fact and by the report.
+        final = stages.write(report_columns(final, mode), "final")
     fact = reports.publish_performance(final, settings.fact_office_prefix)
     return PerformanceResult(fact, select_report(final, mode, span_code, as_of, stages))
 
 
+def report_columns(final: DataFrame, mode: str) -> DataFrame:
+    """What the fact and the report read; only the detail report needs it all."""
+    return final if mode == "basis" else final.select(*_SUMMED, *hours.HOUR_COLUMNS)
+
+
 def select_report(
     final: DataFrame, mode: str, span_code: str, as_of: date, stages: Stages
 ) -> DataFrame | None:
