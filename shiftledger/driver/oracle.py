@@ -678,7 +678,7 @@ QUERIES: dict[str, tuple[dict[str, str], str]] = {
                   shift_end_date AS "ShiftEndDate", scheduled_paid_time AS "ScheduledPaidTime",
                   scheduled_absence_time AS "ScheduledAbsenceTime",
                   scheduled_total_time AS "ScheduledTotalTime",
-                  scheduled_activity AS "ScheduledActivity", activity_group AS "SolvusActivityGroup",
+                  scheduled_activity AS "ScheduledActivity", activity_group AS "ActivityGroup",
                   is_absence_time AS "IsAbsenceTime", stop_date AS "StopDate",
                   employee_login AS "EmployeeLogin", employee_id AS "EmployeeID",
                   person_id AS "PERSON_ID", register_row_nr AS "RegisterNumber_RowNr",

@@ -57,7 +57,7 @@ _BASIS = """
 RegisterNumber:s LastName:s FirstName:s FullName:s InterimOffice:s Day_FirstLastHour:s
 Organization:s Address:s ZipCode:s Residence:s HireDate:d StartTime:t EndTime:t ShiftStartDate:d
 ShiftStartHour:s ShiftEndDate:d ShiftEndHour:s ScheduledPaidTime:f ScheduledAbsenceTime:f
-ScheduledTotalTime:f ScheduledActivity:s SolvusActivityGroup:s IsAbsenceTime:i StopDate:d
+ScheduledTotalTime:f ScheduledActivity:s ActivityGroup:s IsAbsenceTime:i StopDate:d
 EmployeeLogin:s EmployeeID:i PERSON_ID:i RegisterNumber_RowNr:i RowNr:i IsHoliDay:i
 PerformanceCode:s Function:s Gr:i NewShiftTime:i NewShift:i DaysDiff:i FirstStartTime:t
 LastEndTime:t FirstStartHour:s LastEndHour:s TimeType:s WeekDayName:s FlexSaturdayHours:f

@@ -34,7 +34,7 @@ _BASIS = (
     ("scheduled_absence_time", "ScheduledAbsenceTime"),
     ("scheduled_total_time", "ScheduledTotalTime"),
     ("scheduled_activity", "ScheduledActivity"),
-    ("activity_group", "SolvusActivityGroup"),
+    ("activity_group", "ActivityGroup"),
     ("is_absence_time", "IsAbsenceTime"),
     ("stop_date", "StopDate"),
     ("employee_login", "EmployeeLogin"),
