@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftledger.llm import packing, token_files
+from shiftledger.llm import mixing, packing, quality, sharding, token_files
 from shiftledger.llm.common import Scratch, table, tokenizer_path
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
@@ -23,10 +27,25 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_shards(spark, folder, manifest)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "row.doc_id", "row.source", "tokens", "exponent", "weight", "epoch", "block", "block_place"
+    )
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_sharding": op3_sharding,
         "op6_packing": op6_packing,
         "op8_token_files": op8_token_files,
+        "op9_mixing": op9_mixing,
+        "op10_quality": op10_quality,
     }
 
 
