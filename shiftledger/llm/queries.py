@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftledger.llm import mixing, packing, quality, sharding, token_files
+from shiftledger.llm import html_crf, mixing, packing, quality, sharding, token_files
 from shiftledger.llm.common import Scratch, table, tokenizer_path
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_crf.extract(pages, html_crf.train(pages))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extraction": op1_html_extraction,
         "op3_sharding": op3_sharding,
         "op6_packing": op6_packing,
         "op8_token_files": op8_token_files,
