@@ -14,6 +14,7 @@ equal scores. No usable labels: every score is 0.5. Empty table: no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,8 @@ from shiftledger.llm import textbytes as tb
 
 BITS = 18
 SAMPLE = 8000
-PARTS = 8
-EPOCHS = 4
+PARTS = 16
+EPOCHS = 8
 SCALE = 10.0
 
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -70,7 +71,7 @@ def features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class FollowTheLeader:
     """FTRL-proximal for logistic loss; the last place is the bias."""
 
-    def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.05) -> None:
+    def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.005, l2: float = 0.05) -> None:
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z = np.zeros((1 << BITS) + 1)
         self.n = np.zeros((1 << BITS) + 1)
@@ -105,37 +106,37 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, parts: int =
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # at most `sample` rows of two numbers
-    chosen = rows.join(F.broadcast(known), "doc_id").repartition(parts, "doc_id").sortWithinPartitions(
-        F.xxhash64(F.lit(1), "doc_id"), "doc_id", "text"
+    chosen = rows.join(F.broadcast(known), "doc_id").withColumn(
+        "part", F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(parts))
     )
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learn(group: pa.Table) -> pa.Table:
+        order = group.append_column("order", pa.array([zlib.crc32(b"%d" % d) for d in group.column("doc_id").to_pylist()]))
+        group = order.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
         texts = []
-        for batch in batches:
-            data, bounds = tb.bytes_of(batch.column(1))
-            label = batch.column(2).to_numpy()
-            for first, _, part, at in tb.pieces(data, bounds):
-                places, row, counts = features(part, at)
-                by_row = np.argsort(row, kind="stable")
-                cut = np.append(0, np.cumsum(np.bincount(row, minlength=len(counts))))
-                for i, n in enumerate(counts):
-                    place, times = np.unique(places[by_row[cut[i] : cut[i + 1]]], return_counts=True)
-                    texts.append((
-                        np.append(place, 1 << BITS).astype(np.int32),
-                        np.append(SCALE * times / max(n, 1), 1.0).astype(np.float32),
-                        float(label[first + i]),
-                    ))
-        if texts:
-            model = FollowTheLeader()
-            for _ in range(EPOCHS):
-                for text in texts:
-                    model.step(*text)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([len(texts)], pa.int64()), pa.array([model.weights().astype("<f8").tobytes()], pa.binary())],
-                names=["texts", "weights"],
-            )
-
-    models = chosen.mapInArrow(learn, "texts long, weights binary").collect()  # `parts` vectors of fixed size
+        data, bounds = tb.bytes_of(group.column("text"))
+        label = group.column("y").to_numpy()
+        for first, _, part, at in tb.pieces(data, bounds):
+            places, row, counts = features(part, at)
+            by_row = np.argsort(row, kind="stable")
+            cut = np.append(0, np.cumsum(np.bincount(row, minlength=len(counts))))
+            for i, n in enumerate(counts):
+                place, times = np.unique(places[by_row[cut[i] : cut[i + 1]]], return_counts=True)
+                texts.append((
+                    np.append(place, 1 << BITS).astype(np.int32),
+                    np.append(SCALE * times / max(n, 1), 1.0).astype(np.float32),
+                    float(label[first + i]),
+                ))
+        model = FollowTheLeader()
+        for _ in range(EPOCHS):
+            for text in texts:
+                model.step(*text)
+        return pa.table({
+            "texts": pa.array([len(texts)], pa.int64()),
+            "weights": pa.array([model.weights().astype("<f8").tobytes()], pa.binary()),
+        })
+
+    models = chosen.groupBy("part").applyInArrow(learn, "texts long, weights binary").collect()  # `parts` vectors of fixed size
     total = np.zeros((1 << BITS) + 1)
     for m in sorted(models, key=lambda m: (m["texts"], m["weights"])):
         total += m["texts"] * np.frombuffer(m["weights"], "<f8")
