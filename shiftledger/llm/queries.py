@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiftledger.llm import html_crf, mixing, packing, quality, sharding, token_files
+from shiftledger.llm import html_crf, lattice_dedup, mixing, packing, pivot_topk, quality, sharding, token_files
 from shiftledger.llm.common import Scratch, table, tokenizer_path
 
 
@@ -19,10 +20,18 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op5_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op7_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op8")
     folder = scratch.path("shards")
@@ -48,7 +57,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
         "op3_sharding": op3_sharding,
+        "op5_lattice_dedup": op5_lattice_dedup,
         "op6_packing": op6_packing,
+        "op7_pivot_topk": op7_pivot_topk,
         "op8_token_files": op8_token_files,
         "op9_mixing": op9_mixing,
         "op10_quality": op10_quality,
