@@ -59,6 +59,11 @@ class Scratch:
         for df in tables:
             self._fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path), True)
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished steps; it does so when the driver
+        collects garbage, which may otherwise come late."""
+        self.spark._jvm.System.gc()
+
 
 def text_key(text: Column) -> Column:
     """A text's identity: two 64-bit hashes and the length; equal texts share it."""

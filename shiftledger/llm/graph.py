@@ -16,7 +16,7 @@ from shiftledger.llm.common import Scratch
 
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(
-        F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum("v").cast("string")
+        F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)"))
     ).first()
     return tuple(row)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import html_crf, lattice_dedup, mixing, packing, pivot_topk, quality, sharding, token_files
+from shiftledger.llm import html_crf, jaccard_join, lattice_dedup, mixing, packing, pivot_topk, quality, sharding, token_files
 from shiftledger.llm.common import Scratch, table, tokenizer_path
 
 
@@ -20,6 +20,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components_of(table(spark, sf_dir, "documents"))
+
+
 def op5_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
         "op3_sharding": op3_sharding,
+        "op4_jaccard_join": op4_jaccard_join,
         "op5_lattice_dedup": op5_lattice_dedup,
         "op6_packing": op6_packing,
         "op7_pivot_topk": op7_pivot_topk,
