@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import html_crf, jaccard_join, lattice_dedup, mixing, packing, pivot_topk, quality, sharding, token_files
+from shiftledger.llm import html_crf, jaccard_join, lattice_dedup, mixing, packing, pivot_topk, quality, sharding, suffix_dedup, token_files
 from shiftledger.llm.common import Scratch, table, tokenizer_path
 
 
@@ -16,6 +16,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_crf.extract(pages, html_crf.train(pages))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_sharding": op3_sharding,
         "op4_jaccard_join": op4_jaccard_join,
         "op5_lattice_dedup": op5_lattice_dedup,
