@@ -1,21 +1,107 @@
-"""The corpus pipeline: documents through five of the training-data operators in turn."""
+"""The corpus pipeline: documents through five of the training-data operators in turn.
+
+Every stage but the last returns the columns of its input, extra ones included. A document
+is a row; null doc_ids, texts and sources are handled as the operators' docstrings say, and
+an empty table stays empty.
+
+1 quality   rows that the classifier scores under 1/2 go. It learns from `labels` outside
+            the held-out fold; a table without usable labels keeps every row.
+2 copies    of each group of documents linked by shingles, the row with the smallest
+            (doc_id, row hash) stays; rows that repeat it exactly go too. Documents without
+            words are linked with nothing and stay.
+3 repeats   every 200-byte string that occurs elsewhere is cut out of each text; a character
+            that a cut splits goes with it. Rows stay, even with an empty text; n_chars is
+            counted anew.
+4 mixing    rows of smaller sources come more than once, none is dropped.
+5 packing   the pieces of all rows in their sequences.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from shiftledger.llm import packing
+from shiftledger.llm import jaccard_join, mixing, packing, quality, suffix_dedup
 from shiftledger.llm.common import Scratch, table, tokenizer_path
 
 
+def _columns(names: list[str]) -> list:
+    return [F.col(f"row.`{c}`") for c in names]
+
+
+def _row(docs: DataFrame):
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.accepted(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "copies")
+    found = jaccard_join.JaccardJoin(docs, scratch).run()
+    # one row hash of each component, from its smallest doc_id; the hash tells apart the texts of one id
+    found = scratch.table(found.where("component IS NOT NULL").select("component", "doc_id", "row"), "found")
+    low = found.groupBy("component").agg(F.min("doc_id").alias("low"))
+    low = scratch.table(low, "low")
+    chosen = found.join(low, "component").where("doc_id <=> low").groupBy("component").agg(F.min("row").alias("row"))
+    gone = scratch.table(
+        found.select("component", "row").distinct().join(
+            scratch.table(chosen, "chosen").withColumnRenamed("row", "kept"), "component"
+        ).select("row", (F.col("row") != F.col("kept")).alias("gone")),
+        "gone",
+    )
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(_row(docs), F.xxhash64(F.col("doc_id").cast("long"), text).alias("key"))
+    once = rows.join(gone.withColumnRenamed("row", "key"), "key", "left").where("gone IS NULL OR NOT gone")
+    # rows that repeat a kept one exactly (same id, same text) are copies as well
+    order = Window.partitionBy("key").orderBy(F.to_json("row"))
+    alone = once.where("gone IS NULL").select("row")
+    kept = once.where("NOT gone").withColumn("turn", F.row_number().over(order)).where("turn = 1").select("row")
+    return alone.unionByName(kept).select(*_columns(docs.columns))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "repeats")
+    cut = scratch.table(suffix_dedup.cut_texts(docs, scratch).where("n_removed > 0").select("a", "b", "kept"), "cut")
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for b in batches:
+            texts = [unpack(x.as_buffer()).decode("utf-8", "ignore") for x in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["a", "b", "kept"])
+
+    left = cut.mapInArrow(decode, "a long, b long, kept string")
+    keyed = suffix_dedup.with_key(docs.select(_row(docs), "text")).select("row", "a", "b")
+    rows = keyed.join(left, ["a", "b"], "left")
+    changed = {
+        "text": F.coalesce(F.col("kept"), F.col("row.text")),
+        "n_chars": F.when(F.col("kept").isNotNull(), F.length("kept").cast("long")).otherwise(F.col("row.n_chars")),
+    }
+    return rows.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs).select(*_columns(docs.columns))
+
+
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(docs, tokenizer_path()))
 
 
 STAGES = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", drop_copies),
+    ("suffix-array dedup", cut_repeats),
+    ("mixing sources to target weights", mix_sources),
     ("packing", pack_windows),
 ]
 
+#: Training, byte-level dedup and the tokenizer have no SQL form; the tests use brute force.
 ORACLE_SQL = None
 
 
@@ -24,5 +110,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = scratch.table(stage(spark, docs, sf_dir), name)
+        docs = scratch.table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
