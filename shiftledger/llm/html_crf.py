@@ -319,7 +319,11 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Chain:
             names=["feature", "other", "article", "step"],
         )
 
-    rows = chosen.repartition(1).mapInArrow(learn, "feature string, other double, article double, step array<double>").collect()
+    # one row without a page, so the task runs on an empty table too
+    none = pages.sparkSession.range(1).select(
+        F.lit(None).cast(chosen.schema["page_id"].dataType).alias("page_id"), F.lit(None).cast("string").alias("html")
+    )
+    rows = chosen.unionByName(none).repartition(1).mapInArrow(learn, "feature string, other double, article double, step array<double>").collect()
     return Chain(
         {x["feature"]: i for i, x in enumerate(rows)},
         np.array([[x["other"], x["article"]] for x in rows]),
