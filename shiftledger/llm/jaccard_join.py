@@ -75,8 +75,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(sizes),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens[head].view(np.int64))),
                     pa.array([m.tobytes() for m in maps], pa.binary()),
+                    pa.array(S.wide_bitmaps(tokens, sizes), pa.binary()),
                 ],
-                names=["doc_id", "row", "set_id", "n", "prefix", "bits"],
+                names=["doc_id", "row", "set_id", "n", "prefix", "bits", "wide"],
             )
 
 
@@ -97,6 +98,11 @@ def _possible_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for t in batches:
         n, m = t.column(2).to_numpy(), t.column(4).to_numpy()
         ok = possible(n, _maps(t.column(3)), m, _maps(t.column(5))) if len(n) else np.zeros(0, bool)
+        for i in np.flatnonzero(ok & np.asarray(t.column(6).is_valid()) & np.asarray(t.column(7).is_valid())):
+            # large sets fill the common bitmap; theirs are as wide as they are large
+            a, b = (np.frombuffer(t.column(k)[i].as_buffer(), "<u8") for k in (6, 7))
+            a, b = S.folded(a, len(b)), S.folded(b, len(a))
+            ok[i] = possible(n[i : i + 1], a[None], m[i : i + 1], b[None])[0]
         yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
 
@@ -219,14 +225,13 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor().decompress
 
     def sets(column: pa.Array) -> Iterator[np.ndarray]:
-        raw = [unpack(x) for x in column.to_pylist()]
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        tokens, sizes = S.shingles(data, np.append(0, np.cumsum([len(r) for r in raw])))
-        return np.split(tokens, np.cumsum(sizes)[:-1])
+        for x in column:  # one text at a time: its arrays are many times its size
+            raw = unpack(x.as_buffer())
+            yield S.shingles(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
 
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            t = batch.slice(at, 500)
+        for at in range(0, batch.num_rows, 1000):
+            t = batch.slice(at, 1000)
             ok = []
             for x, y in zip(sets(t.column(2)), sets(t.column(3))):
                 both = np.sort(np.concatenate([x, y]))
@@ -242,12 +247,12 @@ class JaccardJoin:
 
     def _possible(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) whose sizes and bitmaps allow a link."""
-        x = sets.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
-        y = sets.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
-        near = pairs.join(x.drop("bits_a"), "a").join(y.drop("bits_b"), "b").where(
+        x = sets.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"), F.col("wide").alias("wide_a"))
+        y = sets.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"), F.col("wide").alias("wide_b"))
+        near = pairs.join(x.select("a", "n_a"), "a").join(y.select("b", "n_b"), "b").where(
             f"{DENOM} * n_a >= {NUMER} * n_b AND {DENOM} * n_b >= {NUMER} * n_a"
         ).select("a", "b")
-        rows = near.join(x, "a").join(y, "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b")
+        rows = near.join(x, "a").join(y, "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b", "wide_a", "wide_b")
         return self.scratch.table(rows.mapInArrow(_possible_pairs, "a long, b long"), name)
 
     def _verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
@@ -275,7 +280,7 @@ class JaccardJoin:
         scratch = self.scratch
         made = scratch.table(
             self.docs.select("doc_id", "row", "text").mapInArrow(
-                _sets, "doc_id long, row long, set_id long, n long, prefix array<long>, bits binary"
+                _sets, "doc_id long, row long, set_id long, n long, prefix array<long>, bits binary, wide binary"
             ),
             "made",
         )
@@ -283,7 +288,7 @@ class JaccardJoin:
         reps = light.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
         reps = scratch.table(reps, "reps")
         sets = scratch.table(
-            made.where("n > 0").select("set_id", "row", "n", "bits").join(reps, ["set_id", "row"])
+            made.where("n > 0").select("set_id", "row", "n", "bits", "wide").join(reps, ["set_id", "row"])
             .dropDuplicates(["set_id"]),
             "sets",
         )
@@ -324,7 +329,7 @@ class JaccardJoin:
         tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         second = scratch.table(walked.join(tested, ["a", "b"], "left_anti"), "walked")
         scratch.release()
-        more = self._verified(second, sets, "more")
+        more = self._verified(self._possible(second, sets, "possible"), sets, "more")
         found = scratch.table(components(links.unionByName(more), scratch), "components")
         label = self._labelled(reps.select("set_id", "doc_id"), found)
         label = scratch.table(label, "labels")

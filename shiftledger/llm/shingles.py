@@ -62,3 +62,23 @@ def bitmaps(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     row = np.repeat(np.arange(len(sizes)), sizes)
     bits[row, (tokens % np.uint64(BITS)).astype(np.int64)] = True
     return np.packbits(bits, axis=1, bitorder="little").view("<u8")
+
+
+def wide_bitmaps(tokens: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
+    """Of each set of more than BITS members a bitmap of as many bits, up to a power of two."""
+    out: list[bytes | None] = [None] * len(sizes)
+    first = np.cumsum(sizes) - sizes
+    for i in np.flatnonzero(sizes > BITS):
+        width = 1 << int(sizes[i] - 1).bit_length()
+        bits = np.zeros(width, bool)
+        bits[(tokens[first[i] : first[i] + sizes[i]] % np.uint64(width)).astype(np.int64)] = True
+        out[i] = np.packbits(bits, bitorder="little").tobytes()
+    return out
+
+
+def folded(words: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap brought down to `size` 64-bit words, where it is wider."""
+    while len(words) > size:
+        half = len(words) // 2
+        words = words[:half] | words[half:]
+    return words
