@@ -43,8 +43,8 @@ from shiftledger.llm.common import Scratch
 LENGTH = 200
 GRAM = 32
 LEFT = LENGTH - GRAM  # bytes of a context before its trigger
-GROUP = 8192
-_BATCH = 16_384  # contexts ordered at once
+GROUP = 32_768
+_BATCH = 16_384  # contexts ordered at once, or one group
 
 
 def _sliding(values: np.ndarray, size: int, pick: np.ufunc) -> np.ndarray:
@@ -312,9 +312,10 @@ def cut_texts(docs: DataFrame, scratch: Scratch | None = None, group: int = GROU
         "uncompressed",
     )
     scratch.release()
-    parse = scratch.table(
+    parse_rows = scratch.table(
         texts.select("a", "b", "text").mapInArrow(_parse, "a long, b long, t long, gram long, context long, room int"), "parse"
-    ).withColumn("at", F.xxhash64("a", "b", "t"))
+    )
+    parse = parse_rows.withColumn("at", F.xxhash64("a", "b", "t", "gram"))
     dictionary = scratch.table(
         parse.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("copies"), F.min("at").alias("at"), F.max("room").alias("room")),
         "dictionary",
@@ -326,12 +327,21 @@ def cut_texts(docs: DataFrame, scratch: Scratch | None = None, group: int = GROU
         "several",
     )
     asked = scratch.table(dictionary.join(several, "gram").select("at", "gram", "context", "copies", "room", "many"), "asked")
+    whole = dictionary.where("copies > 1").select(
+        "gram", "context",
+        F.greatest(F.lit(LENGTH) - F.col("room") % 256, F.lit(0)).cast("int").alias("low"),
+        F.floor(F.col("room") / 256).cast("int").alias("high"),
+    )
+    whole = scratch.table(whole, "whole")
+    lone = scratch.table(asked.where("many AND copies = 1").select("gram", "context"), "lone")
+    scratch.drop(dictionary, several)
     scratch.release()
-    where = parse.select("a", "b", "t", "at", F.col("gram").alias("own")).join(asked, "at").where("own = gram")
+    where = parse.select("a", "b", "t", "at").join(asked, "at")
     lists = scratch.table(
         where.groupBy("a", "b").agg(F.collect_list(F.struct("gram", "context", "copies", "many", "room", "t")).alias("asked")),
         "lists",
     )
+    scratch.drop(asked)
     scratch.release()
     contexts = scratch.table(
         texts.select("a", "b", "text").join(lists, ["a", "b"]).select("text", "asked").mapInArrow(
@@ -340,6 +350,7 @@ def cut_texts(docs: DataFrame, scratch: Scratch | None = None, group: int = GROU
         "contexts",
         "zstd",
     )
+    scratch.drop(lists)
     scratch.release()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     few = contexts.where("NOT many").select("gram", "context", "copies", "left", "bytes")
@@ -356,14 +367,9 @@ def cut_texts(docs: DataFrame, scratch: Scratch | None = None, group: int = GROU
     counted = strings.join(twice, ["gram", "back", "string"]).groupBy("gram", "context").agg(
         F.min("back").alias("low"), F.max("back").alias("high")
     )
-    whole = dictionary.where("copies > 1").select(
-        "gram", "context",
-        F.greatest(F.lit(LENGTH) - F.col("room") % 256, F.lit(0)).cast("int").alias("low"),
-        F.floor(F.col("room") / 256).cast("int").alias("high"),
-    )
-    rim = ordered.unionByName(counted.join(dictionary.where("copies = 1").select("gram", "context"), ["gram", "context"], "left_semi"))
+    rim = ordered.unionByName(counted.join(lone, ["gram", "context"], "left_semi"))
     result = scratch.table(whole.unionByName(rim), "result")
-    scratch.drop(contexts, strings, twice)
+    scratch.drop(contexts, strings, twice, ordered, whole, lone)
     scratch.release()
     spans = parse.join(result, ["gram", "context"]).select(
         "a", "b", (F.col("t") - F.col("high")).alias("start"), (F.col("t") - F.col("low") + LENGTH).alias("end")
@@ -371,7 +377,7 @@ def cut_texts(docs: DataFrame, scratch: Scratch | None = None, group: int = GROU
     spans = scratch.table(
         spans.groupBy("a", "b").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")), "spans"
     )
-    scratch.drop(dictionary, result)
+    scratch.drop(parse_rows, result)
     scratch.release()
     rows = texts.join(spans, ["a", "b"], "left").select("a", "b", "copies", "text", "starts", "ends")
     return rows.mapInArrow(
