@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,10 +19,10 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = held.get() if held.isDefined() else None
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not held.isDefined():
+            spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="llm-"))
+            held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = held.get()
     return root.rstrip("/")
 
 
@@ -34,10 +35,11 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
-        self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}")
         self._fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        path = self._fs.makeQualified(path)
+        self.root = re.sub("^file:/+", "file:///", path.toString())
         self._fs.mkdirs(path)
         self._fs.deleteOnExit(path)
 
