@@ -154,17 +154,6 @@ def _finish(df: DataFrame) -> DataFrame:
     )
 
 
-def _join_bounds(sessions: DataFrame, starts: DataFrame, ends: DataFrame) -> DataFrame:
-    """Attach day-level starts and ends on the row's own start and end date."""
-    return (
-        sessions.withColumn("day", F.to_date(_start()))
-        .join(starts, ["employee_id", "gr", "day"], "left")
-        .withColumn("day", F.to_date(_end()))
-        .join(ends, ["employee_id", "gr", "day"], "left")
-        .drop("day")
-    )
-
-
 def day_envelope(sessions: DataFrame, stages: Stages) -> DataFrame:
     """First start per employee, group and start date; last end per end date."""
     bounds = _day_pairs(sessions).select(

@@ -7,7 +7,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiftledger.operators import sequence as seq
 from shiftledger.operators.mapping import CURRENT, PREVIOUS
+from shiftledger.sources.stages import Stages
 
 
 def _previous_month(day: Column, flag: str, as_of: date, strict: bool) -> Column:
@@ -53,10 +55,23 @@ def payroll_lines(selected: DataFrame) -> DataFrame:
     return selected.select(line.alias("line"), "day").filter(F.col("line").isNotNull())
 
 
-def export_name(selected: DataFrame) -> str:
-    """Folder name with the first and last day of the selection."""
+def export_name(selected: DataFrame) -> str | None:
+    """Folder name with the first and last day of the selection; none for an empty one."""
     first, last = selected.agg(F.min("day"), F.max("day")).first()
-    return f"payroll_current_month_{first}_to_{last}"
+    return None if first is None else f"payroll_current_month_{first}_to_{last}"
+
+
+def ordered_lines(lines: DataFrame, stages: Stages) -> DataFrame:
+    """Lines with their place in the whole sorted file, from 1.
+
+    The sort partitions are numbered inside and completed with the lines before them.
+    """
+    rows = seq.sort_rows(lines.select("line"), ["line"], stages, "lines")
+    counts = rows.groupBy(seq.CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    before = seq.totals_before(counts, "_n", "_before").drop("_n")
+    place = (F.col("_before") + seq.row_in_chunk(F.col(seq.POS))).alias("place")
+    # One row per sort partition.
+    return rows.join(F.broadcast(before), seq.CHUNK).select("line", place)
 
 
 def write_export(lines: DataFrame, path: str) -> None:

@@ -21,6 +21,8 @@ from shiftledger.sources.stages import Stages
 POS = "_pos"
 CHUNK = "_chunk"
 CARRIED = "_carried"
+# Leading sort columns that decide the chunk.
+PLACING = 3
 
 # monotonically_increasing_id keeps the partition above bit 33, the row below.
 _ROW_BITS = 33
@@ -33,9 +35,15 @@ def _earlier() -> WindowSpec:
 def sort_rows(df: DataFrame, order: list[str], stages: Stages, name: str) -> DataFrame:
     """Sorted stage table with a position and a chunk per row.
 
-    ``order`` must make the order total up to identical rows.
+    ``order`` must make the order total up to identical rows. Only its first columns
+    place the rows in chunks: rows equal in them stay together, so the order over all
+    chunks is the same, and the sample that finds the chunk borders holds short keys.
     """
-    placed = df.orderBy(*order).withColumn(POS, F.monotonically_increasing_id())
+    placed = (
+        df.repartitionByRange(*order[:PLACING])
+        .sortWithinPartitions(*order)
+        .withColumn(POS, F.monotonically_increasing_id())
+    )
     rows = stages.write(placed, name)
     return rows.withColumn(CHUNK, F.shiftright(POS, _ROW_BITS).cast("int"))
 

@@ -69,9 +69,11 @@ def enrich_shifts(
 ) -> DataFrame:
     """Planned shifts of the widened span with activity and employee profile.
 
-    The joins carry no hints: Spark broadcasts a dimension when its size allows,
-    and sort-merge joins it with skew splitting when not.
+    The joins carry no hints. The dimensions are stage tables, so their sizes are
+    known: Spark broadcasts them when they fit, without a shuffle of the shifts on the
+    few activity keys, and sort-merge joins them with skew splitting when not.
     """
+    activity = stages.write(activity, "activities")
     official = F.col("official_name")
     at_home = (F.col("is_homeworking") == 1) & (official == S.WORK_GROUP)
     shifts = (

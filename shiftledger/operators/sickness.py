@@ -120,7 +120,13 @@ def sick_hours(
     proposed = F.when(
         (total == 0) & (F.col("scheduled_activity") != S.OFF_DAY), F.lit(8).cast("decimal(19,6)")
     ).otherwise(total)
-    weekdays = df.filter(~F.col("weekday_name").isin("Saturday", "Sunday"))
+    # Only days that hold a sick code can have one as their single code.
+    sick_days = stages.write(
+        df.filter(_sick(codes)).select("person_id", "shift_start_date").distinct(), "sick_days"
+    )
+    weekdays = df.filter(~F.col("weekday_name").isin("Saturday", "Sunday")).join(
+        sick_days, ["person_id", "shift_start_date"], "left_semi"
+    )
     if exempt_persons:
         weekdays = weekdays.filter(~F.col("person_id").isin(*exempt_persons))
     groups = (
@@ -169,11 +175,15 @@ def sick_hours(
         ),
         "sick_hours",
     )
-    return (
-        df.join(updates, ["person_id", "shift_start_date", "performance_code"], "left")
+    # Only rows with a sick code can change; the others stay out of the join.
+    sick = F.coalesce(_sick(codes), F.lit(False))
+    changed = (
+        df.filter(sick)
+        .join(updates, ["person_id", "shift_start_date", "performance_code"], "left")
         .withColumn(
             "scheduled_total_time",
             F.when(F.col("_update").isNotNull(), F.col("_update.hours")).otherwise(total),
         )
         .select(*df.columns)
     )
+    return df.filter(~sick).unionByName(changed)

@@ -59,10 +59,16 @@ def build_payroll(
 
 def export_payroll(
     staging: DataFrame, current_mapping: DataFrame, as_of: date, folder: str, strict: bool = False
-) -> str:
-    """Write last month's lines of the currently mapped logins; returns the path."""
+) -> str | None:
+    """Write last month's lines of the currently mapped logins; returns the path.
+
+    An empty selection writes nothing and gives no path.
+    """
     selected = export.select_export(staging, current_mapping, mapping.CURRENT, as_of, strict)
-    path = f"{folder.rstrip('/')}/{export.export_name(selected)}"
+    name = export.export_name(selected)
+    if name is None:
+        return None
+    path = f"{folder.rstrip('/')}/{name}"
     export.write_export(export.payroll_lines(selected), path)
     return path
 

@@ -6,42 +6,54 @@ shuffling the large side, and otherwise sort-merge joins two plain shuffles, whi
 is the only shape whose hot keys it can split. An aggregate joined straight back
 on its own grouping keys has no shuffle of its own and would not be split.
 
-They live in the shared folder the cluster names in ``spark.checkpoint.dir``, so
-a lost executor costs a re-read, never a different result.
+They live in a folder that every executor reaches, given as an argument or named by
+the session in ``spark.checkpoint.dir``; without either a run stops, in local mode as
+on a cluster. A lost executor then costs a re-read, never a different result.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
-
 
 def stage_root(spark: SparkSession) -> str:
-    global _local_root
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not shared:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="shiftledger-")
-    return _local_root
+    return shared
 
 
 class Stages:
-    """Writes the stage tables of one run under its own folder."""
+    """Writes the stage tables of one run under its own folder.
+
+    As a context manager it deletes the folder at the end of the block: read or write
+    the results inside it. Otherwise the folder goes when the session ends, or by
+    ``delete()`` after the last consumer.
+    """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.folder = f"{stage_root(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+        self.folder = f"{(root or stage_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
         self._written = 0
+        self._path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self._store = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
+        if not self._written:
+            self._store.mkdirs(self._path)
+            self._store.deleteOnExit(self._path)
         self._written += 1
         path = f"{self.folder}/{self._written:02d}-{name}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def delete(self) -> None:
+        self._store.delete(self._path, True)
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.delete()
