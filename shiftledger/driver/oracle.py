@@ -629,6 +629,24 @@ _SHIFT_BANDS = {
     "counted": "SELECT shift_order, count(*) AS shifts FROM clocks JOIN placed USING (clock) GROUP BY shift_order",
 }
 
+
+
+def _lines(mapped_month: int) -> dict[str, str]:
+    """Lines exported on 2024-02-10 for logins mapped in the given month."""
+    return {
+        **_TO_STAGING,
+        "lines": f"""
+            SELECT prefix || external_reference || '   ' || strftime(day, '%d/%m/%Y') || '  '
+                   || right('0' || performance_code, 4) || '  '
+                   || CASE WHEN TRY_CAST(hours_text AS INT) = 0 THEN ''
+                           ELSE coalesce(hours_text, '   ') END AS line, day
+            FROM staging
+            WHERE external_reference <> '' AND month(day) = 1
+              AND login IN (SELECT c_name FROM orders JOIN customer ON o_custkey = c_custkey
+                            WHERE month(o_orderdate) = {mapped_month} AND c_name IS NOT NULL)""",
+    }
+
+
 # key: (common table expressions, final relation or query)
 QUERIES: dict[str, tuple[dict[str, str], str]] = {
     "date_spans": ({}, _DATE_SPANS),
@@ -745,20 +763,37 @@ QUERIES: dict[str, tuple[dict[str, str], str]] = {
     "bridged_gaps": (_TO_STAGING, "SELECT * FROM bridged"),
     "bridged_order_gaps": (_ORDER_DENSE, "SELECT * FROM bridged"),
     "identity_backfill": (_TO_STAGING, "SELECT * FROM staging"),
-    "payroll_lines": (
-        {
-            **_TO_STAGING,
-            "march": "SELECT * FROM staging",
-            "lines": """
-                SELECT prefix || external_reference || '   ' || strftime(day, '%d/%m/%Y') || '  '
-                       || right('0' || performance_code, 4) || '  '
-                       || CASE WHEN TRY_CAST(hours_text AS INT) = 0 THEN ''
-                               ELSE coalesce(hours_text, '   ') END AS line, day
-                FROM march
-                WHERE external_reference <> '' AND month(day) = month(DATE '2024-02-10') - 1
-                  AND login IN (SELECT c_name FROM orders JOIN customer ON o_custkey = c_custkey
-                                WHERE month(o_orderdate) = 2 AND c_name IS NOT NULL)""",
-        },
-        "SELECT * FROM lines WHERE line IS NOT NULL",
+    "payroll_lines": (_lines(2), "SELECT * FROM lines WHERE line IS NOT NULL"),
+    "previous_lines": (_lines(1), "SELECT * FROM lines WHERE line IS NOT NULL"),
+    "ordered_lines": (
+        _lines(2),
+        "SELECT line, row_number() OVER (ORDER BY line) AS place FROM lines WHERE line IS NOT NULL",
     ),
 }
+QUERIES["report_dispatch"] = (
+    {
+        **_TO_FINAL,
+        **_ABSENCES,
+        "day_hours": _DAY_HOURS,
+        "basis": QUERIES["report_basis"][1],
+        "long": QUERIES["report_long"][1],
+        "short": QUERIES["report_short"][1],
+        "cumulative": QUERIES["report_cumulative"][1],
+        "modes": "SELECT unnest(['publish', 'basis', 'long', 'short']) AS mode",
+        "codes": """
+            SELECT code || suffix AS code
+            FROM (SELECT unnest(['PW', 'CW', 'NW', 'PM', 'P2M', 'C2M', 'CM', 'NM']) AS code),
+                 (SELECT unnest(['', 'c']) AS suffix)""",
+        "sizes": " UNION ALL ".join(
+            f"SELECT '{name}' AS report, count(*) AS rows FROM {name}"
+            for name in ("basis", "long", "short", "cumulative")
+        ),
+        "chosen": """
+            SELECT mode, code,
+                   CASE WHEN mode = 'publish' THEN NULL WHEN mode = 'basis' THEN 'basis'
+                        WHEN code IN ('PWc', 'CWc', 'NWc', 'PMc', 'CMc', 'NMc') THEN 'cumulative'
+                        ELSE mode END AS report
+            FROM modes, codes""",
+    },
+    "SELECT mode, code, report, rows FROM chosen LEFT JOIN sizes USING (report)",
+)

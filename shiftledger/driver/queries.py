@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import date
 
@@ -160,12 +161,33 @@ def _dense_orders(t: DriverTables, stages: Stages) -> DataFrame:
     return payroll.neighbour_codes(payroll.densify(facts, ORDERS_AS_OF), stages)
 
 
-def _payroll_lines(t: DriverTables, stages: Stages) -> DataFrame:
+def _payroll_lines(t: DriverTables, stages: Stages, flag: str = mapping.CURRENT) -> DataFrame:
     # Exported in the month after the shifts.
     as_of = date(2024, 2, 10)
     flagged = mapping.flag_months(t.current_mapping(), as_of)
     staging = _staging(t, stages)
-    return export.payroll_lines(export.select_export(staging, flagged, mapping.CURRENT, as_of))
+    return export.payroll_lines(export.select_export(staging, flagged, flag, as_of))
+
+
+def _report_dispatch(t: DriverTables, stages: Stages) -> DataFrame:
+    """Rows of the report that each mode and span code give over one span."""
+    final = _staged_final(t, stages)
+    built = {
+        "basis": reports.report_basis(reports.total_workdays(final, stages)),
+        "long": reports.report_long(final),
+        "short": reports.report_short(final),
+        "cumulative": reports.report_cumulative(final, _wide()),
+    }
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("report"), "rows")
+        for name, df in built.items()
+    ]
+    codes = [code + suffix for code in spans.SPAN_CODES for suffix in ("", "c")]
+    choices = t.spark.createDataFrame(
+        [(m, c, plan.report_name(m, c)) for m in plan.MODES for c in codes],
+        "mode string, code string, report string",
+    )
+    return choices.join(functools.reduce(DataFrame.unionByName, counts), "report", "left")
 
 
 _QUERIES: dict[str, Query] = {
@@ -222,6 +244,9 @@ _QUERIES: dict[str, Query] = {
     ),
     "identity_backfill": _staging,
     "payroll_lines": _payroll_lines,
+    "previous_lines": lambda t, s: _payroll_lines(t, s, mapping.PREVIOUS),
+    "ordered_lines": lambda t, s: export.ordered_lines(_payroll_lines(t, s), s),
+    "report_dispatch": _report_dispatch,
 }
 assert set(_QUERIES) == set(SHAPES) == set(oracle.QUERIES)
 

@@ -126,6 +126,9 @@ SHAPES: dict[str, list[tuple[str, str]]] = {
     "bridged_order_gaps": _pairs("prefix:s hours_text:s " + _MAPPED),
     "identity_backfill": _pairs("prefix:s hours_text:s " + _MAPPED),
     "payroll_lines": _pairs("line:s day:d"),
+    "previous_lines": _pairs("line:s day:d"),
+    "ordered_lines": _pairs("line:s place:i"),
+    "report_dispatch": _pairs("mode:s code:s report:s rows:i"),
 }
 
 

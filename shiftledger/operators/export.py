@@ -38,9 +38,27 @@ def select_export(
     ).join(logins.distinct(), "login", "left_semi")
 
 
-def payroll_lines(selected: DataFrame) -> DataFrame:
-    """One line per row; a row with an unknown part has no line."""
+def overflowing() -> Column:
+    """Rows that the fixed widths cut: 100 hours and more, codes over four characters."""
+    long_code = F.length("performance_code") > 4
+    return F.coalesce((F.round("hours", 2) >= 100) | long_code, long_code, F.lit(False))
+
+
+def payroll_lines(selected: DataFrame, strict: bool = False) -> DataFrame:
+    """One line per row; a row with an unknown part has no line.
+
+    The widths are fixed: hours keep their last four digits and codes their last four
+    characters. ``strict`` stops the run at a row that loses any; ``overflowing`` finds
+    such rows beforehand.
+    """
     text = F.col("hours_text")
+    if strict:
+        text = F.when(
+            overflowing(),
+            F.raise_error(
+                F.format_string("%s on %s does not fit a payroll line", "external_reference", "day")
+            ).cast("string"),
+        ).otherwise(text)
     hours = F.when(text.try_cast("int") == 0, "").otherwise(F.coalesce(text, F.lit("   ")))
     line = F.concat(
         F.col("prefix"),

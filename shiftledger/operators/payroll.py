@@ -33,13 +33,16 @@ def date_spine(facts: DataFrame, day: str, as_of: date) -> DataFrame:
     )
 
 
-def map_performance(performance: DataFrame, mapping_view: DataFrame) -> DataFrame:
+def map_performance(
+    performance: DataFrame, mapping_view: DataFrame, ignore_case: bool = False
+) -> DataFrame:
     """Hours per payroll reference, day, code, agreement and person.
 
     Hours are summed per login before the join and per reference after it; a
     login mapped twice counts twice. Rows without a date are on no calendar day
-    and are left out.
+    and are left out. Logins are compared as they are, or without regard to case.
     """
+    same = F.lower if ignore_case else lambda login: login
     who = ["employee_login", "person_id", "first_name", "last_name"]
     what = ["shift_start_date", "performance_code"]
     by_login = (
@@ -49,7 +52,7 @@ def map_performance(performance: DataFrame, mapping_view: DataFrame) -> DataFram
     )
     view = mapping_view.select("external_reference", "agreement_number", "login")
     return (
-        by_login.join(view, F.col("employee_login") == F.col("login"))
+        by_login.join(view, same(F.col("employee_login")) == same(F.col("login")))
         .groupBy("external_reference", *what, *_PERSON)
         .agg(F.sum("hours").alias("hours"))
         .withColumnRenamed("shift_start_date", "day")

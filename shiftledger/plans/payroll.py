@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from shiftledger.operators import export, mapping, payroll
 from shiftledger.settings import Settings
 from shiftledger.sources.stages import Stages
-from shiftledger.sources.tables import publish_version, read_version
+from shiftledger.sources.schemas import MAPPING, PAYROLL_HEADERS, from_headers, with_headers
+from shiftledger.sources.tables import has_versions, publish, publish_version, read_version
 
 
-def recoded_performance(performance: DataFrame, mapping_view: DataFrame, stages: Stages) -> DataFrame:
+def recoded_performance(
+    performance: DataFrame, mapping_view: DataFrame, stages: Stages, ignore_login_case: bool = False
+) -> DataFrame:
     # Read by the spine start, the double days, the references and the rows.
-    mapped = stages.write(payroll.map_performance(performance, mapping_view), "mapped")
+    mapped = payroll.map_performance(performance, mapping_view, ignore_login_case)
+    mapped = stages.write(mapped, "mapped")
     return payroll.recode_doubles(mapped, stages)
 
 
@@ -25,7 +29,7 @@ def bridged_performance(
     settings: Settings,
     stages: Stages,
 ) -> DataFrame:
-    recoded = recoded_performance(performance, mapping_view, stages)
+    recoded = recoded_performance(performance, mapping_view, stages, settings.ignore_login_case)
     near = payroll.neighbour_codes(payroll.densify(recoded, as_of), stages)
     return payroll.bridge_codes(
         payroll.filter_gaps(near, settings.gap_codes), settings.line_prefix, settings.bridge_priority
@@ -52,9 +56,18 @@ def build_payroll(
     mapping_view: DataFrame,
     as_of: date,
     settings: Settings,
+    target: str | None = None,
 ) -> DataFrame:
-    """Payroll staging rows of last month and later."""
-    return staged_payroll(performance, mapping_view, as_of, settings, Stages(spark))
+    """Payroll staging rows of last month and later.
+
+    With a ``target`` they replace the staging table there, under its published headers,
+    and are read back, so that an export scans them instead of computing them again.
+    """
+    staging = staged_payroll(performance, mapping_view, as_of, settings, Stages(spark))
+    if target is None:
+        return staging
+    publish(with_headers(staging, PAYROLL_HEADERS), target)
+    return from_headers(spark.read.parquet(target), PAYROLL_HEADERS)
 
 
 def export_payroll(
@@ -86,7 +99,10 @@ def refresh_mapping_table(
 
     A rerun for the same date starts from the same earlier version.
     """
-    current = read_version(spark, root, before=as_of)
+    if has_versions(spark, root):
+        current = read_version(spark, root, before=as_of)
+    else:  # the first refresh starts from an empty table
+        current = spark.createDataFrame([], MAPPING)
     identity = mapping.employee_identity(employee_view, employee)
     fresh = mapping.refresh_mapping(current, incoming, identity, as_of, strict)
     publish_version(fresh, root, as_of)

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from shiftledger.functions.values import clamp_hours, drop_activities
 from shiftledger.operators import envelopes, hours, reports, shifts, sickness, spans
 from shiftledger.settings import OFF_DAY, Settings
-from shiftledger.sources.schemas import PERFORMANCE_HEADERS, with_headers
+from shiftledger.sources.schemas import PERFORMANCE_HEADERS, from_headers, with_headers
 from shiftledger.sources.stages import Stages
+from shiftledger.sources.tables import publish
 
+# What a run can give besides the fact.
 MODES = ("publish", "basis", "long", "short")
 _SUMMED = [
     "register_number", "last_name", "first_name", "interim_office", "organization",
@@ -108,9 +110,13 @@ def run_performance(
     span_code: str = "NW",
     mode: str = "basis",
     settings: Settings = Settings(),
+    target: str | None = None,
 ) -> PerformanceResult:
     """The fact for the span and the report the mode asks for.
 
+    With a ``target`` the fact replaces the table there, under its published headers,
+    and is read back from it.
+
     'publish' gives no report and 'basis' the detail rows. Otherwise a cumulative
     span code gives the cumulative report whatever the mode.
     """
@@ -120,6 +126,10 @@ def run_performance(
         # Read by the fact and by the report.
         final = stages.write(report_columns(final, mode), "final")
     fact = reports.publish_performance(final, settings.fact_office_prefix)
+    if target:
+        # The published table is replaced before any report and read back.
+        publish(with_headers(fact, PERFORMANCE_HEADERS), target)
+        fact = from_headers(spark.read.parquet(target), PERFORMANCE_HEADERS)
     return PerformanceResult(fact, select_report(final, mode, span_code, as_of, stages))
 
 
@@ -128,21 +138,30 @@ def report_columns(final: DataFrame, mode: str) -> DataFrame:
     return final if mode == "basis" else final.select(*_SUMMED, *hours.HOUR_COLUMNS)
 
 
-def select_report(
-    final: DataFrame, mode: str, span_code: str, as_of: date, stages: Stages
-) -> DataFrame | None:
-    cumulative = span_code in spans.CUMULATIVE_CODES
+def report_name(mode: str, span_code: str) -> str | None:
+    """Which report a mode and span code give; 'publish' and unknown modes give none."""
     if mode == "publish":
         return None
     if mode == "basis":
+        return "basis"
+    if span_code in spans.CUMULATIVE_CODES:
+        return "cumulative"
+    return mode if mode in MODES else None
+
+
+def select_report(
+    final: DataFrame, mode: str, span_code: str, as_of: date, stages: Stages
+) -> DataFrame | None:
+    name = report_name(mode, span_code)
+    if name == "basis":
         # The only report that shows the working days.
         return reports.report_basis(reports.total_workdays(final, stages))
-    if cumulative:
+    if name == "cumulative":
         wide = spans.widen(spans.resolve_span(span_code, as_of))
         return reports.report_cumulative(final, wide)
-    if mode == "long":
+    if name == "long":
         return reports.report_long(final)
-    if mode == "short":
+    if name == "short":
         return reports.report_short(final)
     return None
 

@@ -46,5 +46,7 @@ class Settings:
     fact_office_prefix: str = "vast"
     gap_codes: tuple[str, ...] = GAP_CODES
     bridge_priority: tuple[str, ...] = BRIDGE_PRIORITY
+    # Logins that differ in case only are the same login.
+    ignore_login_case: bool = False
     # Employer id that opens every payroll line.
     line_prefix: str = ""

@@ -30,6 +30,11 @@ def publish_version(df: DataFrame, root: str, as_of: date) -> None:
     df.write.mode("overwrite").parquet(f"{root}/version={as_of.isoformat()}")
 
 
+def has_versions(spark: SparkSession, root: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def read_version(spark: SparkSession, root: str, before: date | None = None) -> DataFrame:
     """Newest version, or the newest one dated before ``before``."""
     table = spark.read.option("basePath", root).parquet(root)

@@ -5,6 +5,7 @@ from conftest import day, dec, frame, rows_of
 
 from shiftledger.operators import export, mapping, payroll
 from shiftledger.plans import payroll as plan
+from shiftledger.settings import Settings
 from shiftledger.sources import schemas, tables
 
 AS_OF = day("2024-01-17")
@@ -121,6 +122,8 @@ def test_refresh_mapping_table(spark, tmp_path):
     first = plan.refresh_mapping_table(spark, root, incoming, view, employee, AS_OF)
     rows = rows_of(first, "name", "external_reference", "month_flag")
     assert [r[0] for r in rows] == ["Ann", "No", "Old"]
+    new = plan.refresh_mapping_table(spark, str(tmp_path / "new"), incoming, view, employee, AS_OF)
+    assert [r[0] for r in rows_of(new, "name")] == ["Ann", "No"]
     again = plan.refresh_mapping_table(spark, root, incoming, view, employee, AS_OF)
     assert rows_of(again, "name", "external_reference", "month_flag") == rows
 
@@ -341,3 +344,54 @@ def test_export_payroll(spark, tmp_path):
     assert lines == sorted(lines)
     assert len(lines) == 30
     assert {len(line) for line in lines} == {len("PFXA   02/01/2024  0100  0760")}
+
+
+def test_export_of_nothing_writes_nothing(spark, tmp_path):
+    mapped = frame(spark, schemas.MAPPING, [{"login": "ann", "month_flag": "CurrentMonth"}])
+    df = staged(spark, fact("2024-01-02", "0100"))
+    assert plan.export_payroll(df, mapped, day("2024-01-17"), str(tmp_path)) is None
+    assert not any(tmp_path.iterdir())
+
+
+def test_lines_that_lose_digits_stop_a_strict_export(spark):
+    rows = spark.sql(
+        """SELECT 'A' external_reference, 'P' prefix, DATE '2024-01-02' day, code performance_code,
+                  CAST(h AS DECIMAL(28,11)) hours, '0000' hours_text
+           FROM VALUES ('0100', 8), ('0100', 99.994), ('0100', 100), ('00100', 8), (NULL, NULL) AS t(code, h)"""
+    )
+    cut = rows.filter(export.overflowing())
+    assert rows_of(cut, "performance_code", "hours") == [
+        ("00100", dec("8.00000000000")), ("0100", dec("100.00000000000")),
+    ]
+    assert export.payroll_lines(rows).count() == 4
+    with pytest.raises(Exception, match="does not fit a payroll line"):
+        export.payroll_lines(rows, strict=True).collect()
+    assert export.payroll_lines(rows.filter(~export.overflowing()), strict=True).count() == 2
+
+
+def test_logins_without_regard_to_case(spark):
+    performance = spark.sql(
+        """SELECT 'Ann' employee_login, 1L person_id, 'A' first_name, 'B' last_name,
+                  DATE '2024-01-02' shift_start_date, '0100' performance_code,
+                  CAST(2 AS DECIMAL(19,6)) scheduled_total_time"""
+    )
+    view = spark.sql("SELECT 'R' external_reference, 7L agreement_number, 'ann' login")
+    assert payroll.map_performance(performance, view).count() == 0
+    assert payroll.map_performance(performance, view, ignore_case=True).count() == 1
+
+
+def test_staging_is_published_and_read_back(spark, tmp_path):
+    performance = spark.sql(
+        """SELECT 'ann' employee_login, 1L person_id, 'A' first_name, 'B' last_name,
+                  DATE '2024-01-02' shift_start_date, '0100' performance_code,
+                  CAST(2 AS DECIMAL(19,6)) scheduled_total_time"""
+    )
+    view = spark.sql("SELECT 'R' external_reference, 7L agreement_number, 'ann' login")
+    target = str(tmp_path / "staging")
+    as_of = day("2024-01-17")
+    for _ in range(2):
+        back = plan.build_payroll(spark, performance, view, as_of, Settings(line_prefix="P"), target)
+    plain = plan.build_payroll(spark, performance, view, as_of, Settings(line_prefix="P"))
+    columns = ["external_reference", "day", "performance_code", "hours_text"]
+    assert rows_of(back, *columns) == rows_of(plain, *columns) != []
+    assert spark.read.parquet(target).columns == list(schemas.PAYROLL_HEADERS.values())

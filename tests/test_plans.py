@@ -35,7 +35,7 @@ def normal(records) -> list[str]:
     [
         "date_spans", "shift_bands", "row_numbers", "combined_envelope", "performance_fact",
         "report_long", "mapping_refresh", "recode_order_doubles", "bridged_order_gaps",
-        "identity_backfill", "payroll_lines",
+        "identity_backfill", "payroll_lines", "previous_lines", "ordered_lines", "report_dispatch",
     ],
 )
 def test_query_matches_sql(spark, key):
@@ -105,10 +105,39 @@ def test_shifts_never_meet_in_one_partition(spark):
         source.shift_tables(), "CM", adapter.AS_OF, adapter.SETTINGS, stages
     )
     lines = groups._jdf.queryExecution().sparkPlan().toString().splitlines()
+    inspected = 0
     for number, line in enumerate(lines):
         if "Window" in line and ", [_chunk ASC NULLS FIRST]" in line and "[_chunk," not in line:
             below = "\n".join(lines[number + 1 : number + 4])
             assert "Aggregate(key" in below, below
+            inspected += 1
+    assert inspected > 0
+
+
+@needs_data
+def test_shifts_are_not_dealt_by_activity(spark):
+    """The activities are few: the join to them moves no shifts."""
+    tables_ = adapter.DriverTables(spark, SF_DIR).shift_tables()
+    span = spans.resolve_span("CM", adapter.AS_OF)
+    df = shifts.enrich_shifts(
+        tables_.planned, tables_.activity, tables_.employee, span, spans.widen(span), Stages(spark)
+    )
+    assert "hashpartitioning(activity_id" not in physical(df)
+
+
+@needs_data
+def test_only_sick_rows_join_the_update(spark):
+    stages = Stages(spark)
+    tables_ = adapter.DriverTables(spark, SF_DIR).shift_tables()
+    worked = stages.write(
+        plan.shift_hours(tables_, "CM", adapter.AS_OF, adapter.SETTINGS, stages), "hours"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = sickness.sick_hours(worked, stages)._jdf.queryExecution().sparkPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    union = text.splitlines()[0]
+    assert union.startswith("Union"), text
+    assert text.count("SortMergeJoin") == 1
 
 
 def test_span_filter_reaches_the_scan(spark, tmp_path):
@@ -125,7 +154,7 @@ def test_span_filter_reaches_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<employee_id:bigint,shift_start_date:date>" in text
 
 
-def test_run_performance_end_to_end(spark):
+def test_run_performance_end_to_end(spark, tmp_path):
     rows = [
         planned_row("2024-01-08 08:00:00", "2024-01-08 10:00:00", interim_office="Vast",
                     weekday_name="Monday"),
@@ -147,7 +176,11 @@ def test_run_performance_end_to_end(spark):
             "SELECT explode(sequence(DATE '2024-01-09', DATE '2024-01-31')) AS full_date"
         ),
     )
-    result = plan.run_performance(spark, shift_tables, adapter.AS_OF, "PW", "short")
+    target = str(tmp_path / "fact")
+    for _ in range(2):  # a rerun replaces the published table
+        result = plan.run_performance(spark, shift_tables, adapter.AS_OF, "PW", "short", target=target)
+    assert spark.read.parquet(target).columns == list(schemas.PERFORMANCE_HEADERS.values())
+    assert spark.read.parquet(target).count() == 4
     fact = {
         (row.shift_start_date.day, row.performance_code): int(row.scheduled_total_time)
         for row in result.fact.collect()
@@ -166,6 +199,13 @@ def test_stage_root_is_the_clusters_folder(spark):
     assert stage_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_stages_leave_nothing_behind(spark, tmp_path):
+    with Stages(spark, str(tmp_path)) as stages:
+        assert stages.write(spark.range(3), "numbers").count() == 3
+        assert any(tmp_path.iterdir())
+    assert not any(tmp_path.iterdir())
+
+
 def test_read_csv_with_schema(spark, tmp_path):
     path = tmp_path / "incoming.csv"
     path.write_text("name,external_reference,agreement_number\nAnn,A,7\nBob,,\n")
