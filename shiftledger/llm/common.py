@@ -26,6 +26,10 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+ROWS = 2000  # of an Arrow batch while a table is written: whole texts, so that workers stay small
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 class Scratch:
     """Written tables of one run, all in one new folder of the shared root.
 
@@ -52,7 +56,15 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
         at = self.path(name)
-        df.write.option("compression", codec).parquet(at)
+        before = self.spark.conf.get(_BATCH, None)
+        self.spark.conf.set(_BATCH, str(ROWS))
+        try:
+            df.write.option("compression", codec).parquet(at)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_BATCH)
+            else:
+                self.spark.conf.set(_BATCH, before)
         out = self.spark.read.schema(df.schema).parquet(at)
         out._scratch_path = at
         return out

@@ -76,5 +76,66 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_REACH = """
+    reach AS (
+        SELECT id, id AS root FROM nodes
+        UNION
+        SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id
+    ),
+    low AS (SELECT id, min(root) AS root FROM reach GROUP BY id)"""
+
+_JACCARD_JOIN = rf"""
+WITH RECURSIVE worded AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(
+                                 range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+        FROM worded),
+    members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+    shared AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, x.n AS n, y.n AS m, count(*) AS k
+        FROM members x JOIN members y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+        GROUP BY ALL),
+    links AS (SELECT a, b FROM shared WHERE 100 * k >= 80 * (n + m - k)),
+    nodes AS (SELECT doc_id AS id FROM documents), {_REACH}
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, root AS component_id
+FROM sets JOIN low ON doc_id = id"""
+
+_USABLE = """SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"""
+
+_LATTICE_DEDUP = f"""
+WITH RECURSIVE v AS ({_USABLE}),
+    nonzero AS (SELECT vec_id, e FROM v WHERE list_dot_product(e, e) > 0),
+    links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM nonzero x JOIN nonzero y ON x.vec_id <> y.vec_id
+        WHERE list_cosine_similarity(x.e, y.e) >= 0.95),
+    counted AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+    nodes AS (SELECT vec_id AS id FROM embeddings), {_REACH}
+SELECT vec_id, coalesce(n, 0) AS n_links, root AS component_id, vec_id = root AS kept
+FROM embeddings JOIN low ON vec_id = id LEFT JOIN counted ON vec_id = a"""
+
+_PIVOT_TOPK = f"""
+WITH v AS ({_USABLE}),
+    i AS (SELECT vec_id, list_transform(e, lambda x: floor(1024 * x)) AS e FROM v),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+        FROM i q JOIN i c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+    ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+        FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can say the same: by comparing all pairs."""
+    return {
+        "op4_jaccard_join": _JACCARD_JOIN,
+        "op5_lattice_dedup": _LATTICE_DEDUP,
+        "op7_pivot_topk": _PIVOT_TOPK,
+    }

@@ -74,7 +74,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def pieces(data: np.ndarray, bounds: np.ndarray, size: int = 2 << 20) -> Iterator[tuple]:
+def pieces(data: np.ndarray, bounds: np.ndarray, size: int = 1 << 19) -> Iterator[tuple]:
     """Consecutive whole rows of about `size` bytes: (first row, next row, bytes, bounds)."""
     first, rows = 0, len(bounds) - 1
     while first < rows:

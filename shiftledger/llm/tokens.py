@@ -158,7 +158,7 @@ class FragmentEncoder:
         """All ids of a column, one end id after each row, and each row's number of ids."""
         data, bounds = tb.bytes_of(column)
         ids, sizes = [], []
-        for _, _, part, at in tb.pieces(data, bounds):
+        for _, _, part, at in tb.pieces(data, bounds, 1 << 20):
             raw = part.tobytes()
             if any(s in raw for s in self.special):
                 for a, b in zip(at[:-1], at[1:]):
