@@ -193,11 +193,9 @@ def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = size - left
         n = len(gram)
         before, after = np.zeros((n, LEFT), np.uint8), np.zeros((n, LENGTH), np.uint8)
-        row = np.repeat(np.arange(n), size)
-        place = np.arange(len(data)) - bounds[row] - left[row]
-        head = place < 0
-        before[row[head], -1 - place[head]] = data[head]
-        after[row[~head], place[~head]] = data[~head]
+        for i, (at, k, end) in enumerate(zip(bounds[:-1].tolist(), left.tolist(), bounds[1:].tolist())):
+            before[i, :k] = data[at : at + k][::-1]
+            after[i, : end - at - k] = data[at + k : end]
         low, high = repeats(gram, left, right, before, after)
         keep = (copies == 1) & (low <= high)
         return pa.RecordBatch.from_arrays(
