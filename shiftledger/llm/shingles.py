@@ -7,7 +7,7 @@ import numpy as np
 from shiftledger.llm import textbytes as tb
 
 WORDS = 5
-BITS = 1024  # of a set's bitmap
+BITS = 4096  # of a set's bitmap
 _FACTORS = tb.mixed(np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
