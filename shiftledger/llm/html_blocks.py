@@ -32,7 +32,9 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-_HIDE = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.I)
+_ATTR = re.compile(r"([^\s/>=\"'][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
+_MAY_HIDE = re.compile(r"hidden|display|visibility", re.I)
+_NO_RULE = re.compile(r"/\*.*?(?:\*/|\Z)|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|\([^)]*(?:\)|\Z)", re.S)  # comments, strings, arguments
 
 
 class Block(NamedTuple):
@@ -49,6 +51,34 @@ def _named(attrs: str) -> tuple[str, ...]:
     return tuple(w.lower() for value in found for w in _PART.findall(value))
 
 
+def _styled(style: str) -> dict[str, str]:
+    """The display and visibility of a style value; the last rule counts, important ones before others."""
+    found: dict[str, tuple[bool, str]] = {}
+    for rule in _NO_RULE.sub(" ", style).lower().split(";"):
+        name, _, value = rule.partition(":")
+        name, (value, *mark) = name.strip(), value.split("!")
+        if name in ("display", "visibility") and value.strip() and bool(mark) >= found.get(name, (False,))[0]:
+            found[name] = bool(mark), value.strip()
+    return {name: value for name, (_, value) in found.items()}
+
+
+def _hiding(attrs: str) -> tuple[bool, bool | None]:
+    """Whether the attributes hide all of the element, and the visibility they set for it (None: none)."""
+    if not _MAY_HIDE.search(attrs):
+        return False, None
+    values: dict[str, str] = {}
+    for name, a, b, c in _ATTR.findall(attrs):
+        values.setdefault(name.lower(), html.unescape(a or b or c))
+    style = _styled(values.get("style", ""))
+    gone = (
+        values.get("hidden", "false").strip().lower() != "false"
+        or values.get("aria-hidden", "").strip().lower() == "true"
+        or style.get("display") == "none"
+    )
+    shown = {"hidden": False, "collapse": False, "visible": True}.get(style.get("visibility", ""))
+    return gone, shown
+
+
 def blocks(page: str | None) -> list[Block]:
     """The page's visible text in page order; white space runs are one space, empty blocks go."""
     if not page:
@@ -58,6 +88,7 @@ def blocks(page: str | None) -> list[Block]:
     names: list[tuple[str, ...]] = []
     hidden = links = linked = 0
     hides: list[bool] = []
+    shows: list[bool] = []  # visibility passes to children, which may set it anew
     held: list[str] = []
 
     def flush() -> None:
@@ -75,6 +106,7 @@ def blocks(page: str | None) -> list[Block]:
             tag = tags.pop()
             names.pop()
             hidden -= hides.pop()
+            shows.pop()
             links -= tag == "a"
 
     def close(tag: str, stops: tuple[str, ...] = ()) -> None:
@@ -89,7 +121,7 @@ def blocks(page: str | None) -> list[Block]:
     while at < size:
         m = _TOKEN.search(page, at)
         stop = m.start() if m else size
-        if stop > at and not hidden:
+        if stop > at and not hidden and (not shows or shows[-1]):
             raw = page[at:stop]
             text = html.unescape(raw) if "&" in raw else raw
             held.append(text)
@@ -129,8 +161,10 @@ def blocks(page: str | None) -> list[Block]:
             continue
         tags.append(tag)
         names.append(_named(attrs))
-        hides.append(tag in HIDDEN or bool(attrs and _HIDE.search(attrs)))
+        gone, shown = _hiding(attrs)
+        hides.append(tag in HIDDEN or gone)
         hidden += hides[-1]
+        shows.append(shown if shown is not None else not shows or shows[-1])
         links += tag == "a"
     flush()
     return out

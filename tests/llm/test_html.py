@@ -77,3 +77,29 @@ def test_viterbi_is_the_best_sequence():
             for ys in np.ndindex(2, 2, 2, 2)
         )[1]
         assert model.decode(chain) == list(best)
+
+
+@pytest.mark.parametrize("attrs", [
+    'style="overflow:hidden"', "style=overflow:hidden", 'class="overflow-hidden"', 'class="hidden-xs"',
+    'id="the-hidden-cost"', 'href="/hidden-gems"', 'title="the hidden part"', "title='display:none'", 'data-hidden="1"',
+    'aria-hidden="false"', 'aria-label="hidden"', 'title="a > b hidden"', 'style="background:url(a;display:none)"',
+    'style="/* display:none */ color:red"', 'style="display:none;display:block"', 'data-style="display:none"',
+])
+def test_words_of_hiding_that_hide_nothing(attrs):
+    for tag in ("body", "div", "h1", "a"):
+        assert [b.text for b in blocks(f"<{tag} {attrs}>seen <i>words</i></{tag}>")] == ["seen words"]
+
+
+@pytest.mark.parametrize("attrs", [
+    "hidden", "HIDDEN", 'hidden=""', "class=x hidden", 'aria-hidden="true"', "aria-hidden=TRUE", 'style="display:none"',
+    "style=display:none", "style='color:red; Display : NONE !important'", 'style="display:none!important;display:block"',
+    'style="visibility:hidden"', "class='a'hidden", 'style="display&#58;none"',
+])
+def test_hidden_elements(attrs):
+    page = f"<div>a<div {attrs}>no <p>nor this</p></div>b</div>"
+    assert [b.text for b in blocks(page)] == ["a", "b"]
+
+
+def test_visibility_set_anew_inside():
+    page = '<div style="visibility:hidden">no<p style="visibility:visible">yes</p><p>no</p></div>z'
+    assert [b.text for b in blocks(page)] == ["yes", "z"]
