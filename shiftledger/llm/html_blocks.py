@@ -16,6 +16,7 @@ HIDDEN = frozenset(
     "script style noscript template head title iframe object svg canvas select option datalist "
     "textarea button audio video map".split()
 )
+IN_HEAD = frozenset("title meta link base style script noscript template basefont bgsound noframes".split())
 RAW = frozenset(("script", "style", "textarea", "title", "iframe", "noscript"))
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
@@ -121,6 +122,8 @@ def blocks(page: str | None) -> list[Block]:
     while at < size:
         m = _TOKEN.search(page, at)
         stop = m.start() if m else size
+        if tags and tags[-1] == "head" and page[at:stop].strip():
+            pop_to(len(tags) - 1)  # </head> may be left out: words or a tag of the body end it
         if stop > at and not hidden and (not shows or shows[-1]):
             raw = page[at:stop]
             text = html.unescape(raw) if "&" in raw else raw
@@ -143,6 +146,11 @@ def blocks(page: str | None) -> list[Block]:
                 flush()
             continue
         attrs = m["attrs"] or m["attrs2"] or ""
+        if tags and tags[-1] == "head":
+            if tag in ("head", "html"):
+                continue
+            if tag not in IN_HEAD:
+                pop_to(len(tags) - 1)
         if not inline:
             flush()
             if tag in CLOSES_P:

@@ -103,3 +103,20 @@ def test_hidden_elements(attrs):
 def test_visibility_set_anew_inside():
     page = '<div style="visibility:hidden">no<p style="visibility:visible">yes</p><p>no</p></div>z'
     assert [b.text for b in blocks(page)] == ["yes", "z"]
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>t</title><body><article><p>One <b>two</b></article></body></html>",
+    "<head><title>t</title><meta charset=x><link rel=x href=y><base href=/><article><p>One two</article>",
+    "<head><style>p{}</style><script>x</script><noscript>n</noscript><template><p>no</p></template><p>One two",
+    "<html><head><html><head><title>t</title></head><body>One two",
+    "<head><title>t</title> One two", "<head><a href=/x>One</a> two", "<head><meta charset=x></html>One two",
+])
+def test_head_without_its_end_tag(page):
+    assert [b.text for b in blocks(page)] == ["One two"]
+
+
+def test_article_of_a_page_without_the_end_of_its_head(model):
+    rest = "<body><article><h1>A title here</h1><p>Fine text, with many words in it.</p></article></body></html>"
+    want = model.text("<html><head><title>t</title></head>" + rest)
+    assert want and model.text("<html><head><title>t</title>" + rest) == want
