@@ -5,7 +5,8 @@ each mark), and the pairs of neighbours of both, hashed into 2**18 places; a rep
 makes one fixed pair. Values are counts divided by the number of words. Training walks a
 bounded sample of labelled texts (`sample`, smallest hashes of doc_id) in a few parallel
 parts with FTRL-proximal steps and averages the weights; scoring is one sparse dot product
-per whole text.
+per whole text. Of several rows with one doc_id the one with the smallest text hash is
+learned from (an empty text only if there is no other), so `sample` bounds the texts.
 
 Null or empty text: no features, so the score is that of the bias. Labels that are null or
 other than 0 and 1 are ignored; several for one doc_id count as the highest. Equal rows get
@@ -105,8 +106,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, parts: int =
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # one text per doc_id, the least being kept before the shuffle
+    by_hash = F.struct(F.coalesce(F.col("text"), F.lit("")) == "", F.xxhash64("text"), F.col("text").alias("text"))
     # at most `sample` rows of two numbers
-    chosen = rows.join(F.broadcast(known), "doc_id").withColumn(
+    labelled = rows.join(F.broadcast(known), "doc_id").groupBy("doc_id", "y").agg(F.min(by_hash).alias("least"))
+    chosen = labelled.select("doc_id", F.col("least.text").alias("text"), "y").withColumn(
         "part", F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(parts))
     )
 

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shiftledger.llm import jaccard_join, mixing, quality, sharding, suffix_dedup
 from shiftledger.llm import shingles as S
@@ -247,3 +248,16 @@ def test_labels_of_the_held_out_fold_are_not_read(spark, hard):
     flip = [(d, 1 - y if zlib.crc32(str(d).encode()) % 3 == 1 else y, t) for d, y, t in r]
     a, b = (quality.train(hard, spark.createDataFrame(x, "doc_id long, quality int, toxic int")) for x in (r, flip))
     assert (a == b).all()
+
+
+def test_one_text_of_each_labelled_id_is_learned_from(spark):
+    schema = "doc_id long, text string"
+    texts = {i: [f"w{i} plain words {j} of id {i}" for j in range(40 if i == 12 else 1)] for i in range(10, 30)}
+    texts[12] += [None, "", texts[12][0]]
+    rows = [(i, t) for i, held in texts.items() for t in held]
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    assert labels.where(~quality.held_out(F.col("doc_id"))).where("doc_id = 12").count() == 1
+    docs = spark.createDataFrame(rows, schema).repartition(5)
+    least = docs.where("doc_id = 12 AND text != ''").orderBy(F.xxhash64("text")).first().text
+    once = spark.createDataFrame([x for x in rows if x[0] != 12] + [(12, least)], schema)
+    assert np.array_equal(quality.train(docs, labels), quality.train(once, labels))
