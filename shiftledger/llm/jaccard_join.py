@@ -10,7 +10,8 @@ traversal drops node pairs whose largest possible overlap cannot reach the thres
 whose sets are all of one component already. What remains is verified on the whole texts.
 
 A bound on the overlap of sets x and y: every bit of x's bitmap that y's has not is a member
-of x that y has not. For nodes: a bit of any child that the other node's OR has not.
+of x that y has not. For nodes, at every level: a bit of a set below one node that the other
+node's OR has not; a pair is dropped when no set below either node can still fit.
 
 Buckets of more than `chunk` sets are split by hash into chunks and compared as pairs of
 chunks, so no task holds a bucket. Documents with equal sets are one set from the start.
@@ -128,14 +129,14 @@ class SignatureTree:
         one = (first[a] == last[a]) & (first[b] == last[b]) & (first[a] == first[b])
         near = (DENOM * high[a] >= NUMER * low[b]) & (DENOM * high[b] >= NUMER * low[a])
         keep = ~one & near
-        if level == 0:
-            # the members' own bits against the other leaf's OR: some set of each must still fit
-            for i in np.flatnonzero(keep & (a != b)):
-                keep[i] = self._fits(a[i], ors[b[i]], low[b[i]]) and self._fits(b[i], ors[a[i]], low[a[i]])
+        # the members' own bits against the other node's OR: some set of each must still fit
+        for i in np.flatnonzero(keep & (a != b)):
+            keep[i] = self._fits(level, a[i], ors[b[i]], low[b[i]]) and self._fits(level, b[i], ors[a[i]], low[a[i]])
         return keep
 
-    def _fits(self, leaf: int, ors: np.ndarray, least: int) -> bool:
-        at = slice(leaf * LEAF, (leaf + 1) * LEAF)
+    def _fits(self, level: int, node: int, ors: np.ndarray, least: int) -> bool:
+        size = LEAF * FAN**level
+        at = slice(node * size, (node + 1) * size)
         n = self.n[at]
         return bool((n - _lacks(self.maps[at], ors) >= least_overlap(n, np.maximum(least, -(-NUMER * n // DENOM)))).any())
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shiftledger.llm import jaccard_join, mixing, quality, sharding, suffix_dedup
 from shiftledger.llm import shingles as S
+from shiftledger.llm import textbytes as tb
 
 
 def plain_sets(texts):
@@ -261,3 +262,31 @@ def test_one_text_of_each_labelled_id_is_learned_from(spark):
     least = docs.where("doc_id = 12 AND text != ''").orderBy(F.xxhash64("text")).first().text
     once = spark.createDataFrame([x for x in rows if x[0] != 12] + [(12, least)], schema)
     assert np.array_equal(quality.train(docs, labels), quality.train(once, labels))
+
+
+def test_inner_nodes_are_pruned_by_overlap(monkeypatch):
+    r = np.random.default_rng(5)
+    stocks = [tb.mixed(np.arange(k, k + 200, dtype=np.uint64)) for k in (1, 1001)]
+    sets = [r.choice(stock, 20, replace=False) for stock in stocks for _ in range(256)]
+    sets[3], sets[300] = sets[256 + 90], sets[12]  # links from one half to the other, of other components
+    n = np.full(len(sets), 20)
+    maps = S.bitmaps(np.concatenate(sets), n)
+    opened = []
+    plain = jaccard_join.SignatureTree._open
+    monkeypatch.setattr(jaccard_join.SignatureTree, "_open", lambda self, level, a, b: opened.append((level, len(a))) or plain(self, level, a, b))
+
+    def found(n, maps):
+        opened.clear()
+        x, y = jaccard_join.SignatureTree(n, maps, np.arange(len(n))).pairs()
+        return {frozenset(p) for p in zip(x.tolist(), y.tolist())}
+
+    def brute(n, maps):
+        ok = jaccard_join.possible(n[:, None], maps[:, None], n[None], maps[None])
+        return {frozenset((i, j)) for i, j in np.argwhere(ok).tolist() if i < j}
+
+    assert frozenset((3, 346)) in found(n, maps) == brute(n, maps)
+    assert dict(opened)[0] == 136  # both halves hold sets of the other: every leaf pair is looked at
+    apart = np.array([i for i in range(512) if i not in (3, 300)] + [511, 511])
+    apart = np.sort(np.where(apart == 256, 1, apart))  # the halves stay whole, without links between them
+    assert found(n, maps[apart]) == brute(n, maps[apart])
+    assert dict(opened)[0] == 72
