@@ -142,6 +142,17 @@ class ShardFile:
         found &= (record["key"] == keys) & (record["flag"] == flags)
         return slot["first"].astype(np.int64), np.where(found, slot["count"], 0).astype(np.int64)
 
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys and their flags, in no set order."""
+        found = np.unique(self.records[["key", "flag"]])
+        return found["key"].astype(np.int64), found["flag"].astype(np.uint64)
+
+    def records_of(self, keys: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The records that the keys' slots lead to, and the place in `keys` of each one's key."""
+        first, count = self.find(keys, flags)
+        key = np.repeat(np.arange(len(keys)), count)
+        return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(len(key)), key
+
     def ids_of(self, record: int) -> np.ndarray:
         r = self.records[record]
         first = int(r["first"])
@@ -210,25 +221,28 @@ _READ = "name string, record long, doc_id long, start long, n_tokens long, ids_c
 
 
 def read_shards(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """One row per record of the files: its key looked up through the hash, its ids checked."""
+    """One row per record of the files: each key looked up through the hash, its records and
+    ids read at the places that the lookup gives."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1)):
                 file = ShardFile(content.as_buffer())
-                keys, flags = file.records["key"], file.records["flag"]
-                first, count = file.find(keys, flags)
-                record = np.arange(len(keys))
-                if not ((first <= record) & (record < first + count)).all():
-                    raise ValueError(f"{name}: a key is not found at its record")
-                crc = [tokens.crc32_of(file.ids_of(i)) for i in range(len(keys))]
+                keys, flags = file.keys()
+                record, key = file.records_of(keys, flags)
+                if len(record) != len(file.records) or (np.bincount(record, minlength=len(record)) != 1).any():
+                    raise ValueError(f"{name}: the keys do not lead to every record once")
+                order = np.argsort(record)
+                record, key = record[order], key[order]
+                held = file.records[record]
+                crc = [tokens.crc32_of(file.ids_of(i)) for i in record]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([name.as_py()] * len(keys), pa.string()),
+                        pa.array([name.as_py()] * len(record), pa.string()),
                         pa.array(record, pa.int64()),
-                        pa.array(keys.astype(np.int64), mask=flags == 0),
-                        pa.array(file.records["first"].astype(np.int64) + file.before),
-                        pa.array(file.records["count"].astype(np.int64)),
+                        pa.array(keys[key], pa.int64(), mask=flags[key] == 0),
+                        pa.array(held["first"].astype(np.int64) + file.before),
+                        pa.array(held["count"].astype(np.int64)),
                         pa.array(crc, pa.int64()),
                     ],
                     names=["name", "record", "doc_id", "start", "n_tokens", "ids_crc32"],

@@ -142,3 +142,21 @@ def test_shares_give_every_token_and_follow_weights():
         assert (np.diff(table, axis=0) >= 0).all() and (table[0] == 0).all() and (table[-1] == totals).all()
         assert (table.sum(1) == np.minimum(np.arange(n + 1) * 512, totals.sum())).all()
         assert (shares.after(np.array([n // 2])) == table[n // 2]).all()
+
+
+def test_rows_are_read_where_the_lookup_leads(spark):
+    """Record numbers, keys and ids come from the slots, so a file whose slots are wrong cannot be read."""
+    keys, flags = np.array([0, 5, 5, 9], np.int64), np.array([0, 1, 1, 1], np.uint64)
+    raw = token_files.packed(keys, flags, np.array([1, 2, 1, 3]), np.arange(7, dtype=np.uint32), 0)
+    file = token_files.ShardFile(raw)
+    record, key = file.records_of(*file.keys())
+    assert sorted(zip(record.tolist(), file.keys()[0][key].tolist())) == [(0, 0), (1, 5), (2, 5), (3, 9)]
+    wrong = file.slots.copy()
+    wrong["count"][wrong["first"] == 0] = 2  # the null key reaches into the next key's records
+    scratch = Scratch(spark, "t8")
+    folder = scratch.path("shards")
+    scratch.make(folder)
+    manifest = spark.createDataFrame([(0, "a.ids", 4, 7)], "part int, name string, docs long, ids long")
+    token_files._put(f"{folder}/a.ids", raw.replace(file.slots.tobytes(), wrong.tobytes()))
+    with pytest.raises(Exception, match="every record once"):
+        token_files.read_shards(spark, folder, manifest).collect()
