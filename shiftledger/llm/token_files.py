@@ -169,7 +169,16 @@ def _put(uri: str, raw: bytes) -> None:
     store.move(path + ".part", path)
 
 
-_MANIFEST = "part int, name string, docs long, ids long"
+def _get(uri: str) -> pa.Buffer:
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    with store.open_input_file(path) as file:
+        return file.read_buffer()
+
+
+_MANIFEST = "part int, name string, docs long, ids long, low long, high long"  # smallest and largest key
+BLOCK = 1000  # keys asked of a file at once
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -190,9 +199,14 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, file_bytes: int =
             keys, flags, counts, ids = (np.concatenate(x) for x in zip(*held))
             name = f"{part:06d}-{seq:06d}-{context.taskAttemptId()}.ids"
             _put(f"{folder}/{name}", packed(keys, flags, counts, ids, before))
+            known = keys[flags == 1]
+            low, high = (int(known.min()), int(known.max())) if len(known) else (None, None)
             row = pa.RecordBatch.from_pydict(
-                {"part": [part], "name": [name], "docs": [len(keys)], "ids": [len(ids)]},
-                schema=pa.schema([("part", pa.int32()), ("name", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]),
+                {"part": [part], "name": [name], "docs": [len(keys)], "ids": [len(ids)], "low": [low], "high": [high]},
+                schema=pa.schema([
+                    ("part", pa.int32()), ("name", pa.string()), ("docs", pa.int64()), ("ids", pa.int64()),
+                    ("low", pa.int64()), ("high", pa.int64()),
+                ]),
             )
             before, seq, held, size = before + len(ids), seq + 1, [], 0
             return row
@@ -262,33 +276,41 @@ def read_shards(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFr
 def lookup(spark: SparkSession, folder: str, manifest: DataFrame, keys: DataFrame) -> DataFrame:
     """(doc_id, ids) of the given keys, read at their offsets; keys without a file give no row.
 
-    Every file tests every asked key in constant time each, in blocks of keys.
+    The sorted keys go to the files whose stretch of doc_id they lie in, in blocks of at most
+    BLOCK keys; a file without an asked key in its stretch is not read.
     """
+    # one row of two numbers and a name per file of about FILE_BYTES
+    files = manifest.where("low IS NOT NULL").select("low", "high", "name").orderBy("low", "high").collect()
+    shared = spark.sparkContext.broadcast((
+        np.array([x.low for x in files], np.int64), np.array([x.high for x in files], np.int64), [x.name for x in files]
+    ))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lows, highs, names = shared.value
+        opened, file = None, None
         for batch in batches:
-            for content, asked in zip(batch.column(0), batch.column(1)):
-                file = ShardFile(content.as_buffer())
-                wanted = np.array(asked.as_py(), np.int64)
-                first, count = file.find(wanted, np.ones(len(wanted), np.uint64))
-                hits = [(k, r) for k, f, c in zip(wanted.tolist(), first, count) for r in range(f, f + c)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([k for k, _ in hits], pa.int64()),
-                        pa.array([file.ids_of(r).tolist() for _, r in hits], pa.list_(pa.int64())),
-                    ],
-                    names=["doc_id", "ids"],
-                )
-
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.ids").load(folder)
-    files = raw.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    blocks = (
-        keys.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-        .groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("block"))
-        .agg(F.collect_list("doc_id").alias("asked"))
-    )
-    named = files.join(manifest.select("name"), "name", "left_semi")
-    # a stated set of keys against every file, in blocks
-    return named.join(blocks, F.length("name") > 0).select("content", "asked").mapInArrow(
+            for at in range(0, batch.num_rows, BLOCK):
+                asked = np.asarray(batch.column(0).slice(at, BLOCK)).astype(np.int64)
+                # an id at the end of one file may go on in the next, so a key has a run of files
+                begin, end = np.searchsorted(highs, asked, "left"), np.searchsorted(lows, asked, "right")
+                runs = np.maximum(end - begin, 0)
+                key = np.repeat(np.arange(len(asked)), runs)
+                place = np.repeat(begin - (np.cumsum(runs) - runs), runs) + np.arange(len(key))
+                for i in np.unique(place).tolist():
+                    if opened != i:
+                        opened, file = i, ShardFile(_get(f"{folder}/{names[i]}"))
+                    wanted = asked[key[place == i]]
+                    record, hit = file.records_of(wanted, np.ones(len(wanted), np.uint64))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(wanted[hit], pa.int64()),
+                            pa.array([file.ids_of(r).astype(np.int64) for r in record], pa.list_(pa.int64())),
+                        ],
+                        names=["doc_id", "ids"],
+                    )
+
+    wanted = keys.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return wanted.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id").mapInArrow(
         fetch, "doc_id long, ids array<long>"
     )

@@ -160,3 +160,24 @@ def test_rows_are_read_where_the_lookup_leads(spark):
     token_files._put(f"{folder}/a.ids", raw.replace(file.slots.tobytes(), wrong.tobytes()))
     with pytest.raises(Exception, match="every record once"):
         token_files.read_shards(spark, folder, manifest).collect()
+
+
+def test_lookup_reads_the_files_of_its_keys_only(spark, encoder):
+    rows = [(i // 3 if i < 9000 else 3000, f"text {i}") for i in range(15000)]  # the last id fills several files
+    rows += [(None, "no id")]
+    scratch = Scratch(spark, "t8")
+    folder = scratch.path("shards")
+    scratch.make(folder)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    manifest = scratch.table(token_files.write_shards(docs, folder, tokenizer_path(), file_bytes=5000), "manifest")
+    files = manifest.collect()
+    assert sum(x.low is not None and x.low <= 3000 <= x.high for x in files) > 1
+    asked = [7, 1500, 3000, 5000, -4]
+    for x in files:  # a file that no asked key lies in is not opened
+        if x.low is None or not any(x.low <= k <= x.high for k in asked):
+            token_files._put(f"{folder}/{x.name}", b"spoilt" * 20)
+    keys = spark.createDataFrame([(k,) for k in asked] * 2 + [(None,)], "doc_id long")
+    got = token_files.lookup(spark, folder, manifest, keys)
+    assert not any(x in got._jdf.queryExecution().toString() for x in ("Cartesian", "NestedLoop"))
+    want = Counter((d, tuple(plain(encoder, t))) for d, t in rows if d in asked)
+    assert Counter((x.doc_id, tuple(x.ids)) for x in got.collect()) == want
