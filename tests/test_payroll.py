@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import day, dec, frame, rows_of
+from tests.rows import day, dec, frame, rows_of
 
 from shiftledger.operators import export, mapping, payroll
 from shiftledger.plans import payroll as plan

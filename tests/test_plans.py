@@ -6,7 +6,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import at, dec
+from tests.rows import at, dec
 from pyspark.sql import functions as F
 from test_shifts import make_activity, make_employee, make_planned, planned_row
 

@@ -6,7 +6,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from conftest import at, frame
+from tests.rows import at, frame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

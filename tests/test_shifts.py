@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import at, day, dec, frame, rows_of
+from tests.rows import at, day, dec, frame, rows_of
 from pyspark.sql import functions as F
 
 from shiftledger.operators import envelopes, hours, shifts, spans

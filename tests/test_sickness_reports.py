@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import at, day, dec, frame, rows_of
+from tests.rows import at, day, dec, frame, rows_of
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

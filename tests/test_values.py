@@ -4,7 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import at, day, dec, frame
+from tests.rows import at, day, dec, frame
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
