@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import html_crf, jaccard_join, lattice_dedup, mixing, packing, pivot_topk, quality, sharding, suffix_dedup, token_files
+from shiftledger.llm import html_crf, jaccard_join, lattice_dedup, mixing, packing, pivot_topk, quality, sharding, suffix_dedup, token_files, word_runs
 from shiftledger.llm.common import Scratch, table, tokenizer_path
 
 
@@ -61,6 +61,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = word_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return word_runs.run_digests(word_runs.find_runs(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
@@ -73,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_mixing": op9_mixing,
         "op10_quality": op10_quality,
+        "op12_word_runs": op12_word_runs,
     }
 
 
