@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import html_crf, jaccard_join, lattice_dedup, mixing, packing, pivot_topk, quality, sharding, suffix_dedup, token_files, word_runs
+from shiftledger.llm import html_crf, jaccard_join, lattice_dedup, mixing, packing, phrases, pivot_topk, quality, sharding, suffix_dedup, token_files, warc, word_runs
 from shiftledger.llm.common import Scratch, table, tokenizer_path
 
 
@@ -61,11 +61,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op11")
+    folder = scratch.path("warcs")
+    scratch.make(folder)
+    manifest = scratch.table(warc.write_warcs(table(spark, sf_dir, "pages"), folder, scratch), "manifest")
+    return warc.read_warcs(spark, folder, manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = word_runs.with_planted_runs(table(spark, sf_dir, "documents"))
     return word_runs.run_digests(word_runs.find_runs(docs))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
@@ -78,7 +92,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_mixing": op9_mixing,
         "op10_quality": op10_quality,
+        "op11_warc": op11_warc,
         "op12_word_runs": op12_word_runs,
+        "op13_phrase_collocations": op13_phrase_collocations,
     }
 
 
@@ -138,10 +154,55 @@ WITH v AS ({_USABLE}),
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 
+_WARC = """
+WITH p AS (
+        SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+    t AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM t"""
+
+_PHRASE_COLLOCATIONS = r"""
+WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    said AS (
+        SELECT lang, size, unnest(list_transform(
+            range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+        FROM worded, range(1, 4) AS t(size)),
+    counted AS (SELECT lang, size, phrase, count(*) AS f FROM said GROUP BY ALL),
+    totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang),
+    candidates AS (
+        SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE size > 1 AND f >= 10),
+    cuts AS (
+        SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r,
+               CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+        FROM candidates c JOIN range(1, 3) AS t(k) ON k < c.size
+        JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+        JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:c.size], ' ')),
+    lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM cuts),
+    longer AS (
+        SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+        FROM candidates WHERE size = 3),
+    kept AS (
+        SELECT * FROM lowest o WHERE place = 1 AND NOT EXISTS (
+            SELECT 1 FROM longer g WHERE g.lang = o.lang AND g.phrase = o.phrase AND 100 * g.a >= 50 * o.a)),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Where SQL can say the same: by comparing all pairs."""
     return {
         "op4_jaccard_join": _JACCARD_JOIN,
         "op5_lattice_dedup": _LATTICE_DEDUP,
         "op7_pivot_topk": _PIVOT_TOPK,
+        "op11_warc": _WARC,
+        "op13_phrase_collocations": _PHRASE_COLLOCATIONS,
     }
