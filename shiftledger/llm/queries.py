@@ -169,11 +169,16 @@ WITH pieces AS (
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[.,;:!?\x0A-\x0D]')) AS piece
         FROM documents),
-    worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    worded AS (
+        SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    single AS (SELECT lang, p, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM worded),
+    next AS (
+        SELECT lang, x, lead(x) OVER piece AS y, lead(x, 2) OVER piece AS z FROM single
+        WINDOW piece AS (PARTITION BY p ORDER BY i)),
     said AS (
-        SELECT lang, size, unnest(list_transform(
-            range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
-        FROM worded, range(1, 4) AS t(size)),
+        SELECT lang, 1 AS size, x AS phrase FROM next
+        UNION ALL SELECT lang, 2, x || ' ' || y FROM next WHERE y IS NOT NULL
+        UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM next WHERE z IS NOT NULL),
     counted AS (SELECT lang, size, phrase, count(*) AS f FROM said GROUP BY ALL),
     totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang),
     candidates AS (
