@@ -41,7 +41,7 @@ LEAST = 10  # occurrences of a candidate
 TOP = 2000  # rows of a language
 INSIDE = 50  # hundredths of a phrase's occurrences within a longer candidate that drop it
 GROUP_BYTES = 16 << 20
-LIMIT = 4_000_000  # entries that a task holds before it spills
+LIMIT = 3_000_000  # entries that a task holds before it spills
 BURST = 1 << 16  # entries of a container
 FAN = 16
 SALT = 8
@@ -68,13 +68,14 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Container:
-    """Counts of keys below one node; bursts into a node when it has grown too large."""
+    """A hash table of keys and counts below one node (open addressing; no key is 0). New keys
+    wait until there are enough of them; when it holds too many it bursts into a node."""
 
     def __init__(self, depth: int, burst: int) -> None:
         self.depth, self.burst = depth, burst
-        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.counts = np.zeros(16, np.int64), np.zeros(16, np.int64)
+        self.held = self.waiting = 0
         self.new: list[tuple[np.ndarray, np.ndarray]] = []
-        self.waiting = 0
         self.children: dict[int, Container] | None = None
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
@@ -83,17 +84,30 @@ class Container:
             return
         self.new.append((keys, counts))
         self.waiting += len(keys)
-        if self.waiting > max(self.burst // 4, len(self.keys)):
+        if self.waiting > max(self.burst // 4, self.held // 2):
             self._hash()
 
     def _hash(self) -> None:
-        rows = pa.table([np.concatenate(x) for x in zip((self.keys, self.counts), *self.new)], names=["k", "c"])
-        found = rows.group_by("k", use_threads=False).aggregate([("c", "sum")])
-        self.keys, self.counts = found["k"].to_numpy(), found["c_sum"].to_numpy()
+        keys, counts = (np.concatenate(x) for x in zip(*self.new))
         self.new, self.waiting = [], 0
-        if len(self.keys) > self.burst and self.depth < 3:
-            keys, counts, self.children = self.keys, self.counts, {}
-            self.keys = self.counts = np.zeros(0, np.int64)
+        if 2 * (self.held + len(keys)) > len(self.keys):
+            old = self.keys != 0
+            keys, counts = np.append(self.keys[old], keys), np.append(self.counts[old], counts)
+            size = 1 << (2 * len(keys)).bit_length()
+            self.keys, self.counts = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        last = np.int64(len(self.keys) - 1)
+        at = (tb.mixed(keys.view(np.uint64)) & np.uint64(last)).view(np.int64)
+        while len(keys):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[free]  # of several keys one gets the place
+            here = self.keys[at] == keys
+            np.add.at(self.counts, at[here], counts[here])
+            keys, counts, at = keys[~here], counts[~here], (at[~here] + 1) & last
+        self.held = int(np.count_nonzero(self.keys))
+        if self.held > self.burst and self.depth < 3:
+            old = self.keys != 0
+            keys, counts, self.children = self.keys[old], self.counts[old], {}
+            self.keys, self.counts, self.held = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
             self._deal(keys, counts)
 
     def _deal(self, keys: np.ndarray, counts: np.ndarray) -> None:
@@ -105,11 +119,12 @@ class Container:
             self.children[s].add(keys[here], counts[here])
 
     def __len__(self) -> int:
-        return len(self.keys) + self.waiting + sum(len(x) for x in (self.children or {}).values())
+        return self.held + self.waiting + sum(len(x) for x in (self.children or {}).values())
 
     def entries(self) -> tuple[np.ndarray, np.ndarray]:
         """All keys in order with their counts."""
-        held = [(self.keys, self.counts), *self.new]
+        old = self.keys != 0
+        held = [(self.keys[old], self.counts[old]), *self.new]
         held += [x.entries() for x in (self.children or {}).values()]
         return summed(*(np.concatenate(x) for x in zip(*held)))
 
@@ -142,7 +157,7 @@ class HatTrie:
 
     def spill(self, left: int) -> Iterator[tuple]:
         """Whole subtrees, the largest first, until at most `left` entries are held."""
-        names = np.array([b"", *self.ids], object)
+        names = pa.array([b"", *self.ids], pa.binary())
         for at in sorted(self.subtrees, key=lambda k: -len(self.subtrees[k])):
             if self.size <= left:
                 return
@@ -153,43 +168,44 @@ class HatTrie:
             self.ids.clear()
 
 
-def _columns(keys: np.ndarray) -> np.ndarray:
-    return np.stack([keys >> (2 * _BITS), (keys >> _BITS) & _IDS, keys & _IDS])
-
-
-def sorted_run(keys: np.ndarray, counts: np.ndarray, names: np.ndarray) -> tuple[bytes, bytes]:
+def sorted_run(keys: np.ndarray, counts: np.ndarray, names: pa.Array) -> tuple[bytes, bytes]:
     """A subtree as a run: its words in byte order, and (word, word, word, count) in order of
-    the words' places (from 1; 0: no word)."""
-    columns = _columns(keys)
-    used, place = np.unique(columns, return_inverse=True)
-    words = pa.array(names[used].tolist(), pa.binary())
-    order = np.asarray(pc.sort_indices(words))  # id 0 is the empty word, so it stays first
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    if used[0]:
-        rank += 1
-    columns = rank[place].reshape(columns.shape)
+    the words' places (from 1; 0: no word). names: of the ids, the first one empty."""
+    columns = np.stack([keys >> (2 * _BITS), (keys >> _BITS) & _IDS, keys & _IDS])
+    place = np.zeros(len(names), np.int64)
+    place[columns] = 1
+    place[0] = 0
+    used = np.flatnonzero(place)
+    words = names.take(pa.array(used))
+    order = np.asarray(pc.sort_indices(words))
+    place[used[order]] = np.arange(1, len(used) + 1)
+    columns = place[columns]
     turn = np.lexsort(columns[::-1])
     pack = zstandard.ZstdCompressor(level=1).compress
-    text = b" ".join(names[used[order]].tolist()).lstrip(b" ")
+    text, bounds = tb.bytes_of(words.take(pa.array(order)))
     body = np.concatenate([columns[:, turn].astype("<u4"), counts[turn].astype("<u8").view("<u4").reshape(-1, 2).T])
     body[0] = np.diff(body[0], prepend=np.uint32(0))
-    return pack(text), pack(np.ascontiguousarray(body).tobytes())
+    head = np.append(len(used), np.diff(bounds)).astype("<u4")
+    return pack(head.tobytes() + text.tobytes()), pack(np.ascontiguousarray(body).tobytes())
 
 
-def _read_run(words: bytes, body: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _read_run(words: bytes, body: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     unpack = zstandard.ZstdDecompressor().decompress
     rows = np.frombuffer(unpack(body), "<u4").reshape(5, -1)
     columns = rows[:3].astype(np.int64)
     columns[0] = np.cumsum(columns[0])
-    return unpack(words).split(b" "), columns, np.ascontiguousarray(rows[3:].T).view("<u8").ravel().astype(np.int64)
+    raw = unpack(words)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    bounds = np.append(0, np.cumsum(np.frombuffer(raw, "<u4", n, 4))).astype(np.int32)
+    names = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(bounds), pa.py_buffer(raw[4 + 4 * n :])])
+    return names, columns, np.ascontiguousarray(rows[3:].T).view("<u8").ravel().astype(np.int64)
 
 
 def merged(runs: list[tuple[bytes, bytes]], least: int, bits: int = 63) -> tuple[int, list[tuple[int, str, int]]]:
     """Of the runs of one prefix partition and language: the number of words, and (words,
     phrase, count) of each phrase with at least `least` occurrences."""
     read = [_read_run(*r) for r in runs]
-    words = pa.array([w for names, _, _ in read for w in names], pa.binary()).dictionary_encode()
+    words = pa.concat_arrays([names for names, _, _ in read]).dictionary_encode()
     order = np.asarray(pc.sort_indices(words.dictionary))
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(1, len(order) + 1)
@@ -203,18 +219,18 @@ def merged(runs: list[tuple[bytes, bytes]], least: int, bits: int = 63) -> tuple
     n = len(order) + 1
     if n.bit_length() * 3 <= bits:
         keys, counts = summed((first * n + second) * n + third, counts)
+        columns = [keys // (n * n), keys // n % n, keys % n]
     else:  # more words than three of fit in one number: pairs first
         pairs, which = np.unique(first * n + second, return_inverse=True)
         keys, counts = summed(which * n + third, counts)
-        keys = pairs[keys // n].astype(object) * n + keys % n
-    total = int(counts[np.asarray(keys % (n * n) == 0, bool)].sum())
+        columns = [pairs[keys // n] // n, pairs[keys // n] % n, keys % n]
+    total = int(counts[columns[1] == 0].sum())
     often = np.flatnonzero(counts >= least)
-    names = np.array(["", *[w.decode() for w in words.dictionary.take(pa.array(order)).to_pylist()]], object)
     out = []
-    for key, count in zip(keys[often].tolist(), counts[often].tolist()):
-        ids = [key // (n * n), key // n % n, key % n]
+    for *ids, count in zip(*(c[often].tolist() for c in (*columns, counts))):
         size = 3 - ids.count(0)
-        out.append((size, " ".join(names[i] for i in ids[:size]), count))
+        phrase = b" ".join(words.dictionary[int(order[i - 1])].as_py() for i in ids[:size])
+        out.append((size, phrase.decode(), count))
     return total, out
 
 

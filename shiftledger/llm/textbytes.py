@@ -74,6 +74,11 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def joined(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of some texts and each one's bounds in them."""
+    return np.frombuffer(b"".join(raws), np.uint8), np.append(0, np.cumsum([len(r) for r in raws], dtype=np.int64))
+
+
 def pieces(data: np.ndarray, bounds: np.ndarray, size: int = 1 << 19) -> Iterator[tuple]:
     """Consecutive whole rows of about `size` bytes: (first row, next row, bytes, bounds)."""
     first, rows = 0, len(bounds) - 1
