@@ -40,14 +40,15 @@ from shiftledger.llm.common import Scratch
 LEAST = 10  # occurrences of a candidate
 TOP = 2000  # rows of a language
 INSIDE = 50  # hundredths of a phrase's occurrences within a longer candidate that drop it
-GROUP_BYTES = 16 << 20
-LIMIT = 3_000_000  # entries that a task holds before it spills
+GROUP_BYTES = 8 << 20
+LIMIT = 1_500_000  # entries that a task holds before it spills
 BURST = 1 << 16  # entries of a container
 FAN = 16
 SALT = 8
-_WORDS = 1 << 20  # words worked on at once
-_PIECE = 4 << 20
-_BITS = 21  # of a word id in a key; three ids fill 63 bits
+_WORDS = 1 << 18  # words worked on at once
+_VOCABULARY = 1 << 19  # words that a task numbers before it spills all and numbers anew
+_PIECE = 1 << 20
+_BITS = 21  # of a word id in a key, more than _VOCABULARY takes; three ids fill 63 bits
 _IDS = (1 << _BITS) - 1
 _OUT = 4 << 20  # bytes of runs in a batch
 
@@ -264,7 +265,7 @@ def _counted(parts: int, limit: int, burst: int):
             for first, last, part, at in tb.pieces(data, bounds, _PIECE):
                 for words, hashes, row, piece, own in _slices(part, at):
                     coded = words.dictionary_encode()
-                    if len(trie.ids) + len(coded.dictionary) > _IDS:
+                    if len(trie.ids) + len(coded.dictionary) > _VOCABULARY:
                         yield from batched(trie.spill(0))
                     ids = trie.number(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
                     lang = of_row[first + row]
