@@ -2,19 +2,20 @@
 
 Counting. Each task gives the words it meets ids and keeps the counts of all phrases of one
 to three words in tries: under a root node per prefix partition (a hash of the phrase's first
-two words; the third one deals a prefix over SALT neighbouring partitions, so a prefix that
-very many phrases share is no single task's) lie hash containers of (word ids, count). A
-container that outgrows BURST entries bursts: it becomes a node that deals its entries by the
-next word id to containers of their own. When a task holds over LIMIT entries, it spills whole
-subtrees, the largest first, as sorted runs: phrases in byte order with the words they use.
-
-Merging. Runs are shuffled by prefix partition and merged there, one partition and language at
-a time; their words' ids are brought to the common byte order, which keeps each run sorted.
+two words; the third one deals a prefix over SALT neighbouring groups, so a prefix that very
+many phrases share is no single task's) lie hash containers of (word ids, count). A container
+that outgrows BURST entries bursts: it becomes a node that deals its entries by the next word
+id to containers of their own. When a task holds over LIMIT entries, it spills whole subtrees,
+the largest first, as sorted runs: the words used, in byte order, and for each of the
+partition's GROUPS groups of prefixes the phrases in order.
+
+Merging. Runs are shuffled by prefix partition and merged there, one language and group at a
+time; their words' ids are brought to the common byte order, which keeps each run sorted.
 Only phrases with at least `least` occurrences leave the merge. They are all that the scores
 need: what a candidate is cut into occurs as often as the candidate.
 
-The number of prefix partitions follows the bytes of all texts, so that one partition's share
-is about `group_bytes` of text, whatever the size of the table.
+The number of prefix partitions follows the bytes of all texts, so that one group's share is
+about `group_bytes` of text, whatever the size of the table.
 
 Texts: A-Z lower-cased; pieces end at `.,;:!?` and \\x0A-\\x0D, words at space and tab within
 them; words are told apart by their bytes. Null or empty texts have no words; a null language
@@ -41,10 +42,11 @@ LEAST = 10  # occurrences of a candidate
 TOP = 2000  # rows of a language
 INSIDE = 50  # hundredths of a phrase's occurrences within a longer candidate that drop it
 GROUP_BYTES = 8 << 20
-LIMIT = 1_500_000  # entries that a task holds before it spills
+LIMIT = 3_000_000  # entries that a task holds before it spills
 BURST = 1 << 16  # entries of a container
 FAN = 16
 SALT = 8
+GROUPS = 4  # of prefixes in a partition, merged one after the other
 _WORDS = 1 << 18  # words worked on at once
 _VOCABULARY = 1 << 19  # words that a task numbers before it spills all and numbers anew
 _PIECE = 1 << 20
@@ -136,11 +138,15 @@ class HatTrie:
     def __init__(self, limit: int = LIMIT, burst: int = BURST) -> None:
         self.limit, self.burst, self.size = limit, burst, 0
         self.ids: dict[bytes, int] = {}
+        self.hashes = [np.zeros(1, np.uint64)]  # of the words, by id
         self.subtrees: dict[tuple[str, int], Container] = {}
 
-    def number(self, words: list[bytes]) -> np.ndarray:
-        ids = self.ids
-        return np.fromiter((ids.setdefault(w, len(ids) + 1) for w in words), np.int64, len(words))
+    def number(self, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
+        """Ids of different words, new ones in turn."""
+        ids, known = self.ids, len(self.ids)
+        found = np.fromiter((ids.setdefault(w, len(ids) + 1) for w in words), np.int64, len(words))
+        self.hashes.append(hashes[found > known])
+        return found
 
     def add(self, lang: str, part: np.ndarray, keys: np.ndarray) -> None:
         if not len(keys):
@@ -156,23 +162,33 @@ class HatTrie:
             tree.add(keys[a:b], ones[a:b])
             self.size += len(tree) - before
 
-    def spill(self, left: int) -> Iterator[tuple]:
+    def spill(self, left: int, groups: int) -> Iterator[tuple]:
         """Whole subtrees, the largest first, until at most `left` entries are held."""
         names = pa.array([b"", *self.ids], pa.binary())
+        self.hashes = [np.concatenate(self.hashes)]
         for at in sorted(self.subtrees, key=lambda k: -len(self.subtrees[k])):
             if self.size <= left:
                 return
             tree = self.subtrees.pop(at)
             self.size -= len(tree)
-            yield (at[1], at[0], *sorted_run(*tree.entries(), names))
+            yield (at[1], at[0], *sorted_run(*tree.entries(), names, self.hashes[0], groups))
         if not left:
             self.ids.clear()
+            self.hashes = [np.zeros(1, np.uint64)]
 
 
-def sorted_run(keys: np.ndarray, counts: np.ndarray, names: pa.Array) -> tuple[bytes, bytes]:
-    """A subtree as a run: its words in byte order, and (word, word, word, count) in order of
-    the words' places (from 1; 0: no word). names: of the ids, the first one empty."""
+def _codes(first: np.ndarray, second: np.ndarray, third: np.ndarray | None) -> np.ndarray:
+    """Codes that name the groups of phrases, from the hashes of their words."""
+    prefix = tb.mixed(first * np.uint64(0x9E3779B97F4A7C15) + second)
+    return prefix if third is None else prefix + third % np.uint64(SALT)
+
+
+def sorted_run(keys: np.ndarray, counts: np.ndarray, names: pa.Array, hashes: np.ndarray, groups: int) -> tuple:
+    """A subtree as a run: its words in byte order, its groups, and of each group (word, word,
+    word, count) in order of the words' places (from 1; 0: no word). names and hashes: by id,
+    the first one of no word."""
     columns = np.stack([keys >> (2 * _BITS), (keys >> _BITS) & _IDS, keys & _IDS])
+    group = (_codes(*hashes[columns]) % np.uint64(groups)).astype(np.int64)
     place = np.zeros(len(names), np.int64)
     place[columns] = 1
     place[0] = 0
@@ -181,66 +197,81 @@ def sorted_run(keys: np.ndarray, counts: np.ndarray, names: pa.Array) -> tuple[b
     order = np.asarray(pc.sort_indices(words))
     place[used[order]] = np.arange(1, len(used) + 1)
     columns = place[columns]
-    turn = np.lexsort(columns[::-1])
+    turn = np.lexsort([*columns[::-1], group])
     pack = zstandard.ZstdCompressor(level=1).compress
     text, bounds = tb.bytes_of(words.take(pa.array(order)))
-    body = np.concatenate([columns[:, turn].astype("<u4"), counts[turn].astype("<u8").view("<u4").reshape(-1, 2).T])
-    body[0] = np.diff(body[0], prepend=np.uint32(0))
+    columns, counts, group = columns[:, turn].astype("<u4"), counts[turn].astype("<u8"), group[turn]
+    edge = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    bodies = []
+    for a, b in zip(edge.tolist(), np.append(edge[1:], len(group)).tolist()):
+        body = np.concatenate([columns[:, a:b], counts[a:b].view("<u4").reshape(-1, 2).T])
+        body[0] = np.diff(body[0], prepend=np.uint32(0))
+        bodies.append(pack(np.ascontiguousarray(body).tobytes()))
     head = np.append(len(used), np.diff(bounds)).astype("<u4")
-    return pack(head.tobytes() + text.tobytes()), pack(np.ascontiguousarray(body).tobytes())
+    return pack(head.tobytes() + text.tobytes()), group[edge].tolist(), bodies
 
 
-def _read_run(words: bytes, body: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    unpack = zstandard.ZstdDecompressor().decompress
-    rows = np.frombuffer(unpack(body), "<u4").reshape(5, -1)
-    columns = rows[:3].astype(np.int64)
-    columns[0] = np.cumsum(columns[0])
-    raw = unpack(words)
+def _read_words(blob: bytes) -> pa.Array:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
     n = int(np.frombuffer(raw, "<u4", 1)[0])
     bounds = np.append(0, np.cumsum(np.frombuffer(raw, "<u4", n, 4))).astype(np.int32)
-    names = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(bounds), pa.py_buffer(raw[4 + 4 * n :])])
-    return names, columns, np.ascontiguousarray(rows[3:].T).view("<u8").ravel().astype(np.int64)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(bounds), pa.py_buffer(raw[4 + 4 * n :])])
+
+
+def _read_body(blob: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u4").reshape(5, -1)
+    columns = rows[:3].astype(np.int64)
+    columns[0] = np.cumsum(columns[0])
+    return places[columns], np.ascontiguousarray(rows[3:].T).view("<u8").ravel().astype(np.int64)
 
 
-def merged(runs: list[tuple[bytes, bytes]], least: int, bits: int = 63) -> tuple[int, list[tuple[int, str, int]]]:
-    """Of the runs of one prefix partition and language: the number of words, and (words,
-    phrase, count) of each phrase with at least `least` occurrences."""
-    read = [_read_run(*r) for r in runs]
-    words = pa.concat_arrays([names for names, _, _ in read]).dictionary_encode()
+def merged(runs: list[tuple], least: int, bits: int = 63) -> Iterator[tuple[int, list[tuple[int, str, int]]]]:
+    """The runs (words, groups, bodies) of one prefix partition and language, group by group:
+    the number of words, and (words, phrase, count) of each phrase with at least `least`
+    occurrences."""
+    names = [_read_words(words) for words, _, _ in runs]
+    words = pa.concat_arrays(names).dictionary_encode()
     order = np.asarray(pc.sort_indices(words.dictionary))
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(1, len(order) + 1)
-    place = rank[np.asarray(words.indices)]
-    at, columns = 0, []
-    for names, own, _ in read:
-        columns.append(np.append(0, place[at : at + len(names)])[own])
-        at += len(names)
-    first, second, third = np.concatenate(columns, axis=1)
-    counts = np.concatenate([c for _, _, c in read])
+    codes, at, places = np.asarray(words.indices), 0, []
+    for own in names:
+        places.append(np.append(0, rank[codes[at : at + len(own)]]))
+        at += len(own)
+    segments: dict[int, list[tuple[bytes, np.ndarray]]] = {}
+    for (_, groups, bodies), own in zip(runs, places):
+        for g, body in zip(groups, bodies):
+            segments.setdefault(g, []).append((body, own))
     n = len(order) + 1
-    if n.bit_length() * 3 <= bits:
-        keys, counts = summed((first * n + second) * n + third, counts)
-        columns = [keys // (n * n), keys // n % n, keys % n]
-    else:  # more words than three of fit in one number: pairs first
-        pairs, which = np.unique(first * n + second, return_inverse=True)
-        keys, counts = summed(which * n + third, counts)
-        columns = [pairs[keys // n] // n, pairs[keys // n] % n, keys % n]
-    total = int(counts[columns[1] == 0].sum())
-    often = np.flatnonzero(counts >= least)
-    out = []
-    for *ids, count in zip(*(c[often].tolist() for c in (*columns, counts))):
-        size = 3 - ids.count(0)
-        phrase = b" ".join(words.dictionary[int(order[i - 1])].as_py() for i in ids[:size])
-        out.append((size, phrase.decode(), count))
-    return total, out
-
-
-_RUN = pa.schema([("part", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("body", pa.binary())])
+    for g in sorted(segments):
+        read = [_read_body(*s) for s in segments.pop(g)]
+        first, second, third = np.concatenate([c for c, _ in read], axis=1)
+        counts = np.concatenate([c for _, c in read])
+        if n.bit_length() * 3 <= bits:
+            keys, counts = summed((first * n + second) * n + third, counts)
+            columns = [keys // (n * n), keys // n % n, keys % n]
+        else:  # more words than three of fit in one number: pairs first
+            pairs, which = np.unique(first * n + second, return_inverse=True)
+            keys, counts = summed(which * n + third, counts)
+            columns = [pairs[keys // n] // n, pairs[keys // n] % n, keys % n]
+        often = np.flatnonzero(counts >= least)
+        out = []
+        for *ids, count in zip(*(c[often].tolist() for c in (*columns, counts))):
+            size = 3 - ids.count(0)
+            phrase = b" ".join(words.dictionary[int(order[i - 1])].as_py() for i in ids[:size])
+            out.append((size, phrase.decode(), count))
+        yield int(counts[columns[1] == 0].sum()), out
+
+
+_RUN = pa.schema([
+    ("part", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("groups", pa.list_(pa.int64())),
+    ("bodies", pa.list_(pa.binary())),
+])
 _GRAMS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
 
 
 def _counted(parts: int, limit: int, burst: int):
-    """(lang, text) rows to runs (part, lang, words, body)."""
+    """(lang, text) rows to runs (part, lang, words, groups, bodies)."""
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _RUN)], schema=_RUN)
@@ -249,7 +280,7 @@ def _counted(parts: int, limit: int, burst: int):
         rows, size = [], 0
         for row in spilled:
             rows.append(row)
-            size += len(row[2]) + len(row[3])
+            size += len(row[2]) + sum(map(len, row[4]))
             if size > _OUT:
                 yield batch_of(rows)
                 rows, size = [], 0
@@ -266,17 +297,20 @@ def _counted(parts: int, limit: int, burst: int):
                 for words, hashes, row, piece, own in _slices(part, at):
                     coded = words.dictionary_encode()
                     if len(trie.ids) + len(coded.dictionary) > _VOCABULARY:
-                        yield from batched(trie.spill(0))
-                    ids = trie.number(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
+                        yield from batched(trie.spill(0, parts * GROUPS))
+                    code_of = np.asarray(coded.indices)
+                    distinct = np.empty(len(coded.dictionary), np.uint64)
+                    distinct[code_of] = hashes
+                    ids = trie.number(coded.dictionary.to_pylist(), distinct)[code_of]
                     lang = of_row[first + row]
                     for key, group, where in _grams(ids, hashes, piece, own):
-                        group %= np.uint64(parts)
+                        group = group % np.uint64(parts * GROUPS) // np.uint64(GROUPS)
                         for code in np.unique(lang[where]).tolist():
                             here = lang[where] == code
                             trie.add(names[code], group[here].astype(np.int64), key[here])
                     if trie.size > limit:
-                        yield from batched(trie.spill(limit // 2))
-        yield from batched(trie.spill(0))
+                        yield from batched(trie.spill(limit // 2, parts * GROUPS))
+        yield from batched(trie.spill(0, parts * GROUPS))
 
     return count
 
@@ -301,41 +335,42 @@ def _slices(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple]:
 
 
 def _grams(ids: np.ndarray, hashes: np.ndarray, piece: np.ndarray, own: int) -> Iterator[tuple]:
-    """Keys, hashes that name their prefix partitions, and places of the first words of the
-    phrases of one, two and three words that begin at the first `own` words."""
+    """Keys, codes and places of the first words of the phrases of one, two and three words
+    that begin at the first `own` words."""
     one = np.arange(own)
-    yield ids[one] << (2 * _BITS), tb.mixed(hashes[one]), one
+    yield ids[one] << (2 * _BITS), _codes(hashes[one], np.zeros(own, np.uint64), None), one
     two = np.flatnonzero(piece[: own][: len(piece) - 1] == piece[1 : own + 1])
-    prefix = tb.mixed(hashes[two] * np.uint64(0x9E3779B97F4A7C15) + hashes[two + 1])
-    yield ids[two] << (2 * _BITS) | ids[two + 1] << _BITS, prefix.copy(), two
+    prefix = _codes(hashes[two], hashes[two + 1], None)
+    yield ids[two] << (2 * _BITS) | ids[two + 1] << _BITS, prefix, two
     wide = np.flatnonzero(two + 2 < len(piece))
     wide = wide[piece[two[wide] + 2] == piece[two[wide]]]
     three = two[wide]
-    spread = prefix[wide] + hashes[three + 2] % np.uint64(SALT)
-    yield ids[three] << (2 * _BITS) | ids[three + 1] << _BITS | ids[three + 2], spread, three
+    yield (
+        ids[three] << (2 * _BITS) | ids[three + 1] << _BITS | ids[three + 2],
+        prefix[wide] + hashes[three + 2] % np.uint64(SALT), three,
+    )
 
 
 def _merge(least: int):
     """Rows in order of (part, lang) to the often phrases; size 0: the number of words."""
 
-    def solve(lang: str, runs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        total, rows = merged(runs, least)
-        rows.append((0, None, total))
-        size, phrase, f = zip(*rows)
-        columns = [[lang] * len(rows), size, phrase, f]
-        return pa.RecordBatch.from_arrays([pa.array(x, k.type) for x, k in zip(columns, _GRAMS)], schema=_GRAMS)
+    def solve(lang: str, runs: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for total, rows in merged(runs, least):
+            rows.append((0, None, total))
+            columns = [[lang] * len(rows), *zip(*rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k.type) for x, k in zip(columns, _GRAMS)], schema=_GRAMS)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
-            for part, lang, words, body in zip(*(c.to_pylist() for c in batch.columns)):
+            for part, lang, *run in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and (part, lang) != now:
-                    yield solve(now[1], held)
+                    yield from solve(now[1], held)
                     held = []
                 now = part, lang
-                held.append((words, body))
+                held.append(tuple(run))
         if held:
-            yield solve(now[1], held)
+            yield from solve(now[1], held)
 
     return merge
 
@@ -349,8 +384,10 @@ def phrase_counts(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text")
     ).where("octet_length(text) > 0")
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    parts = max(1, -(-size // group_bytes))
-    runs = rows.mapInArrow(_counted(parts, limit, burst), "part long, lang string, words binary, body binary")
+    parts = max(1, -(-size // (GROUPS * group_bytes)))
+    runs = rows.mapInArrow(
+        _counted(parts, limit, burst), "part long, lang string, words binary, groups array<long>, bodies array<binary>"
+    )
     return runs.repartition(parts, "part").sortWithinPartitions("part", "lang").mapInArrow(
         _merge(least), "lang string, size int, phrase string, f long"
     )

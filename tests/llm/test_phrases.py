@@ -103,15 +103,20 @@ def test_query_on_the_given_table(spark):
 
 def test_merging_with_more_words_than_three_of_fit_in_a_number():
     trie = phrases.HatTrie(burst=4)
-    ids = trie.number([b"b", b"c", b"a"])
+    ids = trie.number([b"b", b"c", b"a"], np.array([5, 6, 7], np.uint64))
     keys = np.concatenate([ids << 42, ids << 42 | np.roll(ids, -1) << 21, ids << 42 | ids << 21 | ids])
     for _ in range(5):
         trie.add("en", np.zeros(len(keys), np.int64), keys)
-    runs = [x[2:] for x in trie.spill(0)] * 2
-    assert phrases.merged(runs, 10) == phrases.merged(runs, 10, bits=5)
-    total, rows = phrases.merged(runs, 10)
+    runs = [x[2:] for x in trie.spill(0, 3)] * 2
+
+    def all_of(least, **options):
+        totals, rows = zip(*phrases.merged(runs, least, **options))
+        return sum(totals), sorted(x for r in rows for x in r)
+
+    assert all_of(10) == all_of(10, bits=5)
+    total, rows = all_of(10)
     assert total == 30 and ("a b", 10) in [x[1:] for x in rows] and len(rows) == 9
-    assert phrases.merged(runs, 11) == (30, [])
+    assert all_of(11) == (30, [])
 
 
 def test_counts_past_64_bits_are_exact(spark):
