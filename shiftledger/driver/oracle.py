@@ -8,17 +8,22 @@ forms are checked against something different.
 from __future__ import annotations
 
 from shiftledger.driver.adapter import SETTINGS
-from shiftledger.operators.envelopes import SHIFT_ORDER_BANDS
 from shiftledger.operators.hours import FLEX_COLUMNS, HOUR_COLUMNS
 from shiftledger.operators.shifts import PROFILE, SHIFT
-from shiftledger.operators.spans import SPAN_CODES
-from shiftledger.settings import ABSENCE_GROUPS, BRIDGE_PRIORITY, GAP_CODES
 
 _FROM, _TO = "DATE '2024-01-01'", "DATE '2024-01-31'"
 _WIDE_FROM, _WIDE_TO = "DATE '2023-12-31'", "DATE '2024-02-01'"
 _AS_OF = "DATE '2024-01-17'"
 _MAPPING_AS_OF = "DATE '1998-06-17'"
 _SICK = "TRY_CAST(performance_code AS INT) IN (4503, 3523)"
+
+# Fixed values, stated here once more so that a wrong one in the library shows.
+GAP_CODES = ("0050", "0250", "0353", "0359", "3031", "3523", "4503")
+BRIDGE_PRIORITY = ("0050", "0250", "0359", "3031", "3523", "0353", "4503")
+ABSENCE_GROUPS = (
+    "Feestdag", "Ziek", "ADV", "vakantie", "Ongewettigd afwezig", "Bevallingsverlof",
+    "Educatief verlof", "Familiaal verlof", "Klein Verlet", "Langdurig ziek", "Ouderschapsverlof",
+)
 _GAPS = ", ".join(f"'{code}'" for code in GAP_CODES)
 
 _ORDER = ["full_name", "start_time", "employee_id"]
@@ -328,13 +333,11 @@ _SICKNESS = {
         JOIN templates t ON c.person_id = t.person_id
         WHERE h.person_id IS NULL""",
     "filled": "SELECT * FROM hours UNION ALL BY NAME SELECT * FROM missing",
-    "two_codes": f"""
-        SELECT DISTINCT shift_start_date, person_id FROM (
-            SELECT shift_start_date, person_id,
-                   row_number() OVER (PARTITION BY shift_start_date, person_id) AS rn
-            FROM (SELECT DISTINCT shift_start_date, person_id, performance_code, weekday_name
-                  FROM filled WHERE weekday_name NOT IN ('Saturday', 'Sunday')))
-        WHERE rn = 2""",
+    "two_codes": """
+        SELECT shift_start_date, person_id
+        FROM (SELECT DISTINCT shift_start_date, person_id, performance_code, weekday_name
+              FROM filled WHERE weekday_name NOT IN ('Saturday', 'Sunday'))
+        GROUP BY shift_start_date, person_id HAVING count(*) >= 2""",
     "sick_values": f"""
         SELECT DISTINCT f.shift_start_date, f.person_id, f.performance_code, f.weekday_name,
                CASE WHEN o.person_id IS NOT NULL THEN 0
@@ -420,11 +423,9 @@ _ORDER_MAPPED = {
 }
 
 _RECODE = {
-    "candidates": """
-        SELECT external_reference, day FROM mapped WHERE performance_code IN ('0100', '1020')""",
-    "ranked": """
-        SELECT *, row_number() OVER (PARTITION BY external_reference, day) AS r2 FROM candidates""",
-    "doubles": "SELECT DISTINCT external_reference, day FROM ranked WHERE r2 > 1",
+    "doubles": """
+        SELECT external_reference, day FROM mapped WHERE performance_code IN ('0100', '1020')
+        GROUP BY external_reference, day HAVING count(*) >= 2""",
     "recoded": """
         SELECT m.* REPLACE (CASE WHEN TRY_CAST(m.performance_code AS INT) = 100
                                   AND d.external_reference IS NOT NULL THEN '1020'
@@ -611,11 +612,13 @@ _DATE_SPANS = " UNION ALL ".join(
     for code, (start, end) in _SPANS.items()
     for suffix in ("", "c")
 )
-assert tuple(_SPANS) == SPAN_CODES
 
-_BANDS = "SELECT * FROM (VALUES " + ", ".join(
-    f"('{start}', '{end}', {order})" for start, end, order in SHIFT_ORDER_BANDS
-) + ") b(hour_start, hour_end, shift_order)"
+# An hour each, the first from 16:00:01; bands 15 and 16 end a second late.
+_BANDS = """
+    SELECT format('{:02d}:00:01', (15 + i) % 24) AS hour_start,
+           format('{:02d}:00:{:02d}', (16 + i) % 24, CASE WHEN i IN (15, 16) THEN 1 ELSE 0 END) AS hour_end,
+           i AS shift_order
+    FROM range(1, 25) AS t(i)"""
 _SHIFT_BANDS = {
     **_INPUTS,
     "bands": _BANDS,
@@ -674,7 +677,11 @@ QUERIES: dict[str, tuple[dict[str, str], str]] = {
     "night_agent_hours": (_TO_FINAL, "SELECT * FROM night_hours"),
     "hours_union": (_TO_FINAL, "SELECT * FROM hours"),
     "sick_calendar": (_TO_FINAL, "SELECT * FROM calendar"),
-    "sick_fill": (_TO_FINAL, "SELECT * FROM missing"),
+    "sick_fill": (
+        _TO_FINAL,
+        """SELECT *, NULL::TIMESTAMP AS first_start_time, NULL::TIMESTAMP AS last_end_time,
+                  NULL::VARCHAR AS first_start_hour, NULL::VARCHAR AS last_end_hour FROM missing""",
+    ),
     "sick_hours": (_TO_FINAL, "SELECT * FROM worked"),
     "clamped_hours": (_TO_FINAL, "SELECT * FROM cleaned"),
     "total_workdays": (_TO_FINAL, "SELECT * FROM final"),
@@ -763,6 +770,8 @@ QUERIES: dict[str, tuple[dict[str, str], str]] = {
     "bridged_gaps": (_TO_STAGING, "SELECT * FROM bridged"),
     "bridged_order_gaps": (_ORDER_DENSE, "SELECT * FROM bridged"),
     "identity_backfill": (_TO_STAGING, "SELECT * FROM staging"),
+    "published_fact": (_TO_FACT, "SELECT * FROM fact"),
+    "published_staging": (_TO_STAGING, "SELECT * FROM staging"),
     "payroll_lines": (_lines(2), "SELECT * FROM lines WHERE line IS NOT NULL"),
     "previous_lines": (_lines(1), "SELECT * FROM lines WHERE line IS NOT NULL"),
     "ordered_lines": (
@@ -785,8 +794,11 @@ QUERIES["report_dispatch"] = (
             FROM (SELECT unnest(['PW', 'CW', 'NW', 'PM', 'P2M', 'C2M', 'CM', 'NM']) AS code),
                  (SELECT unnest(['', 'c']) AS suffix)""",
         "sizes": " UNION ALL ".join(
-            f"SELECT '{name}' AS report, count(*) AS rows FROM {name}"
-            for name in ("basis", "long", "short", "cumulative")
+            f"SELECT '{name}' AS report, count(*) AS rows, CAST(sum(\"{hours}\") AS DOUBLE) AS hours FROM {name}"
+            for name, hours in (
+                ("basis", "ScheduledTotalTime"), ("long", "Gepresteerde Uren"), ("short", "Aantal Werkuren"),
+                ("cumulative", "Aantal Werkuren"),
+            )
         ),
         "chosen": """
             SELECT mode, code,
@@ -795,5 +807,5 @@ QUERIES["report_dispatch"] = (
                         ELSE mode END AS report
             FROM modes, codes""",
     },
-    "SELECT mode, code, report, rows FROM chosen LEFT JOIN sizes USING (report)",
+    "SELECT mode, code, report, rows, hours FROM chosen LEFT JOIN sizes USING (report)",
 )

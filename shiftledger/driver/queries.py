@@ -59,35 +59,56 @@ def _enriched(t: DriverTables, stages: Stages) -> DataFrame:
     )
 
 
-def _ordered(t: DriverTables, stages: Stages) -> DataFrame:
-    return plan.ordered_shifts(t.shift_tables(), SPAN, AS_OF, stages)
+def _stored(t: DriverTables, stages: Stages) -> shifts.StoredShifts:
+    return plan.stored_shifts(t.shift_tables(), SPAN, AS_OF, stages)
+
+
+def _row_numbers(t: DriverTables, stages: Stages) -> DataFrame:
+    stored = _stored(t, stages)
+    return stored.attach(shifts.number_rows(shifts.order_shifts(stored.narrow(), stages)))
 
 
 def _sessions(t: DriverTables, stages: Stages) -> DataFrame:
-    return shifts.shift_sessions(
-        _ordered(t, stages), SETTINGS.dropped_activities, SETTINGS.gap_minutes
+    stored = _stored(t, stages)
+    ordered = shifts.order_shifts(stored.narrow(), stages)
+    return stored.attach(
+        shifts.shift_sessions(ordered, SETTINGS.dropped_activities, SETTINGS.gap_minutes)
     )
 
 
 def _grouped(t: DriverTables, stages: Stages) -> DataFrame:
-    return plan.grouped_shifts(t.shift_tables(), *_ARGS, stages)
+    stored = _stored(t, stages)
+    return stored.attach(plan.grouped_shifts(stored, SETTINGS, stages))
 
 
 def _night_keys(t: DriverTables) -> DataFrame:
     return envelopes.night_shift_keys(t.planned())
 
 
-def _combined(t: DriverTables, stages: Stages) -> DataFrame:
-    return plan.enveloped_shifts(t.shift_tables(), *_ARGS, stages)
+def _day(t: DriverTables, stages: Stages) -> DataFrame:
+    stored = _stored(t, stages)
+    return stored.attach(envelopes.day_envelope(plan.grouped_shifts(stored, SETTINGS, stages), stages))
+
+
+def _night(t: DriverTables, stages: Stages) -> DataFrame:
+    stored = _stored(t, stages)
+    groups = plan.grouped_shifts(stored, SETTINGS, stages)
+    return stored.attach(envelopes.night_envelope(groups, _night_keys(t), stages))
+
+
+def _combined(t: DriverTables, stages: Stages, wide: tuple | None = None) -> DataFrame:
+    """With a ``wide`` span without the rows of its edges."""
+    stored = _stored(t, stages)
+    rows = plan.enveloped_shifts(stored, t.planned(), SETTINGS, stages)
+    return stored.attach(rows if wide is None else shifts.trim_edges(rows, wide))
 
 
 def _trimmed(t: DriverTables, stages: Stages) -> DataFrame:
-    return shifts.trim_edges(_combined(t, stages), _wide())
+    return _combined(t, stages, _wide())
 
 
 def _trimmed_week(t: DriverTables, stages: Stages) -> DataFrame:
-    week = spans.widen(spans.resolve_span("PW", AS_OF))
-    return shifts.trim_edges(_combined(t, stages), week)
+    return _combined(t, stages, spans.widen(spans.resolve_span("PW", AS_OF)))
 
 
 def _bands(t: DriverTables, stages: Stages) -> DataFrame:
@@ -115,8 +136,7 @@ def _sick_calendar(t: DriverTables, stages: Stages) -> DataFrame:
 
 def _sick_fill(t: DriverTables, stages: Stages) -> DataFrame:
     worked = _staged_hours(t, stages)
-    calendar = sickness.sick_calendar(worked, t.shift_tables().date_dim)
-    return sickness.fill_sick_days(worked, calendar, SETTINGS.flip_persons)
+    return sickness.fill_sick_days(worked, t.shift_tables().date_dim, SETTINGS.flip_persons)
 
 
 def _sick_hours(t: DriverTables, stages: Stages) -> DataFrame:
@@ -152,6 +172,24 @@ def _staging(t: DriverTables, stages: Stages) -> DataFrame:
     return payroll_plan.staged_payroll(_fact(t, stages), t.mapping_view(), AS_OF, SETTINGS, stages)
 
 
+def _published_fact(t: DriverTables, stages: Stages) -> DataFrame:
+    """The fact of a run, written under its headers, swapped in and read back."""
+    target = f"{stages.reserve()}/performance"
+    return plan.run_performance(
+        t.spark, t.shift_tables(), AS_OF, SPAN, "publish", SETTINGS, target=target
+    ).fact
+
+
+def _published_staging(t: DriverTables, stages: Stages) -> DataFrame:
+    """Staging rows built from the published fact, published over an older edition, read back."""
+    fact, target = _published_fact(t, stages), f"{stages.reserve()}/staging"
+    for performance in (fact.filter("false"), fact):
+        back = payroll_plan.build_payroll(
+            t.spark, performance, t.mapping_view(), AS_OF, SETTINGS, target
+        )
+    return back
+
+
 def _identity(t: DriverTables) -> DataFrame:
     return mapping.employee_identity(t.employee_view(), t.employee_versions())
 
@@ -169,25 +207,29 @@ def _payroll_lines(t: DriverTables, stages: Stages, flag: str = mapping.CURRENT)
     return export.payroll_lines(export.select_export(staging, flagged, flag, as_of))
 
 
+# A mode and a span code that give each report, and the report's column of hours.
+_REPORTS = {
+    "basis": ("basis", SPAN, "ScheduledTotalTime"),
+    "long": ("long", SPAN, "Gepresteerde Uren"),
+    "short": ("short", SPAN, "Aantal Werkuren"),
+    "cumulative": ("short", SPAN + "c", "Aantal Werkuren"),
+}
+
+
 def _report_dispatch(t: DriverTables, stages: Stages) -> DataFrame:
-    """Rows of the report that each mode and span code give over one span."""
+    """Rows and hours of the report that each mode and span code give over one span."""
     final = _staged_final(t, stages)
-    built = {
-        "basis": reports.report_basis(reports.total_workdays(final, stages)),
-        "long": reports.report_long(final),
-        "short": reports.report_short(final),
-        "cumulative": reports.report_cumulative(final, _wide()),
-    }
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("report"), "rows")
-        for name, df in built.items()
-    ]
+    totals = []
+    for name, (mode, code, hours_column) in _REPORTS.items():
+        report = plan.select_report(final, mode, code, AS_OF, stages)
+        total = report.agg(F.count(F.lit(1)).alias("rows"), F.sum(f"`{hours_column}`").cast("double").alias("hours"))
+        totals.append(total.select(F.lit(name).alias("report"), "rows", "hours"))
     codes = [code + suffix for code in spans.SPAN_CODES for suffix in ("", "c")]
     choices = t.spark.createDataFrame(
         [(m, c, plan.report_name(m, c)) for m in plan.MODES for c in codes],
         "mode string, code string, report string",
     )
-    return choices.join(functools.reduce(DataFrame.unionByName, counts), "report", "left")
+    return choices.join(functools.reduce(DataFrame.unionByName, totals), "report", "left")
 
 
 _QUERIES: dict[str, Query] = {
@@ -197,13 +239,13 @@ _QUERIES: dict[str, Query] = {
     ),
     "current_employees": lambda t, s: shifts.current_employees(t.shift_tables().employee),
     "shift_enriched": _enriched,
-    "row_numbers": lambda t, s: shifts.number_rows(_ordered(t, s)),
+    "row_numbers": _row_numbers,
     "shift_sessions": _sessions,
     "shift_groups": _grouped,
-    "day_envelope": lambda t, s: envelopes.day_envelope(_grouped(t, s), s),
+    "day_envelope": _day,
     "shift_bands": _bands,
     "night_keys": lambda t, s: _night_keys(t),
-    "night_envelope": lambda t, s: envelopes.night_envelope(_grouped(t, s), _night_keys(t), s),
+    "night_envelope": _night,
     "combined_envelope": _combined,
     "trimmed_edges": _trimmed_week,
     "flex_hours": lambda t, s: hours.flex_hours(_trimmed(t, s)),
@@ -243,6 +285,8 @@ _QUERIES: dict[str, Query] = {
         payroll.filter_gaps(_dense_orders(t, s)), SETTINGS.line_prefix
     ),
     "identity_backfill": _staging,
+    "published_fact": _published_fact,
+    "published_staging": _published_staging,
     "payroll_lines": _payroll_lines,
     "previous_lines": lambda t, s: _payroll_lines(t, s, mapping.PREVIOUS),
     "ordered_lines": lambda t, s: export.ordered_lines(_payroll_lines(t, s), s),

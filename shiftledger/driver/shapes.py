@@ -93,14 +93,7 @@ SHAPES: dict[str, list[tuple[str, str]]] = {
     "night_agent_hours": _pairs(_ENVELOPE + " night_agent_hours:f"),
     "hours_union": _pairs(_HOURS),
     "sick_calendar": _pairs("person_id:i full_date:d start_month:d end_month:d"),
-    "sick_fill": _pairs(
-        " ".join(
-            item
-            for item in _HOURS.split()
-            if item.split(":")[0]
-            not in ("first_start_time", "last_end_time", "first_start_hour", "last_end_hour")
-        )
-    ),
+    "sick_fill": _pairs(_HOURS),
     "sick_hours": _pairs(_HOURS),
     "clamped_hours": _pairs(_HOURS),
     "total_workdays": _pairs(_HOURS + " total_workdays:i"),
@@ -125,10 +118,12 @@ SHAPES: dict[str, list[tuple[str, str]]] = {
     "bridged_gaps": _pairs("prefix:s hours_text:s " + _MAPPED),
     "bridged_order_gaps": _pairs("prefix:s hours_text:s " + _MAPPED),
     "identity_backfill": _pairs("prefix:s hours_text:s " + _MAPPED),
+    "published_fact": _pairs(_FACT),
+    "published_staging": _pairs("prefix:s hours_text:s " + _MAPPED),
     "payroll_lines": _pairs("line:s day:d"),
     "previous_lines": _pairs("line:s day:d"),
     "ordered_lines": _pairs("line:s place:i"),
-    "report_dispatch": _pairs("mode:s code:s report:s rows:i"),
+    "report_dispatch": _pairs("mode:s code:s report:s rows:i hours:f"),
 }
 
 

@@ -81,39 +81,57 @@ def recode_doubles(
     )
 
 
-def densify(mapped: DataFrame, as_of: date) -> DataFrame:
+def densify(mapped: DataFrame, as_of: date, since: Column | None = None) -> DataFrame:
     """Facts plus an empty row for every reference and spine day without one.
 
     The spine is contiguous, so which facts lie on it is known without a join,
     and the missing days of a reference are a set difference of at most one
     element per spine day. ``calendar_reference`` and ``calendar_day`` are NULL
     for facts after the spine and for facts without a reference.
+
+    With ``since`` the calendar begins there, unless the facts begin later; earlier facts
+    on it are left out. A reference whose ``whole`` column is true keeps all its days.
     """
     start, end = spine_bounds(mapped, "day", as_of)
     reference = F.col("external_reference")
     on_spine = reference.isNotNull() & F.col("day").between(start, end)
-    facts = mapped.withColumns(
+    first = start
+    if since is not None:
+        whole = F.col("whole") if "whole" in mapped.columns else F.lit(False)
+        first = F.when(whole, start).otherwise(F.greatest(start, since))
+    seen = on_spine & (F.col("day") >= first)
+    facts = mapped.filter(seen | ~F.coalesce(on_spine, F.lit(False))).withColumns(
         {
             "calendar_reference": F.when(on_spine, reference),
             "calendar_day": F.when(on_spine, F.col("day")),
         }
     )
-    spine = _days(start, end)
-    taken = F.collect_set(F.when(on_spine, F.col("day")))
+    keys = ["external_reference", *(["whole"] if "whole" in mapped.columns else [])]
     empty = (
-        mapped.select("external_reference", "day")
-        .distinct()
-        .groupBy("external_reference")
-        .agg(taken.alias("_taken"))
-        .select(
-            "external_reference",
-            F.explode(F.array_except(spine, F.col("_taken"))).alias("day"),
-        )
+        mapped.groupBy(*keys)
+        .agg(F.collect_set(F.when(seen, F.col("day"))).alias("_taken"))
+        .select(*keys, F.explode(F.array_except(_days(first, end), F.col("_taken"))).alias("day"))
         .withColumns(
             {"calendar_reference": F.col("external_reference"), "calendar_day": F.col("day")}
         )
     )
-    return facts.unionByName(empty, allowMissingColumns=True)
+    return facts.unionByName(empty, allowMissingColumns=True).drop("whole")
+
+
+# Rows that a neighbour's code is looked for on either side; a calendar day has one or more.
+REACH = 2
+
+
+def densify_recent(mapped: DataFrame, as_of: date, stages: Stages) -> DataFrame:
+    """The part of the dense calendar that the recent months need: from REACH days before
+    them on. References with an identity on older facts without a code keep all their days,
+    as only their neighbours tell whether such a fact is dropped."""
+    since = F.date_sub(first_recent_day(as_of), REACH)
+    older = F.col("performance_code").isNull() & F.col("agreement_number").isNotNull() & (F.col("day") < since)
+    whole = stages.write(mapped.filter(older).select("external_reference").distinct(), "whole_references")
+    flagged = mapped.join(whole.withColumn("_whole", F.lit(True)), "external_reference", "left")
+    flagged = flagged.withColumn("whole", F.coalesce("_whole", F.lit(False))).drop("_whole")
+    return densify(flagged, as_of, since)
 
 
 def neighbour_codes(dense: DataFrame, stages: Stages) -> DataFrame:
@@ -125,7 +143,7 @@ def neighbour_codes(dense: DataFrame, stages: Stages) -> DataFrame:
     code = F.col("performance_code")
     along = Window.partitionBy(seq.CHUNK, "calendar_reference").orderBy(seq.POS)
     # The partition key leads the sort, so neighbours are adjacent positions.
-    near = seq.number_neighbours(rows, 2, ["calendar_reference", "performance_code"]).withColumns(
+    near = seq.number_neighbours(rows, REACH, ["calendar_reference", "performance_code"]).withColumns(
         {
             "lag_code": F.coalesce(F.lag(code, 1).over(along), F.lag(code, 2).over(along)),
             "lead_code": F.coalesce(F.lead(code, 1).over(along), F.lead(code, 2).over(along)),
@@ -161,14 +179,24 @@ def bridge_codes(df: DataFrame, prefix: str, priority: tuple[str, ...] = S.BRIDG
     )
 
 
-def backfill_identity(df: DataFrame, stages: Stages) -> DataFrame:
-    """Rows without an agreement number take the identity known for their
-    reference (the smallest, when there are several)."""
-    known = (
+def known_identities(df: DataFrame) -> DataFrame:
+    """The identity of each reference (the smallest, when there are several)."""
+    return (
         df.filter(F.col("agreement_number").isNotNull())
         .groupBy("external_reference")
         .agg(F.min(F.struct(*_PERSON)).alias("_known"))
     )
+
+
+def backfill_identity(df: DataFrame, stages: Stages, earlier: DataFrame | None = None) -> DataFrame:
+    """Rows without an agreement number take the identity known for their reference.
+
+    ``earlier`` are rows that ``df`` does not hold but whose identities count as well.
+    """
+    known = known_identities(df)
+    if earlier is not None:
+        known = known.unionByName(known_identities(earlier))
+        known = known.groupBy("external_reference").agg(F.min("_known").alias("_known"))
     take = F.col("agreement_number").isNull() & F.col("_known").isNotNull()
     return (
         df.join(stages.write(known, "identities"), "external_reference", "left")
@@ -179,6 +207,10 @@ def backfill_identity(df: DataFrame, stages: Stages) -> DataFrame:
     )
 
 
+def first_recent_day(as_of: date) -> Column:
+    return F.trunc(F.add_months(F.lit(as_of), -1), "MM")
+
+
 def recent_months(df: DataFrame, as_of: date) -> DataFrame:
     """Rows from the first day of the month before the as-of date."""
-    return df.filter(F.col("day") >= F.trunc(F.add_months(F.lit(as_of), -1), "MM"))
+    return df.filter(F.col("day") >= first_recent_day(as_of))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftledger import settings as S
@@ -68,6 +68,7 @@ _BASIS = (
     ("break_split_shift", "BreakSplitShift"),
     ("employment_place", "EmploymentPlace"),
 )
+# Headers of a day's hours.
 _DAY_SUMS = (
     ("scheduled_total_time", "Gepresteerde Uren"),
     ("flex_saturday_hours", "FlexSaturdayHours"),
@@ -131,19 +132,49 @@ def report_basis(df: DataFrame) -> DataFrame:
     return df.withColumns(short).select(*(F.col(name).alias(header) for name, header in _BASIS))
 
 
+# Headers of a day's keys.
+_DAY_KEYS = {
+    "register_number": "RR",
+    "last_name": "Naam",
+    "first_name": "Voornaam",
+    "interim_office": "Temp kantoor",
+    "shift_start_date": "Datum",
+    "break_split_shift": "BreakSplitShift",
+}
+
+
+def _day_keys() -> list[Column]:
+    return [F.col(name).alias(header) for name, header in _DAY_KEYS.items()]
+
+
+def _day_sums() -> list[Column]:
+    return [F.sum(name).alias(header) for name, header in _DAY_SUMS]
+
+
 def report_day_hours(df: DataFrame) -> DataFrame:
     """Hour sums per person, office, day and break-split kind."""
-    keys = {
-        "register_number": "RR",
-        "last_name": "Naam",
-        "first_name": "Voornaam",
-        "interim_office": "Temp kantoor",
-        "shift_start_date": "Datum",
-        "break_split_shift": "BreakSplitShift",
-    }
-    return df.groupBy(*(F.col(name).alias(header) for name, header in keys.items())).agg(
-        *(F.sum(name).alias(header) for name, header in _DAY_SUMS)
-    )
+    return df.groupBy(*_day_keys()).agg(*_day_sums())
+
+
+def _is_absence() -> Column:
+    return (F.col("activity_group") != S.WORK_GROUP) & (F.col("register_number") != "")
+
+
+def _absence_sums(groups: tuple[str, ...]) -> list[Column]:
+    """Hours of each absence group among a group's rows; NULL where there are none."""
+    hours = snap_hours(F.col("scheduled_total_time"))
+    return [
+        F.sum(F.when(_is_absence() & (F.col("activity_group") == group), hours)).alias(group)
+        for group in groups
+    ]
+
+
+def _absence_total(groups: tuple[str, ...]) -> Column:
+    total: Column = F.lit(0)
+    for group in groups:
+        if group not in S.ABSENCE_NOT_TOTALLED:
+            total = total + F.col(f"`{group}`")
+    return total.alias(ABSENCE_TOTAL)
 
 
 def absence_pivot(df: DataFrame, groups: tuple[str, ...] = S.ABSENCE_GROUPS) -> DataFrame:
@@ -151,49 +182,43 @@ def absence_pivot(df: DataFrame, groups: tuple[str, ...] = S.ABSENCE_GROUPS) ->
 
     Conditional sums give the pivot in a single shuffle.
     """
-    rows = df.filter(
-        (F.col("activity_group") != S.WORK_GROUP) & (F.col("register_number") != "")
-    ).withColumn("_hours", snap_hours(F.col("scheduled_total_time")))
-    zero = F.lit(0)
-    pivot = rows.groupBy(
-        F.col("register_number").alias("RR"), F.col("shift_start_date").alias("Datum")
-    ).agg(
-        *(
-            F.coalesce(F.sum(F.when(F.col("activity_group") == group, F.col("_hours"))), zero).alias(group)
-            for group in groups
-        )
-    )
-    total: Column = zero
-    for group in groups:
-        if group not in S.ABSENCE_NOT_TOTALLED:
-            total = total + F.col(f"`{group}`")
-    return pivot.select("RR", "Datum", total.alias(ABSENCE_TOTAL), *(f"`{group}`" for group in groups))
+    keys = [F.col("register_number").alias("RR"), F.col("shift_start_date").alias("Datum")]
+    pivot = df.filter(_is_absence()).groupBy(*keys).agg(*_absence_sums(groups))
+    pivot = pivot.fillna(0, list(groups))
+    return pivot.select("RR", "Datum", _absence_total(groups), *(f"`{group}`" for group in groups))
 
 
 def report_long(df: DataFrame, groups: tuple[str, ...] = S.ABSENCE_GROUPS) -> DataFrame:
-    """Day hours full-joined to the absences of the same number and day.
+    """Day hours with the absences of the same number and day.
 
-    Keys come from the day hours only, so absences without day hours show NULL
-    keys. Persons without a number can have no absences: they skip the join,
-    which keeps them from meeting in one task.
+    One aggregation gives both, per person, office, day and break-split kind; a window over
+    the few such rows of a number and day adds the absences up. Absences without a day
+    belong to no day hours and show NULL keys, one row per number. Persons without a number
+    have no absences; they are placed by all keys, so they do not meet in one task.
     """
-    day_hours = report_day_hours(df)
     names = [ABSENCE_TOTAL, *groups]
-    absences = absence_pivot(df, groups).withColumnsRenamed({"RR": "_rr", "Datum": "_day"})
-    numbered = F.coalesce(F.col("RR") != "", F.lit(False))
-    joined = day_hours.filter(numbered).join(
-        absences, (F.col("RR") == F.col("_rr")) & (F.col("Datum") == F.col("_day")), "full_outer"
-    )
-    joined = joined.drop("_rr", "_day").withColumns(
-        {name: F.coalesce(F.col(f"`{name}`"), F.lit(0)) for name in names}
+    days = df.groupBy(*_day_keys()).agg(
+        *_day_sums(), *_absence_sums(groups), F.count_if(_is_absence()).alias("_absences")
     )
-    types = dict(joined.dtypes)
-    alone = day_hours.filter(~numbered).withColumns(
-        {name: F.lit(0).cast(types[name]) for name in names}
+    numbered = F.coalesce(F.col("RR") != "", F.lit(False))
+    place = F.when(numbered, F.xxhash64("RR", "Datum")).otherwise(F.xxhash64(*(f"`{k}`" for k in _DAY_KEYS.values())))
+    alike = Window.partitionBy("_place", "RR", "Datum")
+    types = dict(absence_pivot(df, groups).dtypes)
+    kept = numbered & F.col("Datum").isNotNull()
+    first = F.row_number().over(alike.orderBy("Naam", "Voornaam", "`Temp kantoor`", "BreakSplitShift")) == 1
+    lost = numbered & F.col("Datum").isNull() & (F.sum("_absences").over(alike) > 0) & first
+    rows = (
+        days.withColumn("_place", place)
+        .withColumns({name: F.coalesce(F.sum(f"`{name}`").over(alike), F.lit(0)) for name in groups} | {"_lost": lost})
+        .withColumn("_alone", F.explode(F.when(F.col("_lost"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+        .select("*", _absence_total(groups))
     )
-    return joined.unionByName(alone)
+    shown = {header: F.when(~F.col("_alone"), F.col(f"`{header}`")) for header in [*_DAY_KEYS.values(), *(h for _, h in _DAY_SUMS)]}
+    absent = {name: F.when(kept | F.col("_alone"), F.col(f"`{name}`")).otherwise(F.lit(0)).cast(types[name]) for name in names}
+    return rows.select(*((shown | absent)[name].alias(name) for name in [*shown, *names]))
 
 
+# Headers of a person's keys.
 _PERSON = {
     "Rijksregisternummer": "register_number",
     "Naam, Voornaam": None,

@@ -114,10 +114,16 @@ def carry_last(rows: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """One chunk per task: chunk i is partition i, as many as a sort makes at most."""
+    chunks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionById(chunks, CHUNK)
+
+
 def with_carried(rows: DataFrame, carried: DataFrame) -> DataFrame:
     """Rows and carried rows together, one chunk per task."""
     body = rows.withColumn(CARRIED, F.lit(False))
-    return body.unionByName(carried, allowMissingColumns=True).repartition(CHUNK)
+    return placed(body.unionByName(carried, allowMissingColumns=True))
 
 
 def number_neighbours(rows: DataFrame, reach: int, seen: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,13 @@ SHIFT = [
     "employment_place", "type_shift", "contract_name", "contract_name_short",
     "contract_day_max", "contract_week_max", "time_type", "weekday_name", "is_homeworking",
 ]
+SHIFT_ID = "shift_id"
+PROFILE_NR = "profile_nr"
+# What the order, the sessions, the groups and the envelopes read.
+NARROW = [
+    "start_time", "end_time", "shift_start_date", "shift_end_date", "scheduled_activity",
+    "activity_group", "employee_id",
+]
 
 
 def planned_workdays(planned: DataFrame, span: tuple[Column, Column]) -> DataFrame:
@@ -59,24 +68,19 @@ def current_employees(employee: DataFrame) -> DataFrame:
     )
 
 
-def enrich_shifts(
-    planned: DataFrame,
-    activity: DataFrame,
-    employee: DataFrame,
-    span: tuple[Column, Column],
-    wide: tuple[Column, Column],
-    stages: Stages,
+def planned_shifts(
+    planned: DataFrame, activity: DataFrame, wide: tuple[Column, Column], stages: Stages
 ) -> DataFrame:
-    """Planned shifts of the widened span with activity and employee profile.
+    """Distinct planned shifts of the widened span with their activity.
 
-    The joins carry no hints. The dimensions are stage tables, so their sizes are
+    The join carries no hint. The activities are a stage table, so their size is
     known: Spark broadcasts them when they fit, without a shuffle of the shifts on the
     few activity keys, and sort-merge joins them with skew splitting when not.
     """
     activity = stages.write(activity, "activities")
     official = F.col("official_name")
     at_home = (F.col("is_homeworking") == 1) & (official == S.WORK_GROUP)
-    shifts = (
+    return (
         planned.filter(F.col("shift_start_date").between(*wide))
         .join(activity, "activity_id", "left")
         .select(
@@ -121,21 +125,104 @@ def enrich_shifts(
         )
         .distinct()
     )
+
+
+def profiles(
+    planned: DataFrame,
+    employee: DataFrame,
+    span: tuple[Column, Column],
+    wide: tuple[Column, Column],
+    stages: Stages,
+) -> DataFrame:
+    """Staged profiles of the employees still there, with their planned workdays and a
+    number per employee in order of all profile columns."""
+    current = current_employees(employee).filter(F.col("stop_date") > wide[0])
+    # Versions of one employee are few.
+    nr = F.row_number().over(Window.partitionBy("employee_id").orderBy(*PROFILE))
+    people = current.withColumn(PROFILE_NR, nr)
+    return stages.write(people.join(planned_workdays(planned, span), "employee_id", "left"), "profiles")
+
+
+def _with_total(df: DataFrame) -> DataFrame:
+    total = (F.col("scheduled_paid_time") + F.col("scheduled_absence_time")).cast("decimal(19,6)")
+    return df.withColumn("scheduled_total_time", total)
+
+
+def enrich_shifts(
+    planned: DataFrame,
+    activity: DataFrame,
+    employee: DataFrame,
+    span: tuple[Column, Column],
+    wide: tuple[Column, Column],
+    stages: Stages,
+) -> DataFrame:
+    """Planned shifts of the widened span with activity and employee profile."""
+    shifts = planned_shifts(planned, activity, wide, stages)
     # The inner join keeps current employees only.
-    profiles = current_employees(employee).filter(F.col("stop_date") > wide[0])
-    workdays = planned_workdays(planned, span)
-    people = stages.write(profiles.join(workdays, "employee_id", "left"), "profiles")
-    return shifts.join(people, "employee_id").withColumn(
-        "scheduled_total_time",
-        (F.col("scheduled_paid_time") + F.col("scheduled_absence_time")).cast("decimal(19,6)"),
-    )
+    people = profiles(planned, employee, span, wide, stages).drop(PROFILE_NR)
+    return _with_total(shifts.join(people, "employee_id"))
+
+
+@dataclass(frozen=True)
+class StoredShifts:
+    """Shifts written once at full width, and the profiles beside them.
+
+    Everything between the order and the envelopes works on ``narrow()`` rows, which name
+    their shift and profile by number; ``attach()`` joins the other columns at the end.
+    """
+
+    rows: DataFrame
+    people: DataFrame
+
+    def narrow(self) -> DataFrame:
+        # Shifts that differ in their scheduled time only are several equal rows.
+        copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+        people = self.people.select("employee_id", PROFILE_NR, "full_name")
+        return (
+            self.rows.select(SHIFT_ID, *NARROW, copies.alias("_copy")).drop("_copy").join(people, "employee_id")
+        )
+
+    def attach(self, df: DataFrame, unused: tuple[str, ...] | list[str] = ()) -> DataFrame:
+        """The stored columns of narrow rows, but for the ``unused`` ones."""
+        more = [name for name in SHIFT if name not in df.columns and name not in unused]
+        about = [name for name in [*PROFILE, "planned_workdays"] if name not in df.columns]
+        people = self.people.select("employee_id", PROFILE_NR, *about)
+        return _with_total(
+            df.join(self.rows.select(SHIFT_ID, *more), SHIFT_ID)
+            .join(people, ["employee_id", PROFILE_NR])
+            .drop(SHIFT_ID, PROFILE_NR)
+        )
+
+
+def store_shifts(
+    planned: DataFrame,
+    activity: DataFrame,
+    employee: DataFrame,
+    span: tuple[Column, Column],
+    wide: tuple[Column, Column],
+    stages: Stages,
+) -> StoredShifts:
+    """Write the shifts of the widened span with an id per shift.
+
+    Shifts of one employee and start lie in one partition, in order of all columns, so
+    among them the ids have that order.
+    """
+    shifts = planned_shifts(planned, activity, wide, stages)
+    order = ["employee_id", "start_time"]
+    placed = shifts.repartition(*order).groupBy(*SHIFT).agg(F.count(F.lit(1)).alias("_copies"))
+    order += [name for name in SHIFT if name not in order]
+    rows = placed.sortWithinPartitions(*order).withColumn(SHIFT_ID, F.monotonically_increasing_id())
+    return StoredShifts(stages.write(rows, "shifts"), profiles(planned, employee, span, wide, stages))
 
 
-def order_shifts(enriched: DataFrame, stages: Stages) -> DataFrame:
-    """Sort by name and start; all other columns break ties."""
+def order_shifts(shifts: DataFrame, stages: Stages) -> DataFrame:
+    """Sort by name and start; the stored order, or else all other columns, break ties."""
     order = ["full_name", "start_time", "employee_id"]
-    order += [name for name in SHIFT + PROFILE + ["scheduled_time"] if name not in order]
-    return seq.sort_rows(enriched, order, stages, "ordered_shifts").drop("scheduled_time")
+    if SHIFT_ID in shifts.columns:
+        order += [SHIFT_ID, PROFILE_NR]
+    else:
+        order += [name for name in SHIFT + PROFILE + ["scheduled_time"] if name not in order]
+    return seq.sort_rows(shifts, order, stages, "ordered_shifts").drop("scheduled_time")
 
 
 def carry_shift_ends(ordered: DataFrame, dropped: tuple[str, ...]) -> DataFrame:
@@ -151,7 +238,7 @@ def number_rows(ordered: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     ``rows`` may be the same shifts with carried rows added.
     """
     if rows is None:
-        rows = ordered.withColumn(seq.CARRIED, F.lit(False)).repartition(seq.CHUNK)
+        rows = seq.placed(ordered.withColumn(seq.CARRIED, F.lit(False)))
     # One row per chunk.
     chunks = F.broadcast(seq.chunk_table(ordered, "full_name"))
     row_nr = F.when(~F.col(seq.CARRIED), F.col("_before") + seq.row_in_chunk(F.col(seq.POS)))
@@ -191,6 +278,8 @@ def sessionize(rows: DataFrame, gap_minutes: int = 240) -> DataFrame:
 def shift_sessions(ordered: DataFrame, dropped: tuple[str, ...], gap_minutes: int = 240) -> DataFrame:
     """Numbered, filtered and sessionised shifts after one shuffle by chunk."""
     numbered = number_rows(ordered, carry_shift_ends(ordered, dropped))
+    if SHIFT_ID in ordered.columns:  # attached again with the profile
+        numbered = numbered.drop("full_name")
     return sessionize(drop_activities(numbered, dropped), gap_minutes)
 
 

@@ -26,46 +26,68 @@ def _sick(codes: Iterable[int]) -> Column:
     return code_number(F.col("performance_code")).isin(*codes)
 
 
-def sick_calendar(hours: DataFrame, date_dim: DataFrame, codes: Iterable[int] = S.SICK_CODES) -> DataFrame:
-    """Every calendar day from the month start of a person's first sick day to
-    the last one."""
-    spans = (
+def _sick_persons(hours: DataFrame, codes: Iterable[int], *more: Column) -> DataFrame:
+    """One row per person with sick days: the span of their calendar, the days they have."""
+    return (
         hours.filter(_sick(codes))
         .groupBy("person_id")
         .agg(
             F.min(F.trunc("shift_start_date", "MM")).alias("start_month"),
             F.max("shift_start_date").alias("end_month"),
+            F.collect_set("shift_start_date").alias("_have"),
+            *more,
         )
     )
-    days = spans.withColumn("full_date", F.explode(F.sequence("start_month", "end_month")))
-    return days.join(date_dim.select("full_date").distinct(), "full_date", "left_semi").select(
-        "person_id", "full_date", "start_month", "end_month"
-    )
+
+
+def _calendar_days(date_dim: DataFrame) -> Column:
+    """The calendar's days within a person's span; the whole calendar is one small array."""
+    days = date_dim.agg(F.collect_set("full_date")).scalar()
+    return F.array_intersect(F.sequence("start_month", "end_month"), days)
+
+
+def sick_calendar(hours: DataFrame, date_dim: DataFrame, codes: Iterable[int] = S.SICK_CODES) -> DataFrame:
+    """Every calendar day from the month start of a person's first sick day to
+    the last one."""
+    days = F.explode(_calendar_days(date_dim)).alias("full_date")
+    return _sick_persons(hours, codes).select("person_id", days, "start_month", "end_month")
 
 
 def fill_sick_days(
     hours: DataFrame,
-    calendar: DataFrame,
+    date_dim: DataFrame,
     flip_persons: Iterable[int] = (),
     codes: Iterable[int] = S.SICK_CODES,
 ) -> DataFrame:
-    """One zero-hour row per missing calendar day and distinct sick template."""
-    sick = hours.filter(_sick(codes))
-    have = sick.select("person_id", F.col("shift_start_date").alias("full_date")).distinct()
-    missing = calendar.select("person_id", "full_date").join(have, ["person_id", "full_date"], "left_anti")
-    templates = sick.select(*_TEMPLATE, *_PICKED).distinct()
-    flipped = F.col("person_id").isin(*flip_persons) if flip_persons else F.lit(False)
-
-    def pick(name: str, usual, other) -> Column:
-        return F.when(F.first(flipped), other(name)).otherwise(usual(name)).alias(name)
+    """One zero-hour row per missing calendar day and distinct sick template.
 
-    picked = templates.groupBy("person_id").agg(
-        pick("scheduled_activity", F.min, F.max),
-        pick("activity_group", F.min, F.max),
-        pick("performance_code", F.max, F.min),
+    Spans, present days, picks and templates come from one aggregate per person, combined
+    before the shuffle: a person has few different templates and one day a calendar day.
+    """
+    flipped = F.col("person_id").isin(*flip_persons) if flip_persons else F.lit(False)
+    picks = {"scheduled_activity": (F.min, F.max), "activity_group": (F.min, F.max), "performance_code": (F.max, F.min)}
+    persons = _sick_persons(
+        hours, codes,
+        # Templates differing only in activity or code each give a row.
+        F.collect_set(F.struct(*(name for name in _TEMPLATE if name != "person_id"), *_PICKED)).alias("_templates"),
+        *(usual(name).alias(f"_usual_{name}") for name, (usual, _) in picks.items()),
+        *(other(name).alias(f"_other_{name}") for name, (_, other) in picks.items()),
+    )
+    missing = F.array_except(_calendar_days(date_dim), F.col("_have"))
+    rows = (
+        persons.filter(F.col("person_id").isNotNull())
+        .withColumn("full_date", F.explode(missing))
+        .withColumn("_template", F.explode("_templates"))
+        .select(
+            "person_id",
+            "full_date",
+            *(F.col(f"_template.{name}").alias(name) for name in _TEMPLATE if name != "person_id"),
+            *(
+                F.when(flipped, F.col(f"_other_{name}")).otherwise(F.col(f"_usual_{name}")).alias(name)
+                for name in _PICKED
+            ),
+        )
     )
-    # Templates differing only in activity or code each give a row.
-    rows = missing.join(templates.drop(*_PICKED).join(picked, "person_id"), "person_id")
     day = F.col("full_date")
     at = lambda clock: midnight(day) + F.make_dt_interval(secs=F.lit(hms(clock)))
     values = {
@@ -98,9 +120,12 @@ def fill_sick_days(
     )
 
 
-def with_sick_days(hours: DataFrame, date_dim: DataFrame, flip_persons: Iterable[int], codes: Iterable[int]) -> DataFrame:
-    calendar = sick_calendar(hours, date_dim, codes)
-    return hours.unionByName(fill_sick_days(hours, calendar, flip_persons, codes))
+def with_sick_days(
+    hours: DataFrame, date_dim: DataFrame, stages: Stages, flip_persons: Iterable[int], codes: Iterable[int]
+) -> DataFrame:
+    # Written, as the hours are: both are read more than once below.
+    filled = stages.write(fill_sick_days(hours, date_dim, flip_persons, codes), "filled")
+    return hours.unionByName(filled)
 
 
 def sick_hours(
@@ -120,36 +145,26 @@ def sick_hours(
     proposed = F.when(
         (total == 0) & (F.col("scheduled_activity") != S.OFF_DAY), F.lit(8).cast("decimal(19,6)")
     ).otherwise(total)
-    # Only days that hold a sick code can have one as their single code.
-    sick_days = stages.write(
-        df.filter(_sick(codes)).select("person_id", "shift_start_date").distinct(), "sick_days"
-    )
-    weekdays = df.filter(~F.col("weekday_name").isin("Saturday", "Sunday")).join(
-        sick_days, ["person_id", "shift_start_date"], "left_semi"
-    )
+    # One pass over narrow rows, combined before the shuffle: a day's rows are of one code
+    # and day name if the least pair of them is the greatest.
+    weekdays = df.filter(~F.col("weekday_name").isin("Saturday", "Sunday"))
     if exempt_persons:
         weekdays = weekdays.filter(~F.col("person_id").isin(*exempt_persons))
-    groups = (
+    pair = F.struct("performance_code", "weekday_name")
+    single = (
         weekdays.withColumn("_new", proposed)
-        .groupBy("person_id", "shift_start_date", "performance_code", "weekday_name")
+        .groupBy("person_id", "shift_start_date")
         .agg(
+            F.min(pair).alias("_first"),
+            F.max(pair).alias("_last"),
             F.min("_new").alias("_low"),
             F.max("_new").alias("_high"),
             F.count("_new").alias("_known"),
             F.count(F.lit(1)).alias("_rows"),
         )
-    )
-    single = (
-        groups.groupBy("person_id", "shift_start_date")
-        .agg(
-            F.count(F.lit(1)).alias("_groups"),
-            F.min("performance_code").alias("performance_code"),
-            F.min("_low").alias("_low"),
-            F.max("_high").alias("_high"),
-            F.sum("_known").alias("_known"),
-            F.sum("_rows").alias("_rows"),
-        )
-        .filter((F.col("_groups") == 1) & _sick(codes))
+        .filter("_first = _last")
+        .withColumn("performance_code", F.col("_first.performance_code"))
+        .filter(_sick(codes))
     )
     mixed = (F.col("_low") != F.col("_high")) | (
         (F.col("_known") > 0) & (F.col("_known") < F.col("_rows"))

@@ -5,12 +5,13 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shiftledger.operators import export, mapping, payroll
 from shiftledger.settings import Settings
 from shiftledger.sources.stages import Stages
 from shiftledger.sources.schemas import MAPPING, PAYROLL_HEADERS, from_headers, with_headers
-from shiftledger.sources.tables import has_versions, publish, publish_version, read_version
+from shiftledger.sources.tables import has_versions, publish, publish_version, read_published, read_version
 
 
 def recoded_performance(
@@ -43,11 +44,25 @@ def staged_payroll(
     settings: Settings,
     stages: Stages,
 ) -> DataFrame:
-    # Read by the known identities and by the rows.
-    bridged = stages.write(
-        bridged_performance(performance, mapping_view, as_of, settings, stages), "bridged"
+    recoded = recoded_performance(performance, mapping_view, stages, settings.ignore_login_case)
+    # Read by the calendar and by the known identities.
+    recoded = stages.write(recoded, "recoded")
+    stages.drop("mapped", "doubles")
+    return recent_staging(recoded, as_of, settings, stages)
+
+
+def recent_staging(recoded: DataFrame, as_of: date, settings: Settings, stages: Stages) -> DataFrame:
+    """Staging rows of the recent months: from their part of the calendar, with identities
+    from all facts."""
+    near = payroll.neighbour_codes(payroll.densify_recent(recoded, as_of, stages), stages)
+    bridged = payroll.bridge_codes(
+        payroll.filter_gaps(near, settings.gap_codes), settings.line_prefix, settings.bridge_priority
     )
-    return payroll.recent_months(payroll.backfill_identity(bridged, stages), as_of)
+    # Read by the known identities and by the rows.
+    bridged = stages.write(bridged, "bridged")
+    stages.drop("dense_calendar", "whole_references")
+    coded = recoded.filter(F.col("performance_code").isNotNull())  # these are never dropped
+    return payroll.recent_months(payroll.backfill_identity(bridged, stages, coded), as_of)
 
 
 def build_payroll(
@@ -61,13 +76,15 @@ def build_payroll(
     """Payroll staging rows of last month and later.
 
     With a ``target`` they replace the staging table there, under its published headers,
-    and are read back, so that an export scans them instead of computing them again.
+    and are read back, so that an export scans them instead of computing them again. No
+    stage table is then left.
     """
-    staging = staged_payroll(performance, mapping_view, as_of, settings, Stages(spark))
     if target is None:
-        return staging
-    publish(with_headers(staging, PAYROLL_HEADERS), target)
-    return from_headers(spark.read.parquet(target), PAYROLL_HEADERS)
+        return staged_payroll(performance, mapping_view, as_of, settings, Stages(spark))
+    with Stages(spark) as stages:
+        staging = staged_payroll(performance, mapping_view, as_of, settings, stages)
+        publish(with_headers(staging, PAYROLL_HEADERS), target)
+    return from_headers(read_published(spark, target), PAYROLL_HEADERS)
 
 
 def export_payroll(
@@ -99,7 +116,7 @@ def refresh_mapping_table(
 
     A rerun for the same date starts from the same earlier version.
     """
-    if has_versions(spark, root):
+    if has_versions(spark, root, before=as_of):
         current = read_version(spark, root, before=as_of)
     else:  # the first refresh starts from an empty table
         current = spark.createDataFrame([], MAPPING)

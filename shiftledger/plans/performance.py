@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -13,7 +12,7 @@ from shiftledger.operators import envelopes, hours, reports, shifts, sickness, s
 from shiftledger.settings import OFF_DAY, Settings
 from shiftledger.sources.schemas import PERFORMANCE_HEADERS, from_headers, with_headers
 from shiftledger.sources.stages import Stages
-from shiftledger.sources.tables import publish
+from shiftledger.sources.tables import publish, read_published
 
 # What a run can give besides the fact.
 MODES = ("publish", "basis", "long", "short")
@@ -37,59 +36,67 @@ class ShiftTables:
 
 @dataclass(frozen=True)
 class PerformanceResult:
+    """The fact and the report, read from the run's stage tables. Use it in a ``with`` block,
+    or ``close()`` it, to delete these once both have been used."""
+
     fact: DataFrame
     report: DataFrame | None
+    stages: Stages
+
+    def close(self) -> None:
+        self.stages.delete()
+
+    def __enter__(self) -> PerformanceResult:
+        return self
 
+    def __exit__(self, *error: object) -> None:
+        self.close()
 
-def ordered_shifts(tables: ShiftTables, span_code: str, as_of: date, stages: Stages) -> DataFrame:
+
+def stored_shifts(
+    tables: ShiftTables, span_code: str, as_of: date, stages: Stages
+) -> shifts.StoredShifts:
     span = spans.resolve_span(span_code, as_of)
-    enriched = shifts.enrich_shifts(
+    return shifts.store_shifts(
         tables.planned, tables.activity, tables.employee, span, spans.widen(span), stages
     )
-    return shifts.order_shifts(enriched, stages)
 
 
-def grouped_shifts(
-    tables: ShiftTables,
-    span_code: str,
-    as_of: date,
-    settings: Settings,
-    stages: Stages,
-    unused: Sequence[str] = (),
-) -> DataFrame:
-    ordered = ordered_shifts(tables, span_code, as_of, stages).drop(*unused)
+def grouped_shifts(stored: shifts.StoredShifts, settings: Settings, stages: Stages) -> DataFrame:
+    """Narrow rows: numbered, sessionised and grouped."""
+    ordered = shifts.order_shifts(stored.narrow(), stages)
     sessions = shifts.shift_sessions(ordered, settings.dropped_activities, settings.gap_minutes)
-    return shifts.shift_groups(sessions, stages)
+    groups = shifts.shift_groups(sessions, stages)
+    stages.drop("ordered_shifts")
+    return groups
 
 
 def enveloped_shifts(
-    tables: ShiftTables,
-    span_code: str,
-    as_of: date,
-    settings: Settings,
-    stages: Stages,
-    unused: Sequence[str] = (),
+    stored: shifts.StoredShifts, planned: DataFrame, settings: Settings, stages: Stages
 ) -> DataFrame:
-    # A stage table: read by the day pairs and by the rows themselves.
-    sessions = grouped_shifts(tables, span_code, as_of, settings, stages, unused)
-    return envelopes.combine_envelopes(sessions, envelopes.night_shift_keys(tables.planned), stages)
+    """Narrow rows with the first start and last end of their working day."""
+    groups = grouped_shifts(stored, settings, stages)
+    return envelopes.combine_envelopes(groups, envelopes.night_shift_keys(planned), stages)
 
 
 def shift_hours(
     tables: ShiftTables, span_code: str, as_of: date, settings: Settings, stages: Stages
 ) -> DataFrame:
-    enveloped = enveloped_shifts(tables, span_code, as_of, settings, stages, hours.ROW_ONLY)
+    stored = stored_shifts(tables, span_code, as_of, stages)
+    enveloped = enveloped_shifts(stored, tables.planned, settings, stages)
     wide = spans.widen(spans.resolve_span(span_code, as_of))
-    return hours.combine_hours(shifts.trim_edges(enveloped, wide))
+    rows = stored.attach(shifts.trim_edges(enveloped, wide), hours.ROW_ONLY)
+    return hours.combine_hours(rows)
 
 
 def filled_hours(
     tables: ShiftTables, span_code: str, as_of: date, settings: Settings, stages: Stages
 ) -> DataFrame:
-    # Read by the sick calendar, the sick templates and the rows themselves.
+    # Read by the sick persons' aggregate and by the rows themselves.
     worked = stages.write(shift_hours(tables, span_code, as_of, settings, stages), "hours")
+    stages.drop("activities", "shifts", "profiles", "sessions", "bounds")
     return sickness.with_sick_days(
-        worked, tables.date_dim, settings.flip_persons, settings.sick_codes
+        worked, tables.date_dim, stages, settings.flip_persons, settings.sick_codes
     )
 
 
@@ -115,7 +122,7 @@ def run_performance(
     """The fact for the span and the report the mode asks for.
 
     With a ``target`` the fact replaces the table there, under its published headers,
-    and is read back from it.
+    and is read back from it; without a report no stage table is then left.
 
     'publish' gives no report and 'basis' the detail rows. Otherwise a cumulative
     span code gives the cumulative report whatever the mode.
@@ -125,12 +132,16 @@ def run_performance(
     if mode != "publish":
         # Read by the fact and by the report.
         final = stages.write(report_columns(final, mode), "final")
+        stages.drop("hours", "filled", "sick_hours")
     fact = reports.publish_performance(final, settings.fact_office_prefix)
     if target:
         # The published table is replaced before any report and read back.
         publish(with_headers(fact, PERFORMANCE_HEADERS), target)
-        fact = from_headers(spark.read.parquet(target), PERFORMANCE_HEADERS)
-    return PerformanceResult(fact, select_report(final, mode, span_code, as_of, stages))
+        fact = from_headers(read_published(spark, target), PERFORMANCE_HEADERS)
+    result = PerformanceResult(fact, select_report(final, mode, span_code, as_of, stages), stages)
+    if target and result.report is None:
+        result.close()
+    return result
 
 
 def report_columns(final: DataFrame, mode: str) -> DataFrame:

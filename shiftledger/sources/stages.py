@@ -36,19 +36,33 @@ class Stages:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.folder = f"{(root or stage_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
-        self._written = 0
+        self._made, self._written = False, 0
+        self._paths: dict[str, list[str]] = {}
         self._path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         self._store = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        if not self._written:
+    def reserve(self) -> str:
+        """The folder, created if it is not there yet."""
+        if not self._made:
             self._store.mkdirs(self._path)
             self._store.deleteOnExit(self._path)
+            self._made = True
+        return self.folder
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.reserve()
         self._written += 1
         path = f"{self.folder}/{self._written:02d}-{name}"
         df.write.parquet(path)
+        self._paths.setdefault(name, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Delete the tables of these names once their last consumer has been written."""
+        for name in names:
+            for path in self._paths.pop(name, []):
+                self._store.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
     def delete(self) -> None:
         self._store.delete(self._path, True)
 

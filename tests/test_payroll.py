@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from datetime import timedelta
+
 import pytest
 from tests.rows import day, dec, frame, rows_of
 
@@ -7,6 +10,8 @@ from shiftledger.operators import export, mapping, payroll
 from shiftledger.plans import payroll as plan
 from shiftledger.settings import Settings
 from shiftledger.sources import schemas, tables
+from shiftledger.sources.stages import Stages
+from shiftledger.sources.tables import read_published
 
 AS_OF = day("2024-01-17")
 MAPPED = """external_reference string, day date, performance_code string, agreement_number int,
@@ -274,6 +279,45 @@ def test_recent_months(spark):
     assert got == [(day("2023-12-01"),), (day("2024-02-02"),)]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_recent_staging_equals_the_uncut_calendar(spark, stages, seed):
+    """Several years, several codes a day, facts after the spine, without a code, a reference
+    or an identity: the part of the calendar gives what the whole one gives."""
+    r = random.Random(seed)
+    first = day(r.choice(["2021-03-05", "2023-11-20", "2023-12-15", "2024-01-10"]))
+    length = (day("2024-02-20") - first).days
+    codes_ = ["0100", "1020", "4503", "3523", "0050", None]
+    rows = []
+    for _ in range(160):
+        reference = r.choice(["A", "B", "C", "D", None])
+        # Some references hold facts without a code, identities vary within others.
+        rows.append(fact(
+            str(first + timedelta(r.choice([r.randrange(length), length - r.randrange(90) % length]))),
+            r.choice(codes_ if reference in ("C", None) else codes_[:5]),
+            external_reference=reference,
+            agreement_number=r.choice([7, 8, None]) if reference != "D" else r.choice([5, None]),
+        ))
+    rows += [fact(str(first), None, external_reference="D", agreement_number=3)] * (seed % 2)
+    rows += [fact(str(first + timedelta(1)), "0100", external_reference="D")] * (seed // 2)
+    mapped = make(spark, *rows).distinct()
+    settings = Settings(line_prefix="P")
+    uncut = Stages(spark)
+    whole = payroll.bridge_codes(
+        payroll.filter_gaps(payroll.neighbour_codes(payroll.densify(mapped, AS_OF), uncut)), "P"
+    )
+    want = payroll.recent_months(payroll.backfill_identity(whole, uncut), AS_OF)
+    got = plan.recent_staging(mapped, AS_OF, settings, stages)
+    assert got.columns == want.columns
+    assert rows_of(got, *want.columns) == rows_of(want, *want.columns) != []
+
+
+def test_recent_calendar_is_a_part(spark, stages):
+    mapped = make(spark, fact("2019-01-02", "0100"), fact("2024-01-05", "0100"))
+    assert payroll.densify(mapped, AS_OF).count() == (day("2024-01-31") - day("2019-01-02")).days + 1
+    # November 29th, two days before the first recent month, to January 31st.
+    assert payroll.densify_recent(mapped, AS_OF, stages).count() == 64
+
+
 STAGING = f"prefix string, hours_text string, {MAPPED}"
 
 
@@ -394,4 +438,4 @@ def test_staging_is_published_and_read_back(spark, tmp_path):
     plain = plan.build_payroll(spark, performance, view, as_of, Settings(line_prefix="P"))
     columns = ["external_reference", "day", "performance_code", "hours_text"]
     assert rows_of(back, *columns) == rows_of(plain, *columns) != []
-    assert spark.read.parquet(target).columns == list(schemas.PAYROLL_HEADERS.values())
+    assert read_published(spark, target).columns == list(schemas.PAYROLL_HEADERS.values())

@@ -61,7 +61,7 @@ def test_sick_calendar_starts_with_the_month(spark):
 
 def test_fill_gives_a_row_per_template(spark):
     df = make(spark, row("2024-01-02", "4503"), row("2024-01-04", "3523"), row("2024-01-03"))
-    calendar = sickness.sick_calendar(df, dates(spark, "2024-01-01", "2024-01-31"))
+    calendar = dates(spark, "2024-01-01", "2024-01-31")
     columns = ("shift_start_date", "performance_code", "scheduled_activity", "activity_group")
     filled = sickness.fill_sick_days(df, calendar)
     expected = [
