@@ -18,18 +18,19 @@ in their length.
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftledger.llm.html_blocks import Block, blocks
+from shiftledger.llm.html_blocks import Block, Place, blocks
 
 SAMPLE = 300
 COMPOSED = 500
 EPOCHS = 6
+DEEPEST = 200  # elements around a block of a training page
 SEED = 20240117
 
 # Words that layouts use in class, id and role names.
@@ -53,24 +54,62 @@ def _size(n: int) -> int:
     return min(n.bit_length(), 12)
 
 
-def place_features(tags: tuple[str, ...], named: tuple[tuple[str, ...], ...]) -> list[str]:
-    """Of a block's ancestors."""
-    found = ["bias", f"tag={tags[-1] if tags else ''}"]
-    nearest = ""
-    for tag, names in zip(tags, named):
-        found.append(f"in={tag}")
-        group = _TAG_GROUP.get(tag)
-        for w in names:
-            found.append(f"name={w}")
-            g = _GROUP.get(w)
-            if g:
-                found.append(f"group={g}")
-                group = g if group in (None, "article") else group
-        if group:
-            found.append(f"tags={group}")
-            nearest = group
-    found.append(f"near={nearest}")
-    return list(dict.fromkeys(found))
+def _own_features(place: Place) -> tuple[list[str], str]:
+    """Features that an element gives to the blocks below it, and its group of layout words."""
+    found, group = [f"in={place.tag}"], _TAG_GROUP.get(place.tag)
+    for w in place.names:
+        found.append(f"name={w}")
+        g = _GROUP.get(w)
+        if g:
+            found.append(f"group={g}")
+            group = g if group in (None, "article") else group
+    if group:
+        found.append(f"tags={group}")
+    return found, group or ""
+
+
+def settle(chain: list[Block]) -> list[Place]:
+    """The places of a chain, parents first, each with the features that its ancestors lack.
+
+    Blocks come in page order, so the places of neighbours differ at their inner end only;
+    each place is met once, whatever its depth.
+    """
+    out: list[Place] = []
+    path: list[Place] = []
+    held: dict[str, int] = {}
+    depths: dict[int, int] = {}
+    for b in chain:
+        if b.place is None:
+            continue
+        fresh = []
+        at: Place | None = b.place
+        while at is not None and id(at) not in depths:
+            fresh.append(at)
+            at = at.parent
+        keep = depths[id(at)] + 1 if at is not None else 0
+        while len(path) > keep:  # left for good: page order does not come back to them
+            for f in path.pop().new:
+                del held[f]
+        for place in reversed(fresh):
+            own, group = _own_features(place)
+            place.new = tuple(f for f in dict.fromkeys(own) if f not in held)
+            held.update(dict.fromkeys(place.new, 1))
+            place.near = group or (place.parent.near if place.parent else "")
+            depths[id(place)] = len(path)
+            path.append(place)
+            out.append(place)
+    return out
+
+
+def place_ends(place: Place | None) -> list[str]:
+    """The features that an innermost place does not pass on."""
+    return ["bias", f"tag={place.tag if place else ''}", f"near={place.near if place else ''}"]
+
+
+def place_features(place: Place | None) -> list[str]:
+    """All features of a block's ancestors; settle() has set them."""
+    own = [f for x in reversed(list(place.up())) for f in x.new] if place else []
+    return place_ends(place) + own
 
 
 def text_features(b: Block, first: bool, last: bool) -> list[str]:
@@ -87,8 +126,9 @@ def text_features(b: Block, first: bool, last: bool) -> list[str]:
 
 
 def features(chain: list[Block]) -> list[list[str]]:
+    settle(chain)
     end = len(chain) - 1
-    return [place_features(b.tags, b.names) + text_features(b, i == 0, i == end) for i, b in enumerate(chain)]
+    return [place_features(b.place) + text_features(b, i == 0, i == end) for i, b in enumerate(chain)]
 
 
 class Chain:
@@ -97,7 +137,6 @@ class Chain:
     def __init__(self, index: dict[str, int], emit: np.ndarray, step: np.ndarray) -> None:
         self.index, self.emit, self.step = index, emit, step
         self.pairs: dict[str, tuple[float, float]] = {}
-        self.known: dict[tuple, tuple[float, float]] = {}  # of ancestors met before
 
     def places(self, chain: list[Block]) -> list[np.ndarray]:
         get = self.index.get
@@ -106,7 +145,7 @@ class Chain:
     def scores(self, places: list[np.ndarray]) -> np.ndarray:
         return np.array([self.emit[p].sum(0) for p in places]).reshape(-1, 2)
 
-    def _sum(self, found: list[str]) -> tuple[float, float]:
+    def _sum(self, found: Iterable[str]) -> tuple[float, float]:
         a = b = 0.0
         for f in found:
             x, y = self.pairs.get(f, (0.0, 0.0))
@@ -117,16 +156,15 @@ class Chain:
         if not self.pairs:
             rows = self.emit.tolist()
             self.pairs = {f: tuple(rows[i]) for f, i in self.index.items()}
+        for place in settle(chain):
+            x, y = self._sum(place.new)
+            a, b = place.parent.kept if place.parent else (0.0, 0.0)
+            place.kept = a + x, b + y
         out, end = [], len(chain) - 1
         for i, b in enumerate(chain):
-            key = (b.tags, b.names)
-            base = self.known.get(key)
-            if base is None:
-                if len(self.known) > 50_000:
-                    self.known.clear()
-                base = self.known[key] = self._sum(place_features(*key))
-            x, y = self._sum(text_features(b, i == 0, i == end))
-            out.append((base[0] + x, base[1] + y))
+            p, q = b.place.kept if b.place else (0.0, 0.0)
+            x, y = self._sum(place_ends(b.place) + text_features(b, i == 0, i == end))
+            out.append((p + x, q + y))
         return out
 
     def decode(self, chain: list[Block]) -> list[int]:
@@ -206,21 +244,24 @@ def fit(pages: list[tuple[list[Block], list[int]]], epochs: int = EPOCHS, rate:
 
 
 def marked(page: str | None) -> tuple[list[Block], list[int]] | None:
-    """A page's blocks labelled by its article or main element; none where it has no such."""
+    """A page's blocks labelled by its article or main element; none where it has no such, or
+    where elements lie more than DEEPEST deep (a training page's features are listed in full)."""
     chain = blocks(page)
-    if not any({"article", "main"} & set(b.tags) for b in chain):
-        return None
     other = {"menu", "head", "foot", "side", "advert", "notice", "form", "comment", "share"}
-    labels = []
-    for b in chain:
-        inside = False
-        for tag, names in zip(b.tags, b.names):
-            if tag in ("article", "main"):
-                inside = True
-            elif inside and (_TAG_GROUP.get(tag) in other or any(_GROUP.get(w) in other for w in names)):
-                inside = False
-        labels.append(int(inside))
-    return chain, labels
+    inside: dict[int, bool] = {}
+    found, depth = False, {}
+    for place in settle(chain):
+        up = place.parent
+        depth[id(place)] = depth[id(up)] + 1 if up else 1
+        held = inside[id(up)] if up else False
+        if place.tag in ("article", "main"):
+            found = held = True
+        elif held and (_TAG_GROUP.get(place.tag) in other or any(_GROUP.get(w) in other for w in place.names)):
+            held = False
+        inside[id(place)] = held
+    if not found or max(depth.values()) > DEEPEST:
+        return None
+    return chain, [int(b.place is not None and inside[id(b.place)]) for b in chain]
 
 
 _MARK = "\x01"  # before each text of a composed page that belongs to its article
@@ -305,10 +346,10 @@ def composed(count: int = COMPOSED, seed: int = SEED) -> Iterator[tuple[list[Blo
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> Chain:
     """Train in one task on the bounded sample; the model has as many weights as features seen."""
-    chosen = (
-        pages.select(F.col("page_id").alias("page_id"), F.col("html").cast("string").alias("html"))
-        .orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    )
+    # ids first, so that only the chosen pages' html is moved; of several pages of one id the least
+    ids = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    html = pages.select("page_id", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    chosen = html.join(ids, "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [x for batch in batches for page in batch.column(1).to_pylist() if (x := marked(page))]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -82,7 +83,7 @@ def test_viterbi_is_the_best_sequence():
 @pytest.mark.parametrize("attrs", [
     'style="overflow:hidden"', "style=overflow:hidden", 'class="overflow-hidden"', 'class="hidden-xs"',
     'id="the-hidden-cost"', 'href="/hidden-gems"', 'title="the hidden part"', "title='display:none'", 'data-hidden="1"',
-    'aria-hidden="false"', 'aria-label="hidden"', 'title="a > b hidden"', 'style="background:url(a;display:none)"',
+    'aria-hidden="false"', 'aria-hidden="true"', "aria-hidden=TRUE", 'aria-label="hidden"', 'title="a > b hidden"', 'style="background:url(a;display:none)"',
     'style="/* display:none */ color:red"', 'style="display:none;display:block"', 'data-style="display:none"',
 ])
 def test_words_of_hiding_that_hide_nothing(attrs):
@@ -91,7 +92,7 @@ def test_words_of_hiding_that_hide_nothing(attrs):
 
 
 @pytest.mark.parametrize("attrs", [
-    "hidden", "HIDDEN", 'hidden=""', "class=x hidden", 'aria-hidden="true"', "aria-hidden=TRUE", 'style="display:none"',
+    "hidden", "HIDDEN", 'hidden=""', "class=x hidden", 'style="display:none"',
     "style=display:none", "style='color:red; Display : NONE !important'", 'style="display:none!important;display:block"',
     'style="visibility:hidden"', "class='a'hidden", 'style="display&#58;none"',
 ])
@@ -120,3 +121,57 @@ def test_article_of_a_page_without_the_end_of_its_head(model):
     rest = "<body><article><h1>A title here</h1><p>Fine text, with many words in it.</p></article></body></html>"
     want = model.text("<html><head><title>t</title></head>" + rest)
     assert want and model.text("<html><head><title>t</title>" + rest) == want
+
+
+@pytest.mark.parametrize("page,want", [
+    # a quote opens a value only where the value begins
+    ("<p class=it's>Don't lose this text.</p><p>It's second.</p>", ["Don't lose this text.", "It's second."]),
+    ('<p title=5">Five inches</p><p>6" more</p>', ["Five inches", '6" more']),
+    ("<p data-x='a > b' class=y>One</p>", ["One"]),
+    ('<a href=/x/>link</a> on', ["link on"]),
+    ("<p a=1b='2'c>One</p>", ["One"]),
+    # pictures, fields and icons stand inside words
+    ("a<img src=x>b c", ["ab c"]),
+    ("wo<input type=hidden>rd <svg><text>no</text></svg>s", ["word s"]),
+    ("wo<script>no()</script>rd", ["word"]),
+    ('<p><span aria-hidden="true">O</span>nce upon</p>', ["Once upon"]),
+    # marks that begin no tag
+    ("<p>1 < 2 and <3 and a<b c</p>", ["1 < 2 and <3 and a"]),
+    ("a</ no >b<!x>c<?y?>d<!-->e<!-- <p>no --!>f", ["abcdef"]),
+    ("<p>kept</p><a href='never closed>all this", ["kept"]),
+    ("<custom/>a<br/>b", ["a", "b"]),
+])
+def test_words_are_neither_lost_nor_cut(page, want):
+    assert [b.text for b in blocks(page)] == want
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<div>a" * 180_000, "<div>" * 200_000 + "</span>" * 100_000, "<" * 1_000_000, "<p a='" * 180_000,
+    "<p><table><td>" + "<div>" * 60_000 + "<li>x" * 60_000, "<b>x" * 250_000, "<a " + " " * 1_000_000, "<!--" * 250_000,
+    "<div class='a b c d'>x</b>" * 40_000, "<script>" * 120_000, "&amp" * 250_000, "<svg/><a b" * 100_000,
+])
+def test_a_page_of_a_megabyte_takes_seconds(model, page):
+    start = time.perf_counter()
+    model.text(page)
+    H.marked(page)
+    assert time.perf_counter() - start < 20
+
+
+def test_places_give_all_features_of_all_ancestors():
+    page = "<main class=post><div id=menu><div class=menu><p>a</p></div>b<div class='ad x'>c</div></div>d</main>e<nav>f"
+    chain = blocks(page)
+    H.settle(chain)
+    for b in chain:
+        want, near = {"bias", f"tag={b.tags[-1] if b.tags else ''}"}, ""
+        for place in reversed(list(b.place.up()) if b.place else []):
+            own, group = H._own_features(place)
+            want |= set(own)
+            near = group or near
+        assert set(H.place_features(b.place)) == want | {f"near={near}"}
+        assert len(H.place_features(b.place)) == len(want) + 1
+    assert [b.text for b in chain] == list("abcdef")
+
+
+def test_training_reads_one_page_of_an_id(spark):
+    pages = spark.createDataFrame([(1, "<main><p>one</p></main>"), (1, "<p>two"), (None, "x"), (None, None)], "page_id long, html string")
+    assert H.train(pages).index
