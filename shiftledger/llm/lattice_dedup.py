@@ -15,10 +15,13 @@ every link inside a component counts, found by a shared cell or not.
 Recall is measured against brute force in the tests: at cosine 0.95 exactly a link is found
 with a chance of 0.97, and nearer pairs more surely.
 
+Rows of equal vectors are one vector with a weight from the start, however many they are; they
+link with each other and count as many links as ids hold them.
+
 Null, zero, non-finite or null-holding vectors, and null ids, link with nothing: no links,
-component vec_id itself, kept (a null id: component null, not kept). Of several vectors
-under one id the smallest counts, and every row of that id gets its result. Shorter vectors
-are filled up with zeros. An empty table gives no rows.
+component vec_id itself, kept (a null id: component null, not kept). Different vectors under
+one id are different vectors, each row with its own result; rows that repeat both are one.
+Shorter vectors are filled up with zeros. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -123,16 +126,22 @@ def near_duplicates(table: DataFrame, cosine: float = COSINE, tables: int = TABL
     """vec_id, n_links, component_id, kept of every row."""
     spark = table.sparkSession
     scratch = scratch or Scratch(spark, "lattice")
-    rows = scratch.table(V.by_id(table), "vectors")
-    width = rows.agg(F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()[0]
+    rows = V.usable_rows(table).where(F.exists("embedding", lambda v: v != 0))
+    named = scratch.table(rows.select("vec_id", "a", "b").distinct(), "rows")
+    weights = named.groupBy("a", "b").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("low"))
+    weights = scratch.table(weights.withColumn("vec", F.monotonically_increasing_id()), "weights")
+    # one copy of each vector, combined before the shuffle
+    once = rows.groupBy("a", "b").agg(F.first("embedding").alias("embedding"))
+    vectors = scratch.table(once.join(weights, ["a", "b"]).select("vec", "weight", "embedding"), "vectors")
+    width = vectors.agg(F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()[0]
     width = max(width, 1)
     planes = spark.sparkContext.broadcast(directions(width, tables))  # a fixed number of columns
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = V.matrix(b.column(1), width)
-            some = (x != 0).any(1)
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(some)), V.packed(x[some])], names=["vec_id", "x"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), V.packed(V.matrix(b.column(2), width))], names=["vec", "weight", "x"]
+            )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -146,39 +155,41 @@ def near_duplicates(table: DataFrame, cosine: float = COSINE, tables: int = TABL
                 each = found[0].size if len(found) else 0
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.ravel()), pa.array(np.repeat(ids[at : at + 4096], each)), pa.array(home.ravel())],
-                    names=["cell", "vec_id", "home"],
+                    names=["cell", "vec", "home"],
                 )
 
-    packed = scratch.table(rows.mapInArrow(pack, "vec_id long, x binary"), "packed")
-    placed = packed.mapInArrow(place, "cell long, vec_id long, home int").dropDuplicates(["cell", "vec_id", "home"])
+    packed = scratch.table(vectors.mapInArrow(pack, "vec long, weight long, x binary"), "packed")
+    placed = packed.select("vec", "x").mapInArrow(place, "cell long, vec long, home int").dropDuplicates(["cell", "vec", "home"])
     placed = scratch.table(placed, "cells")
     shared = scratch.table(
         placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("home").alias("homes"))
         .where("n > 1 AND homes > 0").select("cell", "n"),
         "shared",
     )
-    met = scratch.table(placed.join(shared, "cell").select("cell", "n", "vec_id").distinct(), "met")
+    met = scratch.table(placed.join(shared, "cell").select("cell", "n", "vec").distinct(), "met")
 
     def verify(group: pa.Table) -> pa.Table:
-        ids, part = group.column("vec_id").to_numpy(), group.column("chunk").to_numpy()
+        ids = group.column("vec").to_numpy()
         x, norm = _cosines(group, width)
         order = np.argsort(ids, kind="stable")
-        ids, part, x, norm = ids[order], part[order], x[order], norm[order]
+        ids, x, norm = ids[order], x[order], norm[order]
         linked = _linked(x, norm, np.arange(len(ids)), np.arange(len(ids)), cosine)
         root = forest(linked)
         a = np.flatnonzero(root != np.arange(len(ids)))
         return pa.table({"a": pa.array(ids[a]), "b": pa.array(ids[root[a]])})
 
-    groups = chunk_pairs(met, "cell", "n", chunk, "vec_id").join(packed, "vec_id")
+    groups = chunk_pairs(met, "cell", "n", chunk, "vec").join(packed.select("vec", "x"), "vec")
     edges = scratch.table(
-        groups.select("cell", "i", "j", "vec_id", "chunk", "x").groupBy("cell", "i", "j").applyInArrow(verify, "a long, b long"),
+        groups.select("cell", "i", "j", "vec", "x").groupBy("cell", "i", "j").applyInArrow(verify, "a long, b long"),
         "links",
     )
     found = scratch.table(components(edges, scratch), "components")
     sizes = scratch.table(found.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "sizes")
 
     def count(group: pa.Table) -> pa.Table:
-        ids, part = group.column("vec_id").to_numpy(), group.column("chunk").to_numpy()
+        """Of each vector of one pair of chunks, the weight of the vectors it links with there."""
+        ids, part = group.column("vec").to_numpy(), group.column("chunk").to_numpy()
+        weight = group.column("weight").to_numpy()
         x, norm = _cosines(group, width)
         links = np.zeros(len(ids), np.int64)
         kinds = np.unique(part)
@@ -187,24 +198,43 @@ def near_duplicates(table: DataFrame, cosine: float = COSINE, tables: int = TABL
         if len(kinds) == 1:
             # a pair of two chunks of which one has no row is no pair to count
             alone = group.column("i")[0].as_py() == group.column("j")[0].as_py()
-            links[a] = (m.sum(1) - m.diagonal()) * alone
+            np.fill_diagonal(m, False)
+            links[a] = m @ weight[a] * alone
         else:
-            links[a] += m.sum(1)
-            links[b] += m.sum(0)
-        return pa.table({"vec_id": pa.array(ids), "n": pa.array(links)})
+            links[a] += m @ weight[b]
+            links[b] += m.T @ weight[a]
+        return pa.table({"vec": pa.array(ids), "n": pa.array(links)})
 
-    members = found.join(sizes, "component").select("component", "n", F.col("node").alias("vec_id"))
-    inside = chunk_pairs(members, "component", "n", chunk, "vec_id").join(packed, "vec_id")
+    members = found.join(sizes, "component").select("component", "n", F.col("node").alias("vec"))
+    inside = chunk_pairs(members, "component", "n", chunk, "vec").join(packed, "vec")
     counted = (
-        inside.select("component", "i", "j", "vec_id", "chunk", "x").groupBy("component", "i", "j")
-        .applyInArrow(count, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("n"))
+        inside.select("component", "i", "j", "vec", "weight", "chunk", "x").groupBy("component", "i", "j")
+        .applyInArrow(count, "vec long, n long").groupBy("vec").agg(F.sum("n").alias("n"))
+    )
+    counted = scratch.table(counted, "counted")
+    # of the vectors that link with no other one, the equal rows are the component
+    label = weights.join(found.select(F.col("node").alias("vec"), "component"), "vec", "left").withColumn(
+        "component", F.coalesce("component", "vec")
     )
+    label = scratch.table(label.join(counted, "vec", "left"), "labels")
+    lowest = scratch.table(label.groupBy("component").agg(F.min("low").alias("component_id")), "lowest")
     result = scratch.table(
-        counted.join(found, counted.vec_id == found.node).select("vec_id", "n", "component"), "result"
+        label.join(lowest, "component").select("a", "b", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n"), "component_id"),
+        "result",
+    )
+    some = named.join(result, ["a", "b"]).select("vec_id", "a", "b", "n", "component_id")
+    everyone = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    linkable = F.col("vec_id").isNotNull() & F.coalesce(
+        V.usable(F.col("embedding")) & F.exists("embedding", lambda v: v != 0), F.lit(False)
+    )
+    vector = F.transform("embedding", lambda v: v + F.lit(0.0))
+    keys = everyone.withColumn("embedding", F.when(linkable, vector)).select(
+        "vec_id",
+        F.when(linkable, F.xxhash64("embedding")).alias("a"),
+        F.when(linkable, F.xxhash64(F.lit(7), "embedding", F.lit(11))).alias("b"),
     )
-    everyone = table.select(F.col("vec_id").cast("long").alias("vec_id"))
-    component = F.coalesce("component", "vec_id")
-    return everyone.join(result, "vec_id", "left").select(
+    component = F.coalesce("component_id", "vec_id")
+    return keys.join(some, ["vec_id", "a", "b"], "left").select(
         "vec_id",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),

@@ -1,4 +1,4 @@
-"""Embedding columns as numpy matrices, one row per vector id."""
+"""Embedding columns as numpy matrices."""
 
 from __future__ import annotations
 
@@ -16,12 +16,17 @@ def usable(embedding):
     )
 
 
-def by_id(table: DataFrame) -> DataFrame:
-    """vec_id, embedding: one row per id; of several vectors under one id the smallest counts."""
+def usable_rows(table: DataFrame) -> DataFrame:
+    """vec_id, embedding, a, b of the rows that have an id and a usable vector; a and b name the
+    vector (two 64-bit hashes)."""
     rows = table.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
     ).where(F.col("vec_id").isNotNull() & F.coalesce(usable(F.col("embedding")), F.lit(False)))
-    return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    # adding 0 makes one zero of the two, so equal vectors have equal names
+    vector = F.transform("embedding", lambda v: v + F.lit(0.0))
+    return rows.withColumn("embedding", vector).withColumns(
+        {"a": F.xxhash64("embedding"), "b": F.xxhash64(F.lit(7), "embedding", F.lit(11))}
+    )
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
