@@ -1,20 +1,25 @@
 """Exact Jaccard join of documents on five-word shingles through signature trees.
 
 Two sets with Jaccard similarity of at least 4/5 share a member among the first
-n - ceil(4n/5) + 1 of each, in hash order; buckets of such prefix members therefore hold
-every link. Each bucket is first compared with one of its sets only (its pivot), which
-settles buckets of copies in as many comparisons as they have sets. Where a bucket still
-holds more than one component, a signature tree is built over it: leaves are runs of sets
-in order of size, nodes hold the OR of their bitmaps and their range of sizes, and a dual
-traversal drops node pairs whose largest possible overlap cannot reach the threshold, or
-whose sets are all of one component already. What remains is verified on the whole texts.
+n - ceil(4n/5) + 1 of each, in any one order of all members; buckets of such prefix members
+therefore hold every link. The order puts frequent members last: those that more than `often`
+sets hold among the first two prefixes by hash, at most HELD of them (the most frequent), else
+by hash. It only decides how full the buckets are; every order gives the same links.
+
+Each bucket is first compared with one of its sets only (its pivot), which settles buckets of
+copies in as many comparisons as they have sets. Where a bucket still holds more than one
+component, a signature tree is built over it: leaves are runs of sets in order of size, nodes
+hold the OR of their bitmaps and their range of sizes, and a dual traversal drops node pairs
+whose largest possible overlap cannot reach the threshold, or whose sets are all of one
+component already. What remains is verified on the whole texts.
 
 A bound on the overlap of sets x and y: every bit of x's bitmap that y's has not is a member
 of x that y has not. For nodes, at every level: a bit of a set below one node that the other
 node's OR has not; a pair is dropped when no set below either node can still fit.
 
 Buckets of more than `chunk` sets are split by hash into chunks and compared as pairs of
-chunks, so no task holds a bucket. Documents with equal sets are one set from the start.
+chunks, so no task holds a bucket. Equal texts are one text and equal sets one set from the
+start; a text's and a set's identity is two 64-bit hashes and its size.
 
 Null or empty texts and texts without words have empty sets and are linked with nothing.
 component_id is the smallest doc_id reachable; null ids are passed over, a component of null
@@ -33,13 +38,15 @@ from pyspark.sql import functions as F
 
 from shiftledger.llm import shingles as S
 from shiftledger.llm import textbytes as tb
-from shiftledger.llm.common import Scratch
+from shiftledger.llm.common import Scratch, text_key
 from shiftledger.llm.graph import chunk_pairs, components
 
 NUMER, DENOM = 4, 5  # the similarity, as a fraction
 LEAF = 32
 FAN = 8
 CHUNK = 4096
+OFTEN = 32  # sets that hold a frequent member, at least
+HELD = 1 << 20  # frequent members, at most: 8 MB on the driver and in each worker
 
 
 def least_overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -51,37 +58,83 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return np.where(n > 0, n + (-NUMER * n) // DENOM + 1, 0)
 
 
-def _row_key(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn(
-        "row", F.xxhash64("doc_id", "text")
-    )
+def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for b in batches:
+        blobs = [pack(t.as_buffer()) for t in b.column(3)]
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(blobs, pa.binary())], names=["a", "b", "size", "text"])
+
+
+def _pieces(column: pa.Array) -> Iterator[tuple]:
+    """Compressed texts some at a time: (first row, next row, bytes, bounds)."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    held, size, first = [], 0, 0
+    for i, text in enumerate(column):
+        raw = unpack(text.as_buffer())
+        if held and size + len(raw) > 1 << 19:
+            yield first, i, *tb.joined(held)
+            held, size, first = [], 0, i
+        held.append(raw)
+        size += len(raw)
+    if held:
+        yield first, len(column), *tb.joined(held)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text_id, text) to the identity of its set and the first two prefixes of it by hash."""
     for batch in batches:
-        data, bounds = tb.bytes_of(batch.column(2))
-        for first, last, part, at in tb.pieces(data, bounds):
+        for first, last, part, at in _pieces(batch.column(1)):
             tokens, sizes = S.shingles(part, at)
-            begin = np.cumsum(sizes) - sizes
-            lengths = prefix_length(sizes)
-            head = np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-            offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
-            maps = S.bitmaps(tokens, sizes)
+            head, offsets = _heads(sizes, np.minimum(2 * prefix_length(sizes), sizes))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(first, last - first),
-                    batch.column(1).slice(first, last - first),
-                    pa.array(S.set_hashes(tokens, sizes)),
-                    pa.array(sizes),
+                    pa.array(S.set_hashes(tokens, sizes)), pa.array(S.set_hashes(tokens, sizes, 2)), pa.array(sizes),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens[head].view(np.int64))),
-                    pa.array([m.tobytes() for m in maps], pa.binary()),
-                    pa.array(S.wide_bitmaps(tokens, sizes), pa.binary()),
                 ],
-                names=["doc_id", "row", "set_id", "n", "prefix", "bits", "wide"],
+                names=["text_id", "s", "t", "n", "members"],
             )
 
 
+def _heads(sizes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first `lengths` members of each set, and the bounds of these."""
+    begin = np.cumsum(sizes) - sizes
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(begin - before, lengths) + np.arange(lengths.sum()), np.append(0, np.cumsum(lengths)).astype(np.int32)
+
+
+def ordered(tokens: np.ndarray, sizes: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The members of each set (by hash) with those of `last` (sorted) behind the others."""
+    if not len(last) or not len(tokens):
+        return tokens
+    at = np.minimum(np.searchsorted(last, tokens), len(last) - 1)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return tokens[np.argsort(2 * row + (last[at] == tokens), kind="stable")]
+
+
+def _sets(last):
+    """(text_id, text) to the set's prefix and bitmaps; last: broadcast frequent members."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, part, at in _pieces(batch.column(1)):
+                tokens, sizes = S.shingles(part, at)
+                head, offsets = _heads(sizes, prefix_length(sizes))
+                prefix = ordered(tokens, sizes, last.value)[head]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, end - first),
+                        pa.array(sizes),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix.view(np.int64))),
+                        pa.array([m.tobytes() for m in S.bitmaps(tokens, sizes)], pa.binary()),
+                        pa.array(S.wide_bitmaps(tokens, sizes), pa.binary()),
+                    ],
+                    names=["set_id", "n", "prefix", "bits", "wide"],
+                )
+
+    return sets
+
+
 def _maps(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(len(column), S.BITS // 64)
 
@@ -214,13 +267,6 @@ def _traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from solve(pa.Table.from_batches(held))
 
 
-def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for b in batches:
-        blobs = [pack(t.as_buffer()) for t in b.column(1)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(blobs, pa.binary())], names=["row", "text"])
-
-
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Exact overlap of the two texts of each pair."""
     unpack = zstandard.ZstdDecompressor().decompress
@@ -242,8 +288,13 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class JaccardJoin:
-    def __init__(self, docs: DataFrame, scratch: Scratch | None = None, chunk: int = CHUNK) -> None:
-        self.docs, self.chunk = _row_key(docs), chunk
+    def __init__(self, docs: DataFrame, scratch: Scratch | None = None, chunk: int = CHUNK, often: int = OFTEN) -> None:
+        text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+        key = text_key(text)
+        self.rows = docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), key.a.alias("a"), key.b.alias("b"), key.n.alias("size"), text.alias("text")
+        )
+        self.chunk, self.often = chunk, often
         self.scratch = scratch or Scratch(docs.sparkSession, "jaccard")
 
     def _possible(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
@@ -256,18 +307,16 @@ class JaccardJoin:
         rows = near.join(x, "a").join(y, "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b", "wide_a", "wide_b")
         return self.scratch.table(rows.mapInArrow(_possible_pairs, "a long, b long"), name)
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    def _verified(self, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
         scratch = self.scratch
-        wanted = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
-        wanted = scratch.table(wanted.join(sets.select("set_id", "row"), "set_id"), "wanted")
-        blobs = self.docs.select("row", "text").mapInArrow(_compress, "row long, text binary")
-        texts = scratch.table(blobs.join(wanted, "row").dropDuplicates(["set_id"]).select("set_id", "text"), "texts")
-        scratch.release()
-        x = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
-        y = texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
+        wanted = pairs.select(F.col("a").alias("text_id")).unionByName(pairs.select(F.col("b").alias("text_id"))).distinct()
+        wanted = scratch.table(wanted, "wanted")
+        few = scratch.table(texts.select("text_id", "text").join(wanted, "text_id", "left_semi"), "few", "uncompressed")
+        x = few.select(F.col("text_id").alias("a"), F.col("text").alias("text_a"))
+        y = few.select(F.col("text_id").alias("b"), F.col("text").alias("text_b"))
         rows = pairs.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b")
         out = scratch.table(rows.mapInArrow(_links, "a long, b long"), name)
-        scratch.drop(texts, wanted)
+        scratch.drop(few, wanted)
         scratch.release()
         return out
 
@@ -276,35 +325,57 @@ class JaccardJoin:
             "component", F.coalesce("component", "set_id")
         )
 
+    def _frequent(self, members: DataFrame) -> np.ndarray:
+        """Members that more than `often` sets hold among their first two prefixes, in order;
+        where these are more than HELD, the least number of sets doubles until they are not."""
+        counts = members.select(F.explode("members").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+        counts = self.scratch.table(counts.where(F.col("n") > self.often), "frequent")
+        level = F.floor(F.log2(F.col("n") / self.often)).cast("int")
+        most = 0
+        for row in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect():
+            most += row.n
+            if most > HELD:
+                counts = counts.where(level > row.level)
+                break
+        return np.sort(counts.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+
     def run(self) -> DataFrame:
-        """doc_id, row, set_id, n_shingles, component (of sets), component_id."""
+        """doc_id, a, b, size (of the text, as in text_key), n_shingles, component (of sets),
+        component_id of every row."""
         scratch = self.scratch
-        made = scratch.table(
-            self.docs.select("doc_id", "row", "text").mapInArrow(
-                _sets, "doc_id long, row long, set_id long, n long, prefix array<long>, bits binary, wide binary"
-            ),
-            "made",
+        blobs = self.rows.select("a", "b", "size", "text").mapInArrow(_compress, "a long, b long, size long, text binary")
+        texts = scratch.table(
+            blobs.groupBy("a", "b", "size").agg(F.first("text").alias("text")).withColumn("text_id", F.monotonically_increasing_id()),
+            "texts",
+            "uncompressed",
+        )
+        scratch.release()
+        members = scratch.table(
+            texts.select("text_id", "text").mapInArrow(_sizes, "text_id long, s long, t long, n long, members array<long>"), "members"
         )
-        light = scratch.table(made.select("doc_id", "row", "set_id", "n"), "light")
-        reps = light.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
+        light = scratch.table(members.select("text_id", "s", "t", "n"), "light")
+        reps = light.where("n > 0").groupBy("s", "t", "n").agg(F.min("text_id").alias("set_id"))
         reps = scratch.table(reps, "reps")
+        last = self._frequent(members)
+        scratch.drop(members)
+        scratch.release()
+        shared_last = self.scratch.spark.sparkContext.broadcast(last)
         sets = scratch.table(
-            made.where("n > 0").select("set_id", "row", "n", "bits", "wide").join(reps, ["set_id", "row"])
-            .dropDuplicates(["set_id"]),
+            texts.select("text_id", "text").join(reps.select(F.col("set_id").alias("text_id")), "text_id", "left_semi")
+            .mapInArrow(_sets(shared_last), "set_id long, n long, prefix array<long>, bits binary, wide binary"),
             "sets",
         )
-        rows = made.select("set_id", F.explode("prefix").alias("token"))
+        rows = sets.select("set_id", F.explode("prefix").alias("token"))
         shared = rows.groupBy("token").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("other"))
         shared = scratch.table(shared.where("pivot < other").select("token", "pivot"), "shared")
         scratch.release()
         bucket = scratch.table(rows.join(shared, "token").select("token", "set_id", "pivot"), "buckets")
-        scratch.drop(made)
         scratch.release()
 
         first = scratch.table(
             bucket.where("set_id != pivot").select(F.col("pivot").alias("a"), F.col("set_id").alias("b")).distinct(), "pairs"
         )
-        links = self._verified(self._possible(first, sets, "possible"), sets, "links")
+        links = self._verified(self._possible(first, sets, "possible"), texts, "links")
         found = scratch.table(components(links, scratch), "components")
         scratch.release()
 
@@ -330,22 +401,25 @@ class JaccardJoin:
         tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         second = scratch.table(walked.join(tested, ["a", "b"], "left_anti"), "walked")
         scratch.release()
-        more = self._verified(self._possible(second, sets, "possible"), sets, "more")
+        more = self._verified(self._possible(second, sets, "possible"), texts, "more")
+        scratch.drop(sets, bucket, first, member)
         found = scratch.table(components(links.unionByName(more), scratch), "components")
-        label = self._labelled(reps.select("set_id", "doc_id"), found)
-        label = scratch.table(label, "labels")
-        lowest = scratch.table(label.groupBy("component").agg(F.min("doc_id").alias("component_id")), "lowest")
-        label = scratch.table(label.join(lowest, "component").select("set_id", "component", "component_id"), "final")
-        some = light.where("n > 0").join(label, "set_id").select(
-            "doc_id", "row", "set_id", F.col("n").alias("n_shingles"), "component", "component_id"
-        )
-        none = light.where("n = 0").select(
-            "doc_id", "row", F.lit(None).cast("long").alias("set_id"), F.col("n").alias("n_shingles"),
-            F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id"),
+        # back to texts, then to rows
+        label = self._labelled(reps, found)
+        keys = light.join(label, ["s", "t", "n"], "left").select("text_id", F.col("n").alias("n_shingles"), "component")
+        keys = scratch.table(
+            texts.select("a", "b", "size", "text_id").join(keys, "text_id").select("a", "b", "size", "n_shingles", "component"), "keys"
         )
-        return some.unionByName(none)
+        scratch.drop(texts)
+        rows = scratch.table(self.rows.select("doc_id", "a", "b", "size").join(keys, ["a", "b", "size"]), "rows")
+        lowest = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        lowest = scratch.table(lowest, "lowest")
+        some = rows.where("component IS NOT NULL").join(lowest, "component")
+        none = rows.where("component IS NULL").withColumn("component_id", F.col("doc_id"))
+        names = ["doc_id", "a", "b", "size", "n_shingles", "component", "component_id"]
+        return some.select(*names).unionByName(none.select(*names))
 
 
-def components_of(docs: DataFrame, scratch: Scratch | None = None, chunk: int = CHUNK) -> DataFrame:
+def components_of(docs: DataFrame, scratch: Scratch | None = None, chunk: int = CHUNK, often: int = OFTEN) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    return JaccardJoin(docs, scratch, chunk).run().select("doc_id", "n_shingles", "component_id")
+    return JaccardJoin(docs, scratch, chunk, often).run().select("doc_id", "n_shingles", "component_id")

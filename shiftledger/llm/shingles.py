@@ -45,13 +45,13 @@ def shingles(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), sizes
 
 
-def set_hashes(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def set_hashes(tokens: np.ndarray, sizes: np.ndarray, seed: int = 1) -> np.ndarray:
     """One 64-bit hash of each set, whatever the order of its members; 0 for empty sets."""
     out = np.zeros(len(sizes), np.uint64)
     some = np.flatnonzero(sizes)
     if len(some):
         first = (np.cumsum(sizes) - sizes)[some]
-        sums = np.add.reduceat(tb.mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)), first)
+        sums = np.add.reduceat(tb.mixed(tokens ^ np.uint64(0x5851F42D4C957F2D * seed % 2**64)), first)
         out[some] = tb.mixed(sums + sizes[some].astype(np.uint64))
     return out.view(np.int64)
 

@@ -310,21 +310,21 @@ def cut_texts(docs: DataFrame, scratch: Scratch | None = None, group: int = GROU
         "uncompressed",
     )
     scratch.release()
-    parse_rows = scratch.table(
+    parse = scratch.table(
         texts.select("a", "b", "text").mapInArrow(_parse, "a long, b long, t long, gram long, context long, room int"), "parse"
     )
-    parse = parse_rows.withColumn("at", F.xxhash64("a", "b", "t", "gram"))
-    dictionary = scratch.table(
-        parse.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("copies"), F.min("at").alias("at"), F.max("room").alias("room")),
-        "dictionary",
+    # one place of each context, by its text and position
+    dictionary = parse.groupBy("gram", "context").agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("a", "b", "t")).alias("at"), F.max("room").alias("room")
     )
+    dictionary = scratch.table(dictionary.select("gram", "context", "copies", "at.a", "at.b", "at.t", "room"), "dictionary")
     scratch.release()
     several = scratch.table(
         dictionary.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
         .select("gram", (F.col("contexts") > group).alias("many")),
         "several",
     )
-    asked = scratch.table(dictionary.join(several, "gram").select("at", "gram", "context", "copies", "room", "many"), "asked")
+    asked = scratch.table(dictionary.join(several, "gram").select("a", "b", "t", "gram", "context", "copies", "room", "many"), "asked")
     whole = dictionary.where("copies > 1").select(
         "gram", "context",
         F.greatest(F.lit(LENGTH) - F.col("room") % 256, F.lit(0)).cast("int").alias("low"),
@@ -334,9 +334,8 @@ def cut_texts(docs: DataFrame, scratch: Scratch | None = None, group: int = GROU
     lone = scratch.table(asked.where("many AND copies = 1").select("gram", "context"), "lone")
     scratch.drop(dictionary, several)
     scratch.release()
-    where = parse.select("a", "b", "t", "at").join(asked, "at")
     lists = scratch.table(
-        where.groupBy("a", "b").agg(F.collect_list(F.struct("gram", "context", "copies", "many", "room", "t")).alias("asked")),
+        asked.groupBy("a", "b").agg(F.collect_list(F.struct("gram", "context", "copies", "many", "room", "t")).alias("asked")),
         "lists",
     )
     scratch.drop(asked)
@@ -375,7 +374,7 @@ def cut_texts(docs: DataFrame, scratch: Scratch | None = None, group: int = GROU
     spans = scratch.table(
         spans.groupBy("a", "b").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")), "spans"
     )
-    scratch.drop(parse_rows, result)
+    scratch.drop(parse, result)
     scratch.release()
     rows = texts.join(spans, ["a", "b"], "left").select("a", "b", "copies", "text", "starts", "ends")
     return rows.mapInArrow(
