@@ -7,7 +7,7 @@ an empty table stays empty.
 1 quality   rows that the classifier scores under 1/2 go. It learns from `labels` outside
             the held-out fold; a table without usable labels keeps every row.
 2 copies    of each group of documents linked by shingles, the row with the smallest
-            (doc_id, row hash) stays; rows that repeat it exactly go too. Documents without
+            (doc_id, text hashes) stays; rows that repeat it exactly go too. Documents without
             words are linked with nothing and stay.
 3 repeats   every 200-byte string that occurs elsewhere is cut out of each text; a character
             that a cut splits goes with it. Rows stay, even with an empty text; n_chars is
@@ -26,7 +26,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shiftledger.llm import jaccard_join, mixing, packing, quality, suffix_dedup
-from shiftledger.llm.common import Scratch, table, tokenizer_path
+from shiftledger.llm.common import Scratch, table, text_key, tokenizer_path
+
+
+WORD = r"[^\x20\x09-\x0D]"  # a text that holds one has words
 
 
 def _columns(names: list[str]) -> list:
@@ -43,26 +46,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "copies")
-    found = jaccard_join.JaccardJoin(docs, scratch).run()
-    # one row hash of each component, from its smallest doc_id; the hash tells apart the texts of one id
-    found = scratch.table(found.where("component IS NOT NULL").select("component", "doc_id", "row"), "found")
-    low = found.groupBy("component").agg(F.min("doc_id").alias("low"))
-    low = scratch.table(low, "low")
-    chosen = found.join(low, "component").where("doc_id <=> low").groupBy("component").agg(F.min("row").alias("row"))
-    gone = scratch.table(
-        found.select("component", "row").distinct().join(
-            scratch.table(chosen, "chosen").withColumnRenamed("row", "kept"), "component"
-        ).select("row", (F.col("row") != F.col("kept")).alias("gone")),
-        "gone",
-    )
+    found = jaccard_join.JaccardJoin(docs, scratch).run().where("component IS NOT NULL")
+    key = ["doc_id", "a", "b", "size"]
+    # the smallest doc_id of each component, null last; the text's hashes tell apart the texts of one id
+    first = found.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id").alias("lost"), *key)).alias("first"))
+    chosen = scratch.table(first.select(*[F.col(f"first.{c}").alias(f"first_{c}") for c in key]), "chosen")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(_row(docs), F.xxhash64(F.col("doc_id").cast("long"), text).alias("key"))
-    once = rows.join(gone.withColumnRenamed("row", "key"), "key", "left").where("gone IS NULL OR NOT gone")
+    hashes = text_key(text)
+    mine = F.struct(F.col("doc_id").cast("long").alias("doc_id"), hashes.a.alias("a"), hashes.b.alias("b"), hashes.n.alias("size"))
+    rows = docs.select(_row(docs), mine.alias("key"), text.rlike(WORD).alias("worded"))
+    kept = rows.where("worded").join(chosen, F.expr(" AND ".join(f"key.{c} <=> first_{c}" for c in key)), "left_semi")
     # rows that repeat a kept one exactly (same id, same text) are copies as well
     order = Window.partitionBy("key").orderBy(F.to_json("row"))
-    alone = once.where("gone IS NULL").select("row")
-    kept = once.where("NOT gone").withColumn("turn", F.row_number().over(order)).where("turn = 1").select("row")
-    return alone.unionByName(kept).select(*_columns(docs.columns))
+    kept = kept.withColumn("turn", F.row_number().over(order)).where("turn = 1").select("row")
+    return rows.where("NOT worded").select("row").unionByName(kept).select(*_columns(docs.columns))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
