@@ -42,11 +42,11 @@ LEAST = 10  # occurrences of a candidate
 TOP = 2000  # rows of a language
 INSIDE = 50  # hundredths of a phrase's occurrences within a longer candidate that drop it
 GROUP_BYTES = 8 << 20
-LIMIT = 3_000_000  # entries that a task holds before it spills
+LIMIT = 1_500_000  # entries that a task holds before it spills
 BURST = 1 << 16  # entries of a container
 FAN = 16
 SALT = 8
-GROUPS = 4  # of prefixes in a partition, merged one after the other
+GROUPS = 8  # of prefixes in a partition, merged one after the other
 _WORDS = 1 << 18  # words worked on at once
 _VOCABULARY = 1 << 19  # words that a task numbers before it spills all and numbers anew
 _PIECE = 1 << 20
@@ -208,7 +208,8 @@ def sorted_run(keys: np.ndarray, counts: np.ndarray, names: pa.Array, hashes: np
         body[0] = np.diff(body[0], prepend=np.uint32(0))
         bodies.append(pack(np.ascontiguousarray(body).tobytes()))
     head = np.append(len(used), np.diff(bounds)).astype("<u4")
-    return pack(head.tobytes() + text.tobytes()), group[edge].tolist(), bodies
+    words_blob = zstandard.ZstdCompressor(level=5).compress(head.tobytes() + text.tobytes())
+    return words_blob, group[edge].tolist(), bodies
 
 
 def _read_words(blob: bytes) -> pa.Array:
