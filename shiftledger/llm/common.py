@@ -15,11 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; only where it is unset (tests) a new temporary one."""
+    """The folder of spark.checkpoint.dir; only where it is unset in local mode (tests) a new
+    temporary one, as other machines would not see that."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if not held.isDefined():
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="llm-"))
             held = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = held.get()

@@ -94,3 +94,19 @@ def test_few_vectors(spark):
     assert pivot_topk.top_k(none, F.col("vec_id") % 100 == 0).count() == 0
     two = spark.createDataFrame([(0, [1.0], 0, 0, 0, 0), (7, [-2.0], 0, 0, 0, 0)], SCHEMA)
     assert [tuple(x) for x in pivot_topk.top_k(two, F.col("vec_id") % 100 == 0).collect()] == [(0, 1, 7, -2097152)]
+
+
+def test_every_vector_of_an_id_counts(spark):
+    """Different vectors under one id, one vector under many ids, rows that repeat both."""
+    a, b, near = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [1.0, 0.05, 0.0]
+    rows = [(1, a), (1, b), (2, near), (3, b), (4, [0.0, 0.0, 2.0]), (4, [0.0, 0.0, 2.0])] + [(10 + i, b) for i in range(40)]
+    got = lattice_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), chunk=8).collect()
+    assert sorted(x.vec_id for x in got) == sorted(i for i, _ in rows)
+    of = {i: sorted((x.n_links, x.component_id, x.kept) for x in got if x.vec_id == i) for i in (1, 2, 3, 4, 10)}
+    assert of == {1: [(1, 1, True), (41, 1, True)], 2: [(1, 1, False)], 3: [(41, 1, False)], 4: [(0, 4, True)] * 2, 10: [(41, 1, False)]}
+    top = pivot_topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 1, k=3).collect()
+    lists = sorted(tuple(x) for x in top)
+    square = 1024 * 1024
+    assert lists == sorted(
+        [(1, 1, 2, square), (1, 2, 1, 0), (1, 3, 3, 0)] + [(1, 1, 3, square), (1, 2, 10, square), (1, 3, 11, square)]
+    )
