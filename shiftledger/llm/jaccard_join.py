@@ -11,7 +11,9 @@ copies in as many comparisons as they have sets. Where a bucket still holds more
 component, a signature tree is built over it: leaves are runs of sets in order of size, nodes
 hold the OR of their bitmaps and their range of sizes, and a dual traversal drops node pairs
 whose largest possible overlap cannot reach the threshold, or whose sets are all of one
-component already. What remains is verified on the whole texts.
+component already. What remains is compared member by member where the walk meets it, unless
+the two sets have become one component meanwhile: a bucket gives at most one link for each set
+that joins another component, however many of its sets are alike.
 
 A bound on the overlap of sets x and y: every bit of x's bitmap that y's has not is a member
 of x that y has not. For nodes, at every level: a bit of a set below one node that the other
@@ -44,7 +46,7 @@ from shiftledger.llm.graph import chunk_pairs, components
 NUMER, DENOM = 4, 5  # the similarity, as a fraction
 LEAF = 32
 FAN = 8
-CHUNK = 4096
+CHUNK = 1024
 OFTEN = 32  # sets that hold a frequent member, at least
 HELD = 1 << 20  # frequent members, at most: 8 MB on the driver and in each worker
 
@@ -193,8 +195,8 @@ class SignatureTree:
         n = self.n[at]
         return bool((n - _lacks(self.maps[at], ors) >= least_overlap(n, np.maximum(least, -(-NUMER * n // DENOM)))).any())
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the sets of all pairs that may be links between components."""
+    def leaf_pairs(self) -> Iterator[tuple[int, int]]:
+        """The leaves that may hold links between components."""
         a = b = np.zeros(1, np.int64)
         for level in range(len(self.levels) - 1, -1, -1):
             keep = self._open(level, a, b)
@@ -206,39 +208,64 @@ class SignatureTree:
                 left, right = (x.ravel() for x in np.broadcast_arrays(left, right))
                 fine = (left < size) & (right < size) & (left <= right)
                 a, b = left[fine], right[fine]
-        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x, y in zip(a.tolist(), b.tolist()):
+        yield from zip(a.tolist(), b.tolist())
+
+    def links(self, members: list[np.ndarray]) -> list[tuple[int, int]]:
+        """Places of linked sets, one pair for each two components that become one."""
+        root, out = self.part.copy(), []
+        for x, y in self.leaf_pairs():
             i = np.arange(x * LEAF, min((x + 1) * LEAF, len(self.n)))
             j = np.arange(y * LEAF, min((y + 1) * LEAF, len(self.n)))
-            ok = possible(self.n[i][:, None], self.maps[i][:, None], self.n[j][None], self.maps[j][None])
-            ok &= self.part[i][:, None] != self.part[j][None]
+            ok = root[i][:, None] != root[j][None]
             if x == y:
                 ok &= np.tri(len(i), k=-1, dtype=bool)
-            p, q = np.nonzero(ok)
-            out_a.append(i[p])
-            out_b.append(j[q])
-        return np.concatenate(out_a), np.concatenate(out_b)
+            if not ok.any():
+                continue
+            ok &= possible(self.n[i][:, None], self.maps[i][:, None], self.n[j][None], self.maps[j][None])
+            for p, q in zip(*(k.tolist() for k in np.nonzero(ok))):
+                u, v = int(i[p]), int(j[q])
+                if root[u] != root[v] and linked(members[u], members[v]):
+                    root[root == root[v]] = root[u]
+                    out.append((u, v))
+        return out
+
+
+_CUTS = np.arange(1, 9, dtype=np.uint64) * np.uint64(1 << 61) - np.uint64(1)  # eighths of all hashes, the last cut at the end
+
+
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets (members in order) are similar enough; unlike ones show it early, as
+    members are spread evenly over the hashes."""
+    need = int(least_overlap(np.int64(len(x)), np.int64(len(y))))
+    a = b = lack_x = lack_y = 0
+    for to_x, to_y in zip(np.searchsorted(x, _CUTS, "right").tolist(), np.searchsorted(y, _CUTS, "right").tolist()):
+        both = np.sort(np.concatenate([x[a:to_x], y[b:to_y]]))
+        shared = int((both[1:] == both[:-1]).sum())
+        lack_x, lack_y = lack_x + to_x - a - shared, lack_y + to_y - b - shared
+        if len(x) - lack_x < need or len(y) - lack_y < need:
+            return False
+        a, b = to_x, to_y
+    return True
 
 
 def _traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (token, i, j): token, i, j, set_id, component, n, bits."""
+    """Rows in order of (token, i, j): token, i, j, set_id, component, n, bits, members."""
 
     def solve(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         keys = np.stack([rows.column(k).to_numpy() for k in range(3)], 1)
         edge = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
         ids, part, n = (rows.column(k).to_numpy() for k in (3, 4, 5))
         maps = _maps(rows.column(6).combine_chunks())
-        found_a, found_b = [], []
+        raw = rows.column(7).combine_chunks()
+        found: list[tuple[int, int]] = []
         for a, b in zip(np.append(0, edge), np.append(edge, len(ids))):
             if b - a < 2 or (part[a:b] == part[a]).all():
                 continue
             order = a + np.lexsort((ids[a:b], part[a:b], n[a:b]))
-            x, y = SignatureTree(n[order], maps[order], part[order]).pairs()
-            found_a.append(ids[order][x])
-            found_b.append(ids[order][y])
-        if found_a:
-            x, y = np.concatenate(found_a), np.concatenate(found_b)
-            pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+            members = [np.frombuffer(raw[int(k)].as_buffer(), "<u8") for k in order]
+            found += [(ids[order[x]], ids[order[y]]) for x, y in SignatureTree(n[order], maps[order], part[order]).links(members)]
+        if found:
+            pair = np.unique(np.sort(np.array(found, np.int64), 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
 
     held: list[pa.RecordBatch] = []
@@ -267,6 +294,16 @@ def _traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from solve(pa.Table.from_batches(held))
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text_id, text) to the set's members in order."""
+    for batch in batches:
+        for first, end, part, at in _pieces(batch.column(1)):
+            tokens, sizes = S.shingles(part, at)
+            cut = np.append(0, np.cumsum(sizes))
+            raw = [tokens[a:b].astype("<u8").tobytes() for a, b in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(raw, pa.binary())], names=["set_id", "members"])
+
+
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Exact overlap of the two texts of each pair."""
     unpack = zstandard.ZstdDecompressor().decompress
@@ -392,16 +429,19 @@ class JaccardJoin:
         scratch.release()
         size = scratch.table(member.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 2"), "sizes")
         split = chunk_pairs(member.join(size, "token"), "token", "size", self.chunk, "set_id")
-        split = split.join(label, "set_id").join(sets.select("set_id", "n", "bits"), "set_id")
+        split = scratch.table(split.select("token", "i", "j", "set_id"), "split")
+        need = scratch.table(split.select(F.col("set_id").alias("text_id")).distinct(), "need")
+        members = texts.select("text_id", "text").join(need, "text_id", "left_semi").mapInArrow(_members, "set_id long, members binary")
+        members = scratch.table(members.join(label, "set_id").join(sets.select("set_id", "n", "bits"), "set_id"), "walked_sets")
+        scratch.release()
         order = ["token", "i", "j"]
         walked = (
-            split.select(*order, "set_id", "component", "n", "bits").repartition(*order).sortWithinPartitions(*order)
-            .mapInArrow(_traverse, "a long, b long").distinct()
+            split.join(members, "set_id").select(*order, "set_id", "component", "n", "bits", "members")
+            .repartition(*order).sortWithinPartitions(*order).mapInArrow(_traverse, "a long, b long").distinct()
         )
-        tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        second = scratch.table(walked.join(tested, ["a", "b"], "left_anti"), "walked")
+        more = scratch.table(walked, "more")
+        scratch.drop(members, need, split)
         scratch.release()
-        more = self._verified(self._possible(second, sets, "possible"), texts, "more")
         scratch.drop(sets, bucket, first, member)
         found = scratch.table(components(links.unionByName(more), scratch), "components")
         # back to texts, then to rows

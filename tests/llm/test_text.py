@@ -277,8 +277,12 @@ def test_inner_nodes_are_pruned_by_overlap(monkeypatch):
 
     def found(n, maps):
         opened.clear()
-        x, y = jaccard_join.SignatureTree(n, maps, np.arange(len(n))).pairs()
-        return {frozenset(p) for p in zip(x.tolist(), y.tolist())}
+        out, leaf = set(), jaccard_join.LEAF
+        for x, y in jaccard_join.SignatureTree(n, maps, np.arange(len(n))).leaf_pairs():
+            i, j = (np.arange(k * leaf, min((k + 1) * leaf, len(n))) for k in (x, y))
+            ok = jaccard_join.possible(n[i][:, None], maps[i][:, None], n[j][None], maps[j][None])
+            out |= {frozenset((int(i[p]), int(j[q]))) for p, q in np.argwhere(ok).tolist() if i[p] != j[q]}
+        return out
 
     def brute(n, maps):
         ok = jaccard_join.possible(n[:, None], maps[:, None], n[None], maps[None])
@@ -290,3 +294,28 @@ def test_inner_nodes_are_pruned_by_overlap(monkeypatch):
     apart = np.sort(np.where(apart == 256, 1, apart))  # the halves stay whole, without links between them
     assert found(n, maps[apart]) == brute(n, maps[apart])
     assert dict(opened)[0] == 72
+
+
+def test_a_bucket_of_like_sets_gives_a_forest():
+    """Many near copies of one set, all like each other or not: components as by brute force,
+    one link for each set that joins another component."""
+    r = np.random.default_rng(3)
+    base = tb.mixed(np.arange(1, 121, dtype=np.uint64))
+    sets = []
+    for k in range(300):
+        new = tb.mixed(np.arange(1000 * (k + 1), 1000 * (k + 1) + int(r.integers(0, 30)), dtype=np.uint64))
+        sets.append(np.sort(np.concatenate([r.permutation(base)[: 120 - len(new) // 2], new])))
+    sets.sort(key=len)
+    n, part = np.array([len(s) for s in sets]), r.integers(0, 250, 300)
+    maps = S.bitmaps(np.concatenate(sets), n)
+    root = part.copy()
+    like = np.array([[5 * (k := len(np.intersect1d(a, b))) >= 4 * (len(a) + len(b) - k) for b in sets] for a in sets])
+    assert 1000 < like.sum() < 89_000
+    for i, j in np.argwhere(like).tolist():
+        root[root == root[j]] = root[i]
+    found = jaccard_join.SignatureTree(n, maps, part).links(sets)
+    assert len(found) == len(set(part.tolist())) - len(set(root.tolist())) and all(like[x, y] for x, y in found)
+    mine = part.copy()
+    for x, y in found:
+        mine[mine == mine[y]] = mine[x]
+    assert len(set(zip(root.tolist(), mine.tolist()))) == len(set(root.tolist())) == len(set(mine.tolist()))
