@@ -41,7 +41,7 @@ from shiftledger.llm.common import Scratch
 LEAST = 10  # occurrences of a candidate
 TOP = 2000  # rows of a language
 INSIDE = 50  # hundredths of a phrase's occurrences within a longer candidate that drop it
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 LIMIT = 1_500_000  # entries that a task holds before it spills
 BURST = 1 << 16  # entries of a container
 FAN = 16
@@ -364,12 +364,14 @@ def _merge(least: int):
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
-            for part, lang, *run in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and (part, lang) != now:
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for key, words, groups, bodies in zip(keys, *batch.columns[2:]):
+                if held and key != now:
                     yield from solve(now[1], held)
                     held = []
-                now = part, lang
-                held.append(tuple(run))
+                now = key
+                # the run's bytes stay where the batch holds them
+                held.append((words.as_buffer(), groups.as_py(), [b.as_buffer() for b in bodies.values]))
         if held:
             yield from solve(now[1], held)
 
