@@ -11,7 +11,11 @@ copies in as many comparisons as they have sets. Where a bucket still holds more
 component, a signature tree is built over it: leaves are runs of sets in order of size, nodes
 hold the OR of their bitmaps and their range of sizes, and a dual traversal drops node pairs
 whose largest possible overlap cannot reach the threshold, or whose sets are all of one
-component already. What remains is verified on the whole texts.
+component already. Of the remaining pairs a bucket first gives a spanning forest of its
+components, made of the pairs of largest possible similarity: at most one row for each set in
+it. These are verified on the whole texts. Buckets that held more pairs and still hold several
+components are walked again and give all pairs between them that were not tested yet. Buckets
+of the very same sets are one bucket.
 
 A bound on the overlap of sets x and y: every bit of x's bitmap that y's has not is a member
 of x that y has not. For nodes, at every level: a bit of a set below one node that the other
@@ -46,6 +50,7 @@ LEAF = 32
 FAN = 8
 CHUNK = 4096
 OFTEN = 32  # sets that hold a frequent member, at least
+_KEYS = ["token", "i", "j"]  # of a bucket, or of a pair of its chunks
 HELD = 1 << 20  # frequent members, at most: 8 MB on the driver and in each worker
 
 
@@ -143,9 +148,20 @@ def _lacks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a & ~b).sum(-1, dtype=np.int64)
 
 
+def most_overlap(n: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Members that sets of n and m members with bitmaps a and b may share, at most."""
+    return np.minimum(n - _lacks(a, b), m - _lacks(b, a))
+
+
 def possible(n: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether sets of n and m members with bitmaps a and b may be similar enough."""
-    return np.minimum(n - _lacks(a, b), m - _lacks(b, a)) >= least_overlap(n, m)
+    return most_overlap(n, a, m, b) >= least_overlap(n, m)
+
+
+def wide_overlap(n: int, a: pa.Scalar, m: int, b: pa.Scalar) -> int:
+    """most_overlap of large sets: they fill the common bitmap, theirs are as wide as they are large."""
+    x, y = (np.frombuffer(k.as_buffer(), "<u8") for k in (a, b))
+    return int(most_overlap(n, S.folded(x, len(y)), m, S.folded(y, len(x))))
 
 
 def _possible_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,10 +169,7 @@ def _possible_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         n, m = t.column(2).to_numpy(), t.column(4).to_numpy()
         ok = possible(n, _maps(t.column(3)), m, _maps(t.column(5))) if len(n) else np.zeros(0, bool)
         for i in np.flatnonzero(ok & np.asarray(t.column(6).is_valid()) & np.asarray(t.column(7).is_valid())):
-            # large sets fill the common bitmap; theirs are as wide as they are large
-            a, b = (np.frombuffer(t.column(k)[i].as_buffer(), "<u8") for k in (6, 7))
-            a, b = S.folded(a, len(b)), S.folded(b, len(a))
-            ok[i] = possible(n[i : i + 1], a[None], m[i : i + 1], b[None])[0]
+            ok[i] = wide_overlap(n[i], t.column(6)[i], m[i], t.column(7)[i]) >= least_overlap(n[i], m[i])
         yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
 
@@ -220,26 +233,81 @@ class SignatureTree:
         return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def _traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (token, i, j): token, i, j, set_id, component, n, bits."""
+def forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Places of the edges (a, b) of a spanning forest of greatest weight, by rounds in which
+    each part takes its heaviest edge."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    ends = ends.reshape(2, -1)
+    order = np.argsort(-weight, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))  # no two alike, so a round's edges make no ring
+    root, taken = np.arange(len(nodes)), [np.zeros(0, np.int64)]
+    while True:
+        u, v = root[ends]
+        left = np.flatnonzero(u != v)
+        if not len(left):
+            return np.concatenate(taken)
+        best = np.full(len(nodes), len(order))
+        np.minimum.at(best, u[left], rank[left])
+        np.minimum.at(best, v[left], rank[left])
+        taken.append(order[np.unique(best[best < len(order)])])
+        for x, y in zip(u[taken[-1]].tolist(), v[taken[-1]].tolist()):
+            while root[x] != x:
+                x = root[x]
+            while root[y] != y:
+                y = root[y]
+            root[max(x, y)] = min(x, y)
+        while (root != root[root]).any():
+            root = root[root]
+
+
+def _overlaps(x: np.ndarray, y: np.ndarray, n: np.ndarray, maps: np.ndarray, wide: pa.Array) -> np.ndarray:
+    """most_overlap of the pairs (x, y) of rows, by the wide bitmaps where both have one."""
+    out = np.zeros(len(x), np.int64)
+    for at in range(0, len(x), 1 << 13):
+        i, j = x[at : at + (1 << 13)], y[at : at + (1 << 13)]
+        out[at : at + (1 << 13)] = most_overlap(n[i], maps[i], n[j], maps[j])
+    large = np.asarray(wide.is_valid())
+    for k in np.flatnonzero(large[x] & large[y]):
+        out[k] = wide_overlap(n[x[k]], wide[x[k]], n[y[k]], wide[y[k]])
+    return out
+
+
+def _traverse(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (token, i, j): token, i, j, set_id, component, n, bits, wide.
+
+    Gives (a, b, null, null, null) for pairs that may be links between components: all of a
+    bucket if whole, else a forest of them, and then (null, null, token, i, j) for each bucket
+    that held more.
+    """
 
     def solve(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         keys = np.stack([rows.column(k).to_numpy() for k in range(3)], 1)
         edge = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
         ids, part, n = (rows.column(k).to_numpy() for k in (3, 4, 5))
-        maps = _maps(rows.column(6).combine_chunks())
-        found_a, found_b = [], []
+        maps, wide = (rows.column(k).combine_chunks() for k in (6, 7))
+        maps = _maps(maps)
+        found_a, found_b, more = [], [], []
         for a, b in zip(np.append(0, edge), np.append(edge, len(ids))):
             if b - a < 2 or (part[a:b] == part[a]).all():
                 continue
             order = a + np.lexsort((ids[a:b], part[a:b], n[a:b]))
-            x, y = SignatureTree(n[order], maps[order], part[order]).pairs()
-            found_a.append(ids[order][x])
-            found_b.append(ids[order][y])
+            x, y = (order[k] for k in SignatureTree(n[order], maps[order], part[order]).pairs())
+            shared = _overlaps(x, y, n, maps, wide)
+            near = np.flatnonzero(shared >= least_overlap(n[x], n[y]))
+            if not whole and len(near) > 1:
+                x, y, shared = x[near], y[near], shared[near]
+                all_, near = len(near), forest(part[x], part[y], shared / (n[x] + n[y] - shared))
+                if len(near) < all_:
+                    more.append(keys[a])
+            found_a.append(ids[x[near]])
+            found_b.append(ids[y[near]])
         if found_a:
             x, y = np.concatenate(found_a), np.concatenate(found_b)
             pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
+            yield _walk_rows(pair[:, 0], pair[:, 1], None, None, None)
+        if more:
+            yield _walk_rows(None, None, *np.array(more).T)
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -267,6 +335,13 @@ def _traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from solve(pa.Table.from_batches(held))
 
 
+def _walk_rows(*columns: np.ndarray | None) -> pa.RecordBatch:
+    size = next(len(x) for x in columns if x is not None)
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    arrays = [pa.nulls(size, k) if x is None else pa.array(x.astype(k.to_pandas_dtype())) for x, k in zip(columns, types)]
+    return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "token", "i", "j"])
+
+
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Exact overlap of the two texts of each pair."""
     unpack = zstandard.ZstdDecompressor().decompress
@@ -307,6 +382,21 @@ class JaccardJoin:
         rows = near.join(x, "a").join(y, "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b", "wide_a", "wide_b")
         return self.scratch.table(rows.mapInArrow(_possible_pairs, "a long, b long"), name)
 
+    def _walked(
+        self, split: DataFrame, label: DataFrame, sets: DataFrame, tested: DataFrame, whole: bool
+    ) -> tuple[DataFrame, DataFrame]:
+        """Pairs (a, b) that the walk finds and that were not tested, and the buckets that held more."""
+        rows = split.join(label, "set_id").join(sets.select("set_id", "n", "bits", "wide"), "set_id")
+        rows = rows.select(*_KEYS, "set_id", "component", "n", "bits", "wide").repartition(*_KEYS).sortWithinPartitions(*_KEYS)
+
+        def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _traverse(batches, whole)
+
+        out = self.scratch.table(rows.mapInArrow(walk, "a long, b long, token long, i int, j int"), "walk")
+        self.scratch.release()
+        pairs = out.where("a IS NOT NULL").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+        return self.scratch.table(pairs, "walked"), out.where("a IS NULL").select(*_KEYS)
+
     def _verified(self, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
         scratch = self.scratch
         wanted = pairs.select(F.col("a").alias("text_id")).unionByName(pairs.select(F.col("b").alias("text_id"))).distinct()
@@ -390,20 +480,26 @@ class JaccardJoin:
         token = scratch.table(bucket.join(open_, ["set_id", "pivot"]).select("token").distinct(), "tokens")
         member = scratch.table(bucket.join(token, "token").select("token", "set_id").distinct(), "members")
         scratch.release()
-        size = scratch.table(member.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 2"), "sizes")
-        split = chunk_pairs(member.join(size, "token"), "token", "size", self.chunk, "set_id")
-        split = split.join(label, "set_id").join(sets.select("set_id", "n", "bits"), "set_id")
-        order = ["token", "i", "j"]
-        walked = (
-            split.select(*order, "set_id", "component", "n", "bits").repartition(*order).sortWithinPartitions(*order)
-            .mapInArrow(_traverse, "a long, b long").distinct()
-        )
+        of_sets = (F.bit_xor(F.xxhash64(*seed, "set_id")) for seed in ((), (F.lit(7),)))
+        size = member.groupBy("token").agg(F.count(F.lit(1)).alias("size"), *(x.alias(k) for k, x in zip("st", of_sets)))
+        size = size.where("size > 2").groupBy("size", "s", "t").agg(F.min("token").alias("token"))
+        size = scratch.table(size.select("token", "size"), "sizes")
+        split = chunk_pairs(member.join(size, "token"), "token", "size", self.chunk, "set_id").select(*_KEYS, "set_id")
         tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        second = scratch.table(walked.join(tested, ["a", "b"], "left_anti"), "walked")
-        scratch.release()
-        more = self._verified(self._possible(second, sets, "possible"), texts, "more")
+        second, more = self._walked(split, label, sets, tested, False)
+        true = self._verified(self._possible(second, sets, "possible"), texts, "more")
+        links = links.unionByName(true)
+        found = scratch.table(components(links, scratch), "components")
+        label = scratch.table(self._labelled(sets.select("set_id"), found), "labels")
+        # what held more pairs than its forest, where that left several components
+        left = split.join(more, _KEYS).join(label, "set_id").groupBy(*_KEYS)
+        left = left.agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select(*_KEYS)
+        left = scratch.table(left, "left")
+        if not left.isEmpty():
+            third, _ = self._walked(split.join(left, _KEYS), label, sets, tested.unionByName(second), True)
+            true = self._verified(self._possible(third, sets, "possible"), texts, "rest")
+            found = scratch.table(components(links.unionByName(true), scratch), "components")
         scratch.drop(sets, bucket, first, member)
-        found = scratch.table(components(links.unionByName(more), scratch), "components")
         # back to texts, then to rows
         label = self._labelled(reps, found)
         keys = light.join(label, ["s", "t", "n"], "left").select("text_id", F.col("n").alias("n_shingles"), "component")

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,6 +72,58 @@ def test_join_at_the_threshold_and_over_rims(spark):
     assert Counter(tuple(x) for x in got) == plain_components(rows)
 
 
+def test_walk_gives_a_forest_of_a_large_group():
+    """Near copies that all link with each other: a row a set, not a row a pair; then the rest."""
+    r = np.random.default_rng(6)
+    stock = np.unique(r.integers(0, 2**63, 100).astype(np.uint64))
+    sets = [np.sort(np.append(r.choice(stock, 97, replace=False), tb.mixed(np.array([k], np.uint64)))) for k in range(60)]
+    n, m = np.full(60, 98), 60
+
+    def walked(part, whole):
+        columns = [np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m, np.int64), np.arange(m), part, n]
+        maps = pa.array([x.tobytes() for x in S.bitmaps(np.concatenate(sets), n)], pa.binary())
+        batch = pa.record_batch([*map(pa.array, columns), maps, pa.nulls(m, pa.binary())], names=list("abcdefgh"))
+        return [x for t in jaccard_join._traverse(iter([batch]), whole) for x in t.to_pylist()]
+
+    rows = walked(np.arange(m), False)
+    assert sum(x["a"] is not None for x in rows) == m - 1
+    assert [(x["token"], x["i"], x["j"]) for x in rows if x["a"] is None] == [(0, 0, 0)]  # it held more
+    assert len(walked(np.arange(m), True)) == m * (m - 1) // 2
+    assert len(walked(np.arange(m) // 30, True)) == 30 * 30
+    assert walked(np.zeros(m, np.int64), True) == []
+
+
+def test_wide_bitmaps_keep_unlike_large_sets_apart():
+    r = np.random.default_rng(8)
+    sets = [np.unique(r.integers(0, 2**63, 20000).astype(np.uint64)) for _ in range(3)]
+    sets[2] = np.sort(np.append(sets[0][100:], sets[1][:50]))
+    n = np.array([len(x) for x in sets])
+    tokens = np.concatenate(sets)
+    maps, wide = S.bitmaps(tokens, n), pa.array(S.wide_bitmaps(tokens, n), pa.binary())
+    x, y = np.array([0, 0]), np.array([1, 2])
+    assert jaccard_join.possible(n[x], maps[x], n[y], maps[y]).all()  # the common bitmap is full
+    shared = jaccard_join._overlaps(x, y, n, maps, wide)
+    assert (shared >= jaccard_join.least_overlap(n[x], n[y])).tolist() == [False, True]
+
+
+def test_forest_joins_what_all_edges_join():
+    r = np.random.default_rng(4)
+    a, b = r.integers(0, 40, (2, 60))
+    a, b = a[a != b], b[a != b]
+    weight = r.integers(0, 5, len(a))
+
+    def parts(places):
+        root = list(range(40))
+        for i in places:
+            x, y = root[a[i]], root[b[i]]
+            root = [x if k == y else k for k in root]
+        return [root.index(k) for k in root]
+
+    taken = jaccard_join.forest(a, b, weight)
+    assert parts(taken) == parts(range(len(a)))
+    assert len(taken) == 40 - len(set(parts(taken)))
+
+
 def test_overlap_bounds_never_drop_a_link():
     r = np.random.default_rng(2)
     for _ in range(300):
