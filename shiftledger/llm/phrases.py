@@ -41,12 +41,12 @@ from shiftledger.llm.common import Scratch
 LEAST = 10  # occurrences of a candidate
 TOP = 2000  # rows of a language
 INSIDE = 50  # hundredths of a phrase's occurrences within a longer candidate that drop it
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 LIMIT = 1_500_000  # entries that a task holds before it spills
 BURST = 1 << 16  # entries of a container
 FAN = 16
 SALT = 8
-GROUPS = 8  # of prefixes in a partition, merged one after the other
+GROUPS = 16  # of prefixes in a partition, merged one after the other
 _WORDS = 1 << 18  # words worked on at once
 _VOCABULARY = 1 << 19  # words that a task numbers before it spills all and numbers anew
 _PIECE = 1 << 20

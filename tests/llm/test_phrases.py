@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shiftledger.llm import phrases, queries
@@ -67,6 +69,19 @@ def docs(spark):
     return spark.createDataFrame([(i, *x) for i, x in enumerate(stock())], "n long, lang string, text string").repartition(3)
 
 
+def test_merge_holds_a_small_share_of_a_partition():
+    words = np.random.default_rng(3).integers(0, 40_000, 300_000)
+    texts = [" ".join(f"w{k}" for k in words[i : i + 1000]) for i in range(0, len(words), 1000)]
+    batch = pa.record_batch([pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+    runs = [r for b in phrases._counted(1, 200_000, 1 << 16)(iter([batch])) for r in b.to_pylist()]
+    tracemalloc.start()
+    total = sum(n for n, _ in phrases.merged([(r["words"], r["groups"], r["bodies"]) for r in runs], 10))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == len(words)
+    assert peak < 6 * sum(map(len, texts))
+
+
 @pytest.mark.parametrize("limit,burst,group_bytes", [(4_000_000, 1 << 16, 16 << 20), (50, 8, 200), (3000, 40, 5000)])
 def test_counts_whatever_bursts_and_spills(docs, limit, burst, group_bytes):
     got = phrases.phrase_counts(docs, 3, group_bytes, limit, burst).collect()
