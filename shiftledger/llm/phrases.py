@@ -42,17 +42,19 @@ LEAST = 10  # occurrences of a candidate
 TOP = 2000  # rows of a language
 INSIDE = 50  # hundredths of a phrase's occurrences within a longer candidate that drop it
 GROUP_BYTES = 2 << 20
-LIMIT = 1_500_000  # entries that a task holds before it spills
+LIMIT = 700_000  # entries that a task holds before it spills
 BURST = 1 << 16  # entries of a container
 FAN = 16
 SALT = 8
 GROUPS = 16  # of prefixes in a partition, merged one after the other
-_WORDS = 1 << 18  # words worked on at once
+_WORDS = 1 << 16  # words worked on at once
 _VOCABULARY = 1 << 19  # words that a task numbers before it spills all and numbers anew
 _PIECE = 1 << 20
 _BITS = 21  # of a word id in a key, more than _VOCABULARY takes; three ids fill 63 bits
 _IDS = (1 << _BITS) - 1
 _OUT = 4 << 20  # bytes of runs in a batch
+_IN = 8 << 20  # bytes of a batch that a task reads
+_OPEN = 16  # lists of words read at once
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\v\f\r")] = True
@@ -219,31 +221,40 @@ def _read_words(blob: bytes) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(bounds), pa.py_buffer(raw[4 + 4 * n :])])
 
 
+def _common_order(blobs: list) -> tuple[pa.Array, list[np.ndarray]]:
+    """The different words of all lists in byte order, and each list's places among them
+    (from 1; 0: no word). A few lists at a time are open, twice each."""
+    stretches = [blobs[at : at + _OPEN] for at in range(0, len(blobs), _OPEN)]
+    words = pa.array([], pa.binary())
+    for some in stretches:
+        words = pc.unique(pa.concat_arrays([words, *map(_read_words, some)]))
+    words = words.take(pc.sort_indices(words))
+    places = []
+    for some in stretches:
+        names = [_read_words(blob) for blob in some]
+        found = np.asarray(pc.index_in(pa.concat_arrays(names), value_set=words)) + np.int32(1)
+        edges = np.cumsum([len(own) for own in names])[:-1]
+        places += [np.append(np.int32(0), own) for own in np.split(found, edges)]
+    return words, places
+
+
 def _read_body(blob: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rows = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u4").reshape(5, -1)
     columns = rows[:3].astype(np.int64)
     columns[0] = np.cumsum(columns[0])
-    return places[columns], np.ascontiguousarray(rows[3:].T).view("<u8").ravel().astype(np.int64)
+    return places[columns].astype(np.int64), np.ascontiguousarray(rows[3:].T).view("<u8").ravel().astype(np.int64)
 
 
 def merged(runs: list[tuple], least: int, bits: int = 63) -> Iterator[tuple[int, list[tuple[int, str, int]]]]:
     """The runs (words, groups, bodies) of one prefix partition and language, group by group:
     the number of words, and (words, phrase, count) of each phrase with at least `least`
     occurrences."""
-    names = [_read_words(words) for words, _, _ in runs]
-    words = pa.concat_arrays(names).dictionary_encode()
-    order = np.asarray(pc.sort_indices(words.dictionary))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(1, len(order) + 1)
-    codes, at, places = np.asarray(words.indices), 0, []
-    for own in names:
-        places.append(np.append(0, rank[codes[at : at + len(own)]]))
-        at += len(own)
+    words, places = _common_order([words for words, _, _ in runs])
     segments: dict[int, list[tuple[bytes, np.ndarray]]] = {}
     for (_, groups, bodies), own in zip(runs, places):
         for g, body in zip(groups, bodies):
             segments.setdefault(g, []).append((body, own))
-    n = len(order) + 1
+    n = len(words) + 1
     for g in sorted(segments):
         read = [_read_body(*s) for s in segments.pop(g)]
         first, second, third = np.concatenate([c for c, _ in read], axis=1)
@@ -259,7 +270,7 @@ def merged(runs: list[tuple], least: int, bits: int = 63) -> Iterator[tuple[int,
         out = []
         for *ids, count in zip(*(c[often].tolist() for c in (*columns, counts))):
             size = 3 - ids.count(0)
-            phrase = b" ".join(words.dictionary[int(order[i - 1])].as_py() for i in ids[:size])
+            phrase = b" ".join(words[i - 1].as_py() for i in ids[:size])
             out.append((size, phrase.decode(), count))
         yield int(counts[columns[1] == 0].sum()), out
 
@@ -406,7 +417,7 @@ def collocations(
     holds it is left out.
     """
     scratch = scratch or Scratch(docs.sparkSession, "phrases")
-    found = scratch.table(phrase_counts(docs, least, **counting), "counts")
+    found = scratch.table(phrase_counts(docs, least, **counting), "counts", batch_bytes=_IN)
     words = found.where("size = 0").groupBy("lang").agg(F.sum("f").alias("n"))
     counts = found.where("size > 0").select("lang", "phrase", "f")
     candidates = found.where("size > 1").select("lang", "size", "phrase", F.col("f").alias("a"))

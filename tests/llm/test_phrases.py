@@ -82,6 +82,18 @@ def test_merge_holds_a_small_share_of_a_partition():
     assert peak < 6 * sum(map(len, texts))
 
 
+def test_common_words_of_many_runs_are_held_once():
+    words = sorted(f"word{k:06d}".encode() for k in range(10_000))
+    names, hashes = pa.array([b"", *words], pa.binary()), np.arange(len(words) + 1, dtype=np.uint64)
+    keys = np.arange(1, len(words) + 1) << 42
+    run = phrases.sorted_run(keys, np.ones(len(words), np.int64), names, hashes, 1)
+    before = pa.total_allocated_bytes()
+    for _, rows in phrases.merged([run] * 100, 100):
+        # 100 lists of 10,000 words have 14 MB with their lengths.
+        assert pa.total_allocated_bytes() - before < 2 << 20
+        assert rows == [(1, w.decode(), 100) for w in words]
+
+
 @pytest.mark.parametrize("limit,burst,group_bytes", [(4_000_000, 1 << 16, 16 << 20), (50, 8, 200), (3000, 40, 5000)])
 def test_counts_whatever_bursts_and_spills(docs, limit, burst, group_bytes):
     got = phrases.phrase_counts(docs, 3, group_bytes, limit, burst).collect()
