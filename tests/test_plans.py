@@ -329,3 +329,12 @@ def test_sick_days_are_not_dealt_by_date(spark):
     assert "hashpartitioning(full_date" not in text and "Join" not in text
     reads = [line for line in text.splitlines() if "FileScan parquet" in line and "performance_code" in line]
     assert len(reads) == 1  # of the hours
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["total_workdays", "report_basis", "report_long"])
+def test_rows_read_once_are_not_written_before(spark, monkeypatch, name):
+    written, write = [], Stages.write
+    monkeypatch.setattr(Stages, "write", lambda self, df, stage: written.append(stage) or write(self, df, stage))
+    queries.queries()[name](spark, SF_DIR)
+    assert "hours" in written and "final" not in written

@@ -330,3 +330,21 @@ def test_unknown_clock_gives_unknown_default(spark):
     got = hours.default_hours(hours.flex_hours(frame(spark, FLEX_SCHEMA, [row]))).first()
     assert got.flex_saturday_hours is None
     assert got.default_hours == 8
+
+
+def test_stored_shifts_are_dealt_once_and_equal_ones_counted(spark, stages, monkeypatch):
+    written = {}
+    write = type(stages).write
+
+    def noted(self, df, name):
+        written[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(self, df, name)
+
+    monkeypatch.setattr(type(stages), "write", noted)
+    row = planned_row("2024-01-09 08:00:00", "2024-01-09 10:00:00", scheduled_time=dec("2"))
+    other = {**row, "scheduled_time": dec("3")}
+    wide = spans.widen(week())
+    planned = make_planned(spark, [row, row, other, {**row, "employee_id": None}])
+    stored = shifts.store_shifts(planned, make_activity(spark), make_employee(spark), week(), wide, stages)
+    assert rows_of(stored.rows, "employee_id", "_copies") == [(None, 1), (1, 2)]
+    assert written["shifts"].count("Exchange hashpartitioning(") == 1
