@@ -42,7 +42,7 @@ LEAST = 10  # occurrences of a candidate
 TOP = 2000  # rows of a language
 INSIDE = 50  # hundredths of a phrase's occurrences within a longer candidate that drop it
 GROUP_BYTES = 2 << 20
-LIMIT = 700_000  # entries that a task holds before it spills
+LIMIT = 1_000_000  # entries that a task holds before it spills
 BURST = 1 << 16  # entries of a container
 FAN = 16
 SALT = 8
@@ -54,7 +54,7 @@ _BITS = 21  # of a word id in a key, more than _VOCABULARY takes; three ids fill
 _IDS = (1 << _BITS) - 1
 _OUT = 4 << 20  # bytes of runs in a batch
 _IN = 8 << 20  # bytes of a batch that a task reads
-_OPEN = 16  # lists of words read at once
+_OPEN = 64  # lists of words read at once
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\v\f\r")] = True
@@ -402,7 +402,8 @@ def phrase_counts(
     runs = rows.mapInArrow(
         _counted(parts, limit, burst), "part long, lang string, words binary, groups array<long>, bodies array<binary>"
     )
-    return runs.repartition(parts, "part").sortWithinPartitions("part", "lang").mapInArrow(
+    # Partition i is task i, so that no task merges two of them.
+    return runs.repartitionById(parts, F.col("part").cast("int")).sortWithinPartitions("part", "lang").mapInArrow(
         _merge(least), "lang string, size int, phrase string, f long"
     )
 
